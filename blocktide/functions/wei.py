@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _DIGITS = 26
@@ -20,83 +20,120 @@ _DEC = "decimal(38,0)"
 PARTS = ("wei_small", "wei_lo", "wei_mid", "wei_hi", "wei_beyond")
 
 
-def wei_parts(value: Column) -> list[Column]:
-    """Per-row addends named as in ``PARTS``; NULL where a part does not apply.
+def with_parts(rows: DataFrame, column: str = "value_wei") -> DataFrame:
+    """Replace the amount by its addends ``PARTS``; NULL where a part does not apply.
 
-    Text that is not an optionally signed run of digits adds nothing.
+    Text that is not an optionally signed run of digits adds nothing. The rare
+    long amounts go through array functions, which keeps the generated code of
+    the common path small enough to be compiled.
     """
-    ok = value.rlike("^[+-]?[0-9]+$")
-    small = ok & (F.length(value) <= _DIGITS)
-    digits = F.ltrim(F.regexp_replace(value, "^[+-]", ""), F.lit("0"))
-    wide = ok & (F.length(value) > _DIGITS)
-    limbed = wide & (F.length(digits) <= 3 * _DIGITS)
-    padded = F.lpad(digits, 3 * _DIGITS, "0")
-    sign = F.when(value.startswith("-"), F.lit(-1)).otherwise(F.lit(1)).cast("decimal(1,0)")
-
-    def limb(index: int) -> Column:
-        part = F.substring(padded, index * _DIGITS + 1, _DIGITS).try_cast(f"decimal({_DIGITS},0)")
-        return F.when(limbed, (part * sign).cast(_DEC))
-
-    return [
-        F.when(small, value.try_cast(_DEC)).alias("wei_small"),
-        limb(2).alias("wei_lo"),
-        limb(1).alias("wei_mid"),
-        limb(0).alias("wei_hi"),
-        F.when(wide & ~limbed, value.try_cast("double")).alias("wei_beyond"),
-    ]
+    text = F.col(column)
+    wide = F.length(text) > _DIGITS
+    digits = F.ltrim(F.regexp_replace(text, "^[+-]", ""), F.lit("0"))
+    sign = F.when(text.startswith("-"), F.lit(Decimal(-1))).otherwise(F.lit(Decimal(1)))
+    limbs = F.transform(
+        F.array(*map(F.lit, range(3))),
+        lambda i: (
+            F.substring(F.lpad(digits, 3 * _DIGITS, "0"), i * _DIGITS + 1, F.lit(_DIGITS)).try_cast(
+                f"decimal({_DIGITS},0)"
+            )
+            * sign
+        ).cast(_DEC),
+    )
+    beyond = F.transform(
+        F.array(text),
+        lambda t: F.when(F.length(digits) > 3 * _DIGITS, t.try_cast("double")),
+    )
+    return (
+        rows.withColumn(column, F.when(text.rlike("^[+-]?[0-9]+$"), text))
+        .withColumns(
+            {
+                "wei_small": F.when(~wide, text.try_cast(_DEC)),
+                "_beyond": F.when(wide, beyond),
+                "_limbs": F.when(wide, limbs),
+            }
+        )
+        .withColumns(
+            {
+                "wei_beyond": F.get("_beyond", F.lit(0)),
+                **{
+                    name: F.when(F.get("_beyond", F.lit(0)).isNull(), F.get("_limbs", F.lit(i)))
+                    for i, name in enumerate(("wei_hi", "wei_mid", "wei_lo"))
+                },
+            }
+        )
+        .drop(column, "_beyond", "_limbs")
+    )
 
 
 def sum_parts() -> list[Column]:
     return [F.sum(name).alias(name) for name in PARTS]
 
 
-def _carry(limbs: list[Column]) -> list[Column]:
-    base = F.lit(Decimal(_BASE))
-    out, carry = [], F.lit(0).cast(_DEC)
-    for limb in limbs[:-1]:
-        total = (limb + carry).cast(_DEC)
-        rest = F.pmod(total, base).cast(_DEC)
-        carry = ((total - rest).cast(_DEC) / base).cast(_DEC)
-        out.append(rest)
-    return [*out, (limbs[-1] + carry).cast(_DEC)]
-
-
-def _digits_text(limbs: list[Column]) -> Column:
-    low, mid, high = (c.cast("string") for c in limbs)
-    text = F.ltrim(
-        F.concat(high, F.lpad(mid, _DIGITS, "0"), F.lpad(low, _DIGITS, "0")), F.lit("0")
-    )
-    return F.when(text == "", F.lit("0")).otherwise(text)
-
-
-def _zero(name: str) -> Column:
-    return F.coalesce(F.col(name), F.lit(0).cast(_DEC))
+def with_totals(sums: DataFrame) -> DataFrame:
+    """Replace summed ``PARTS`` by ``wei_exact`` (digits) and ``wei_value`` (nearest double).
 
+    ``wei_exact`` is NULL where a double had to step in. Limbs are carried one
+    column at a time, each step on the columns of the step before.
+    """
+    base = F.lit(Decimal(_BASE))
 
-def total_exact() -> Column:
-    """Decimal digits of the summed parts; NULL where a double had to step in."""
-    low = (_zero("wei_small") + _zero("wei_lo")).cast(_DEC)
-    limbs = [low, _zero("wei_mid"), _zero("wei_hi")]
-    positive = _carry(limbs)
-    negative = _carry([(-c).cast(_DEC) for c in limbs])
-    wide = F.when(positive[2] >= 0, _digits_text(positive)).otherwise(
-        F.concat(F.lit("-"), _digits_text(negative))
+    def number(column: Column) -> Column:
+        return column.cast(_DEC)
+
+    def or_zero(name: str) -> Column:
+        return F.coalesce(F.col(name), F.lit(Decimal(0)))
+
+    def upper_part(total: str, rest: str) -> Column:
+        return number(number(F.col(total) - F.col(rest)) / base)
+
+    def complement(rest: str, borrow: Column) -> Column:
+        taken = number(F.col(rest) + borrow)
+        return F.when(taken == 0, number(F.lit(0))).otherwise(number(base - taken))
+
+    borrow_low = F.when(F.col("_r0") > 0, 1).otherwise(0)
+    borrow_mid = F.when(F.col("_r1") + borrow_low > 0, 1).otherwise(0)
+    steps = [
+        {"_low": number(or_zero("wei_small") + or_zero("wei_lo"))},
+        {"_r0": number(F.pmod("_low", base))},
+        {"_mid": number(or_zero("wei_mid") + upper_part("_low", "_r0"))},
+        {"_r1": number(F.pmod("_mid", base))},
+        {"_top": number(or_zero("wei_hi") + upper_part("_mid", "_r1"))},
+        {
+            # A negative total: digits of its magnitude.
+            "_m0": F.when(F.col("_top") < 0, complement("_r0", F.lit(0))).otherwise(F.col("_r0")),
+            "_m1": F.when(F.col("_top") < 0, complement("_r1", borrow_low)).otherwise(F.col("_r1")),
+            "_m2": F.when(F.col("_top") < 0, number(-F.col("_top") - borrow_mid)).otherwise(
+                F.col("_top")
+            ),
+        },
+    ]
+    for step in steps:
+        sums = sums.withColumns(step)
+    digits = F.ltrim(
+        F.concat(
+            F.col("_m2").cast("string"),
+            F.lpad(F.col("_m1").cast("string"), _DIGITS, "0"),
+            F.lpad(F.col("_m0").cast("string"), _DIGITS, "0"),
+        ),
+        F.lit("0"),
     )
-    narrow = F.col("wei_mid").isNull()
-    return F.when(
-        F.col("wei_beyond").isNull(), F.when(narrow, low.cast("string")).otherwise(wide)
+    wide = F.concat(F.when(F.col("_top") < 0, "-").otherwise(""), digits)
+    exact = F.when(F.col("wei_mid").isNull(), F.col("_low").cast("string")).otherwise(
+        F.when(wide == "", "0").otherwise(wide)
     )
-
-
-def total_double() -> Column:
-    """Nearest double of the summed parts."""
-    low = (_zero("wei_small") + _zero("wei_lo")).cast(_DEC).cast("double")
-    beyond = (
-        F.col("wei_beyond")
-        + low
-        + _zero("wei_mid").cast("double") * F.lit(float(_BASE))
-        + _zero("wei_hi").cast("double") * F.lit(float(_BASE) ** 2)
+    as_double = (
+        F.col("_low").cast("double")
+        + or_zero("wei_mid").cast("double") * F.lit(float(_BASE))
+        + or_zero("wei_hi").cast("double") * F.lit(float(_BASE) ** 2)
     )
-    return F.when(F.col("wei_beyond").isNotNull(), beyond).otherwise(
-        total_exact().cast("double")
+    return (
+        sums.withColumn("wei_exact", F.when(F.col("wei_beyond").isNull(), exact))
+        .withColumn(
+            "wei_value",
+            F.coalesce(
+                F.col("wei_exact").cast("double"), F.col("wei_beyond") + as_double
+            ),
+        )
+        .drop(*PARTS, "_low", "_mid", "_top", "_r0", "_r1", "_m0", "_m1", "_m2")
     )

@@ -21,7 +21,6 @@ late event (*contested* ones) are joined back to the events.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -85,7 +84,7 @@ def build_ledger(events: DataFrame, size_us: int, lateness_us: int, seq: Column)
 
 
 def window_points(ledger: DataFrame) -> DataFrame:
-    """One row per (chain, e): what starts at, arrives for, or reaches that end."""
+    """What the ledger says about each (chain, e); several rows per end (``merge_points``)."""
     none = F.lit(None)
     seq_type = ledger.schema["first_seq"].dataType
     point = F.inline(
@@ -106,10 +105,14 @@ def window_points(ledger: DataFrame) -> DataFrame:
             ),
         )
     )
-    return merge_points(ledger.select("chain", point))
+    return ledger.select("chain", point)
 
 
-def merge_points(points: DataFrame) -> DataFrame:
+def merge_points(points: DataFrame, small: bool) -> DataFrame:
+    """One row per (chain, e). A small table is laid out by chain at once, which
+    the per-chain scans that follow can use without another exchange."""
+    if small:
+        points = points.repartition("chain")
     return points.groupBy("chain", "e").agg(
         F.min("first").alias("first"),
         F.max("last").alias("last"),
@@ -172,37 +175,34 @@ def close_points(points: DataFrame, size_us: int, small: bool) -> DataFrame:
     return running_min_from_end(closed, "min_close", size_us, small).drop("reach")
 
 
-def contested_windows(points: DataFrame) -> DataFrame:
-    """Windows with at least one late event: their last arrival is past a close."""
-    return points.filter(F.col("min_close") < F.col("last")).select(
-        "chain", F.col("e").alias("we"), "min_close", "n"
+def verdicts(points: DataFrame) -> DataFrame:
+    """``(chain, we, min_close, closed, n)``; ``min_close`` only for contested windows.
+
+    A window is contested when its last arrival is past a close, that is when
+    it has at least one late event.
+    """
+    return points.filter(F.col("first").isNotNull()).select(
+        "chain",
+        F.col("e").alias("we"),
+        F.when(F.col("min_close") < F.col("last"), F.col("min_close")).alias("min_close"),
+        F.col("close").isNotNull().alias("closed"),
+        "n",
     )
 
 
+def is_late(seq: Column) -> Column:
+    return F.col("min_close").isNotNull() & (F.col("min_close") < seq)
+
+
 def flag_late(
-    events: DataFrame,
-    contested: DataFrame,
-    seq: Column,
-    small: bool,
-    hot_events: int = HOT_EVENTS,
+    events: DataFrame, contested: DataFrame, seq: Column, hot_events: int = HOT_EVENTS
 ) -> DataFrame:
-    """Add ``is_late`` by looking up each event's window among the contested ones.
+    """Add ``is_late`` where the contested windows are too many to broadcast.
 
-    ``small`` states that the contested table was counted and may be broadcast.
-    Beyond that only hot windows are broadcast (each holds ``hot_events`` rows
-    or more, so there are few), and the rest meet in a shuffle join in which
-    no key is hot; events of hot windows get a scattered key that matches
-    nothing there.
+    Hot windows are broadcast (each holds ``hot_events`` rows or more, so
+    there are few), and the rest meet in a shuffle join in which no key is
+    hot; events of hot windows get a scattered key that matches nothing there.
     """
-    late = F.col("min_close").isNotNull() & (F.col("min_close") < seq)
-    if small:
-        table = F.broadcast(contested.select("chain", "we", "min_close"))
-        return (
-            events.join(table, ["chain", "we"], "left")
-            .withColumn("is_late", late)
-            .drop("min_close")
-        )
-
     hot = contested.filter(F.col("n") >= hot_events).select(
         "chain", "we", F.col("min_close").alias("hot_close")
     )
@@ -221,7 +221,7 @@ def flag_late(
         )
         .withColumn("min_close", F.coalesce("hot_close", "min_close"))
     )
-    return joined.withColumn("is_late", late).drop(
+    return joined.withColumn("is_late", is_late(seq)).drop(
         "hot_close", "cold_key", "cold_chain", "cold_we", "min_close"
     )
 
@@ -229,7 +229,10 @@ def flag_late(
 class Replay:
     """Exact close and late verdicts for a static table of valid events.
 
-    Building one runs a single job over the events (the ledger). Events that
+    Building one runs a single job over the events (the ledger). Up to
+    ``small_rows`` ledger rows, the verdicts of all windows are broadcast to
+    the events; beyond that only contested windows are looked up, by broadcast
+    if they were counted to be few and by ``flag_late`` otherwise. Events that
     share an arrival key are taken as simultaneous.
     """
 
@@ -244,44 +247,50 @@ class Replay:
     ):
         self.size_us = window_micros(size)
         self.seq = arrival_key(arrival)
-        self.events = with_window_end(events, self.size_us)
-        self.hot_events = hot_events
-        ledger = materialize(
-            build_ledger(self.events, self.size_us, lateness_micros(lateness), self.seq),
-            "ledger",
+        events = with_window_end(events, self.size_us)
+        ledger, rows = materialize(
+            build_ledger(events, self.size_us, lateness_micros(lateness), self.seq), "ledger"
         )
-        self.small = ledger.count() <= small_rows
-        points = window_points(ledger)
-        self.points = close_points(points, self.size_us, self.small)
+        self.small = rows <= small_rows
+        points = merge_points(window_points(ledger), self.small)
+        windows = verdicts(close_points(points, self.size_us, self.small))
         if self.small:
-            self.contested, self.contested_small = contested_windows(self.points), True
+            self.windows = windows
+            self._flagged = with_verdicts(events, windows).withColumn("is_late", is_late(self.seq))
+            return
+        self.windows, _ = materialize(windows, "verdicts")
+        contested, rows = materialize(
+            self.windows.filter(F.col("min_close").isNotNull()), "contested"
+        )
+        if rows <= small_rows:
+            self._flagged = with_verdicts(events, contested).withColumn(
+                "is_late", is_late(self.seq)
+            )
         else:
-            self.points = materialize(self.points, "close-points")
-            self.contested = materialize(contested_windows(self.points), "contested")
-            self.contested_small = self.contested.count() <= small_rows
+            self._flagged = flag_late(events, contested, self.seq, hot_events)
 
     def flagged(self) -> DataFrame:
         """Events plus ``is_late``."""
-        return flag_late(
-            self.events, self.contested, self.seq, self.contested_small, self.hot_events
-        ).drop("we")
+        return self._flagged.drop("we", "min_close", "closed")
 
     def accepted(self) -> DataFrame:
-        return with_window_end(self.flagged().filter(~F.col("is_late")), self.size_us)
-
-    def closed_windows(self) -> DataFrame:
-        """``(chain, we)`` of windows closed by the watermark."""
-        return self.points.filter(F.col("close").isNotNull()).select(
-            "chain", F.col("e").alias("we")
-        )
+        """Events that count, with their window end ``we``."""
+        return self._flagged.filter(~F.col("is_late"))
 
     def metrics(self, flush: bool = False) -> DataFrame:
-        """Aggregate rows of closed windows; with ``flush`` of open ones too."""
-        wide = wide_metrics(self.accepted())
-        if not flush:
-            wide = wide.join(self.closed_windows(), ["chain", "we"], "left_semi")
+        """Aggregate rows of windows closed by the watermark; with ``flush`` of all."""
+        if flush:
+            return long_metrics(wide_metrics(self.accepted()), self.size_us)
+        if self.small:
+            wide = wide_metrics(self.accepted().filter("closed"))
+        else:
+            # Keys are unique on both sides; an inner join stays above the aggregation.
+            closed = self.windows.filter("closed").select("chain", "we")
+            wide = wide_metrics(self.accepted()).join(closed, ["chain", "we"])
         return long_metrics(wide, self.size_us)
 
 
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+def with_verdicts(events: DataFrame, windows: DataFrame) -> DataFrame:
+    """Events with their window's verdict; ``windows`` was counted to be small."""
+    table = F.broadcast(windows.select("chain", "we", "min_close", "closed"))
+    return events.join(table, ["chain", "we"], "left")

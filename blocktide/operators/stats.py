@@ -105,7 +105,7 @@ def pipeline_totals(
     arrival, in whole seconds. Rolling up per second first means the events
     are scanned once and only one row per second goes on.
     """
-    per_second = materialize(
+    per_second, _ = materialize(
         with_reject_reason(raw)
         .groupBy(F.date_trunc("second", "observed_at").alias("second"))
         .agg(

@@ -25,14 +25,16 @@ def with_window_end(events: DataFrame, size_us: int) -> DataFrame:
 
 def measures(events: DataFrame, *extra: str) -> DataFrame:
     """Project events to the window key and the addends of every metric."""
-    return events.select(
-        *extra,
-        "chain",
-        "we",
-        "type",
-        F.nullif(F.col("from_address"), F.lit("")).alias("from_address"),
-        F.col("gas_used").cast(GAS).alias("gas_used"),
-        *wei.wei_parts(F.col("value_wei")),
+    return wei.with_parts(
+        events.select(
+            *extra,
+            "chain",
+            "we",
+            "type",
+            F.nullif(F.col("from_address"), F.lit("")).alias("from_address"),
+            F.col("gas_used").cast(GAS).alias("gas_used"),
+            "value_wei",
+        )
     )
 
 
@@ -90,10 +92,10 @@ def long_metrics(wide: DataFrame, size_us: int) -> DataFrame:
         ],
         _entry(S.METRIC_EVENTS, F.col("n_events"), F.col("n_events")),
         _entry(S.METRIC_GAS, gas, gas),
-        _entry(S.METRIC_WEI, wei.total_double(), wei.total_exact()),
+        _entry(S.METRIC_WEI, F.col("wei_value"), F.col("wei_exact")),
         _entry(S.METRIC_ADDRESSES, F.col("n_addresses"), F.col("n_addresses")),
     ]
-    rows = wide.select(
+    rows = wei.with_totals(wide).select(
         "chain",
         F.timestamp_micros(F.col("we") - F.lit(size_us)).alias("window_start"),
         F.timestamp_micros(F.col("we")).alias("window_end"),

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def pin_utc(spark: SparkSession) -> SparkSession:
@@ -36,16 +37,17 @@ def new_work_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/blocktide/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def materialize(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Write ``df`` to the shared folder; return it read back, and its row count.
 
-    Cuts the lineage durably (executor loss costs nothing) and gives the
-    optimizer real file sizes for its broadcast decision.
+    Cuts the lineage durably (executor loss costs nothing), gives the
+    optimizer real file sizes, and the count decides what may be broadcast.
     """
     spark = df.sparkSession
     path = new_work_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    size = Observation()
+    df.observe(size, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), size.get["rows"]
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -22,20 +22,23 @@ from blocktide.session import delete_path, path_exists
 STORED = T.StructType([*S.AGGREGATE.fields, T.StructField("window_date", T.DateType())])
 
 
-def _storage_rows(rows: DataFrame) -> DataFrame:
-    """One row per key in table layout; of equal keys the largest row stays."""
+def _in_table_layout(rows: DataFrame) -> DataFrame:
     if "labels_key" not in rows.columns:
         rows = rows.withColumn("labels_key", labels_key(F.col("labels")))
     if "value_exact" not in rows.columns:
         rows = rows.withColumn("value_exact", F.lit(None).cast("string"))
+    return rows.withColumn("window_date", F.to_date("window_start")).select(*STORED.fieldNames())
+
+
+def _newest_per_key(rows: DataFrame) -> DataFrame:
+    """One row per key; of equal keys the largest (window end, value) stays."""
     newest = Window.partitionBy(*S.AGGREGATE_KEY).orderBy(
         F.col("window_end").desc(), F.col("value").desc(), F.col("value_exact").desc()
     )
     return (
         rows.withColumn("_rank", F.row_number().over(newest))
         .filter(F.col("_rank") == 1)
-        .withColumn("window_date", F.to_date("window_start"))
-        .select(*STORED.fieldNames())
+        .drop("_rank")
     )
 
 
@@ -43,21 +46,25 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STORED).parquet(path)
 
 
-def upsert_aggregates(rows: DataFrame, path: str, version: int | str | None = None) -> None:
+def upsert_aggregates(
+    rows: DataFrame, path: str, version: int | str | None = None, stored: bool = False
+) -> None:
     """Insert ``rows`` into the table at ``path``, replacing rows of equal key.
 
     Only the days present in ``rows`` are read and rewritten. ``version``
-    names the write for retries (a stream passes its batch id).
+    names the write for retries (a stream passes its batch id). ``stored``
+    says that ``rows`` come from files and hold each key once, so they need
+    not be staged first. No rows, no change.
     """
     spark = rows.sparkSession
     stage = f"{path}/_upsert/{version if version is not None else uuid.uuid4().hex}"
     merged = f"{stage}/merged"
     if not path_exists(spark, f"{merged}/_SUCCESS"):
-        _storage_rows(rows).write.mode("overwrite").parquet(f"{stage}/rows")
-        new = spark.read.schema(STORED).parquet(f"{stage}/rows")
-        if new.isEmpty():
-            delete_path(spark, stage)
-            return
+        if stored:
+            new = _in_table_layout(rows)
+        else:
+            _newest_per_key(_in_table_layout(rows)).write.mode("overwrite").parquet(f"{stage}/rows")
+            new = spark.read.schema(STORED).parquet(f"{stage}/rows")
         result = new
         if _has_days(spark, path):
             days = new.select("window_date").distinct()

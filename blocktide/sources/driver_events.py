@@ -6,10 +6,9 @@ table into one event, with malformed, unlabelled and late rows at known rates.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blocktide import schemas as S
 from blocktide.session import pin_utc
 
 
@@ -19,69 +18,53 @@ def load_events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def chain_feed(table: DataFrame) -> DataFrame:
-    """One event per row, plus ``event_id``."""
-    e = F.col("event_id")
-
-    def every(n: int) -> Column:
-        return e % n == 0
+# The mapping, one rule per column; ``e`` is the event id.
+_BASE = {
+    "e": "event_id",
+    "base": "element_at(array('ethereum', 'synthetic', 'solana'), cast(user_id % 3 + 1 as int))",
+    "ty": """
+        CASE WHEN event_type IN ('click', 'purchase') THEN 'EVENT_TYPE_TRANSACTION'
+             WHEN event_type = 'signup' THEN 'EVENT_TYPE_BLOCK'
+             ELSE 'EVENT_TYPE_LOG' END""",
+    "delay_s": "event_id * 37 % 600 + if(event_id % 29 = 0, 10800, 0)",
+}
+_FEED = {
+    "id": "if(e % 103 = 0, '', concat('evt:', base, ':', e))",
+    "chain": "if(e % 107 = 0, '', base)",
+    "type": "if(e % 101 = 0, 'EVENT_TYPE_UNSPECIFIED', ty)",
+    "block_number": "20000000 + e div 12",
+    "block_hash": "concat('0x', md5(concat('b', e div 12)))",
+    "tx_hash": """
+        if(ty = 'EVENT_TYPE_TRANSACTION' AND e % 113 <> 0,
+           concat('0x', md5(cast(e as string))), '')""",
+    "from_address": """
+        if(ty = 'EVENT_TYPE_BLOCK', '', concat('0x', upper(md5(concat('u', user_id)))))""",
+    "to_address": """
+        CASE WHEN ty = 'EVENT_TYPE_TRANSACTION' THEN
+               CASE e % 7 WHEN 0 THEN '0xA0b86991c6218b36c1d19D4a2e9Eb0cE3606eB48'
+                          WHEN 1 THEN '0xC02aaA39b223FE8D0A0e5C4F27eAD9083C756Cc2'
+                          WHEN 2 THEN ''
+                          ELSE concat('0x', md5(concat('t', e % 50))) END
+             WHEN ty = 'EVENT_TYPE_LOG' AND e % 5 = 0
+               THEN '0xdAC17F958D2ee523a2206206994597C13D831ec7'
+             ELSE '' END""",
+    "value_wei": """
+        CASE WHEN ty <> 'EVENT_TYPE_TRANSACTION' THEN ''
+             WHEN e % 127 = 0 THEN 'not-a-number'
+             ELSE concat(cast(round(value * 100) as bigint), '00000000000000') END""",
+    "gas_used": "if(ty = 'EVENT_TYPE_TRANSACTION', 21000 + e % 180000, 0)",
+    "observed_at": "timestamp_micros(unix_micros(ts) + delay_s * 1000000)",
+    "block_time": "if(e % 109 <> 0, ts, null)",
+    "attributes": "map('k', get_json_object(props, '$.k'))",
+    "event_id": "e",
+}
 
-    def hash_of(text: Column) -> Column:
-        return F.concat(F.lit("0x"), F.md5(text))
 
-    base = F.element_at(
-        F.array(*map(F.lit, ("ethereum", "synthetic", "solana"))),
-        (F.col("user_id") % 3 + 1).cast("int"),
-    )
-    ty = (
-        F.when(F.col("event_type").isin("click", "purchase"), S.TYPE_TRANSACTION)
-        .when(F.col("event_type") == "signup", S.TYPE_BLOCK)
-        .otherwise(S.TYPE_LOG)
-    )
-    block = F.call_function("div", e, F.lit(12).cast("bigint"))
-    is_tx = F.col("ty") == S.TYPE_TRANSACTION
-    tx_target = (
-        F.when(e % 7 == 0, "0xA0b86991c6218b36c1d19D4a2e9Eb0cE3606eB48")
-        .when(e % 7 == 1, "0xC02aaA39b223FE8D0A0e5C4F27eAD9083C756Cc2")
-        .when(e % 7 == 2, "")
-        .otherwise(hash_of(F.concat(F.lit("t"), (e % 50).cast("string"))))
-    )
-    log_target = F.when(every(5), "0xdAC17F958D2ee523a2206206994597C13D831ec7").otherwise("")
-    cents = F.round(F.col("value") * 100).cast("bigint").cast("string")
-    arrival_delay = e * 37 % 600 + F.when(every(29), 10_800).otherwise(0)
-    return table.withColumns({"base": base, "ty": ty}).select(
-        F.when(every(103), "")
-        .otherwise(F.concat(F.lit("evt:"), "base", F.lit(":"), e.cast("string")))
-        .alias("id"),
-        F.when(every(107), "").otherwise(F.col("base")).alias("chain"),
-        F.when(every(101), S.TYPE_UNSPECIFIED).otherwise(F.col("ty")).alias("type"),
-        (F.lit(20_000_000) + block).alias("block_number"),
-        hash_of(F.concat(F.lit("b"), block.cast("string"))).alias("block_hash"),
-        F.when(is_tx & ~every(113), hash_of(e.cast("string"))).otherwise("").alias("tx_hash"),
-        F.when(F.col("ty") == S.TYPE_BLOCK, "")
-        .otherwise(
-            F.concat(
-                F.lit("0x"),
-                F.upper(F.md5(F.concat(F.lit("u"), F.col("user_id").cast("string")))),
-            )
-        )
-        .alias("from_address"),
-        F.when(is_tx, tx_target)
-        .when(F.col("ty") == S.TYPE_LOG, log_target)
-        .otherwise("")
-        .alias("to_address"),
-        F.when(
-            is_tx,
-            F.when(every(127), "not-a-number").otherwise(F.concat(cents, F.lit("0" * 14))),
-        )
-        .otherwise("")
-        .alias("value_wei"),
-        F.when(is_tx, 21_000 + e % 180_000).otherwise(0).cast("bigint").alias("gas_used"),
-        F.timestamp_micros(F.unix_micros("ts") + arrival_delay * 1_000_000).alias("observed_at"),
-        F.when(~every(109), F.col("ts")).alias("block_time"),
-        F.create_map(F.lit("k"), F.get_json_object("props", "$.k")).alias("attributes"),
-        "event_id",
-    )
+def chain_feed(table: DataFrame) -> DataFrame:
+    """One event per row, plus ``event_id``."""
+    base = [f"{rule} AS {name}" for name, rule in _BASE.items()]
+    feed = [f"{rule} AS {name}" for name, rule in _FEED.items()]
+    return table.selectExpr("ts", "user_id", "value", "props", *base).selectExpr(*feed)
 
 
 def load_feed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,10 +34,12 @@ from blocktide.operators.lateness import (
     SMALL_ROWS,
     build_ledger,
     close_points,
-    contested_windows,
     flag_late,
+    is_late,
     merge_points,
+    verdicts,
     window_points,
+    with_verdicts,
 )
 from blocktide.operators.window_metrics import (
     COUNTS,
@@ -158,7 +160,6 @@ class ExactWindows:
         seq = self._seq(1, *self.arrival)
         before = self._seq(0, *[F.lit(None).cast(types[c]).alias(c) for c in self.arrival])
         ledger = build_ledger(events, self.size_us, self.lateness_us, seq).persist()
-        small = ledger.count() <= self.small_rows
 
         none = F.lit(None).cast(ledger.schema["first_seq"].dataType)
         zero = F.lit(0).cast("bigint")
@@ -171,9 +172,9 @@ class ExactWindows:
             "chain", reached.alias("e"), none.alias("first"), none.alias("last"),
             before.alias("reach"), zero.alias("n"),
         )
-        points = merge_points(
-            window_points(ledger).unionByName(carried_open).unionByName(carried_reach)
-        )
+        pieces = window_points(ledger).unionByName(carried_open).unionByName(carried_reach)
+        small = pieces.count() <= self.small_rows
+        points = merge_points(pieces, small)
         closes = close_points(points, self.size_us, small)
         # Ends at or behind the last closed one are late whatever the batch holds.
         cut = chains.select("chain", "closed_up_to")
@@ -186,9 +187,14 @@ class ExactWindows:
             .drop("closed_up_to")
             .persist()
         )
-        contested = contested_windows(closes)
-        contested_small = small or contested.count() <= self.small_rows
-        accepted = flag_late(events, contested, seq, contested_small).filter(~F.col("is_late"))
+        judged = verdicts(closes)
+        if not small:
+            judged = judged.filter(F.col("min_close").isNotNull())
+        if small or judged.count() <= self.small_rows:
+            flagged = with_verdicts(events, judged).withColumn("is_late", is_late(seq))
+        else:
+            flagged = flag_late(events, judged, seq)
+        accepted = flagged.filter(~F.col("is_late"))
 
         # One pass over the events: sums per sender, rolled up from there.
         per_sender = (
@@ -258,7 +264,7 @@ class ExactWindows:
             return
         self._write(rows, "emitted", batch_id)
         emitted = self._read(spark, "emitted", batch_id, S.AGGREGATE)
-        upsert_aggregates(emitted, self.table_path, batch_id)
+        upsert_aggregates(emitted, self.table_path, batch_id, stored=True)
         if self.log_path:
             write_batch(emitted, self.log_path, batch_id)
 

@@ -91,9 +91,9 @@ def test_set_entry_overwrites_and_keeps(spark):
 
 
 def wei_total(spark, values):
-    sums = one_column(spark, values).select(*wei.wei_parts(F.col("v"))).agg(*wei.sum_parts())
-    row = sums.select(wei.total_exact().alias("e"), wei.total_double().alias("d")).first()
-    return row.e, row.d
+    sums = wei.with_parts(one_column(spark, values), "v").agg(*wei.sum_parts())
+    row = wei.with_totals(sums).first()
+    return row.wei_exact, row.wei_value
 
 
 @pytest.mark.parametrize(
@@ -105,6 +105,10 @@ def wei_total(spark, values):
         [str(2**256 - 1)] * 3 + ["7"],
         ["-" + "9" * 60, "1" + "0" * 59, "-3"],
         ["9" * 60, "-" + "9" * 60],
+        ["-" + "1" + "0" * 52, "5"],
+        ["-" + "1" + "0" * 52],
+        ["-" + "1" + "0" * 26],
+        ["-7", "2"],
         ["0" * 100 + "12"],
     ],
 )
