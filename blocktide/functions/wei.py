@@ -8,14 +8,11 @@ apart and carried once per group. Digits beyond that are summed as doubles.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _DIGITS = 26
-_BASE = 10**_DIGITS
-_DEC = "decimal(38,0)"
+_BASE = f"1{'0' * _DIGITS}BD"
 
 PARTS = ("wei_small", "wei_lo", "wei_mid", "wei_hi", "wei_beyond")
 
@@ -27,43 +24,32 @@ def with_parts(rows: DataFrame, column: str = "value_wei") -> DataFrame:
     long amounts go through array functions, which keeps the generated code of
     the common path small enough to be compiled.
     """
-    text = F.col(column)
-    wide = F.length(text) > _DIGITS
-    digits = F.ltrim(F.regexp_replace(text, "^[+-]", ""), F.lit("0"))
-    sign = F.when(text.startswith("-"), F.lit(Decimal(-1))).otherwise(F.lit(Decimal(1)))
-    limbs = F.transform(
-        F.array(*map(F.lit, range(3))),
-        lambda i: (
-            F.substring(F.lpad(digits, 3 * _DIGITS, "0"), i * _DIGITS + 1, F.lit(_DIGITS)).try_cast(
-                f"decimal({_DIGITS},0)"
-            )
-            * sign
-        ).cast(_DEC),
-    )
-    beyond = F.transform(
-        F.array(text),
-        lambda t: F.when(F.length(digits) > 3 * _DIGITS, t.try_cast("double")),
-    )
-    return (
-        rows.withColumn(column, F.when(text.rlike("^[+-]?[0-9]+$"), text))
-        .withColumns(
-            {
-                "wei_small": F.when(~wide, text.try_cast(_DEC)),
-                "_beyond": F.when(wide, beyond),
-                "_limbs": F.when(wide, limbs),
-            }
-        )
-        .withColumns(
-            {
-                "wei_beyond": F.get("_beyond", F.lit(0)),
-                **{
-                    name: F.when(F.get("_beyond", F.lit(0)).isNull(), F.get("_limbs", F.lit(i)))
-                    for i, name in enumerate(("wei_hi", "wei_mid", "wei_lo"))
-                },
-            }
-        )
-        .drop(column, "_beyond", "_limbs")
-    )
+    kept = [c for c in rows.columns if c != column]
+    long_digits = "ltrim('0', regexp_replace(_text, '^[+-]', ''))"
+    # Most significant limb first; NULL limbs for text of more than three limbs.
+    limbs = f"""
+        transform(array(0, 1, 2), i ->
+            if(length({long_digits}) <= {3 * _DIGITS},
+               cast(try_cast(substring(lpad({long_digits}, {3 * _DIGITS}, '0'),
+                                       i * {_DIGITS} + 1, {_DIGITS}) as decimal({_DIGITS}, 0))
+                    * if(startswith(_text, '-'), -1, 1) as decimal(38, 0)),
+               null))"""
+    beyond = f"""
+        transform(array(_text), t ->
+            if(length({long_digits}) > {3 * _DIGITS}, try_cast(t as double), null))"""
+    return rows.selectExpr(
+        *kept, f"if({column} rlike '^[+-]?[0-9]+$', {column}, null) AS _text"
+    ).selectExpr(
+        *kept,
+        f"length(_text) > {_DIGITS} AS _wide",
+        "if(_wide, null, try_cast(_text as decimal(38, 0))) AS wei_small",
+        f"if(_wide, {limbs}, null) AS _limbs",
+        f"if(_wide, {beyond}, null) AS _beyond",
+        "get(_limbs, 2) AS wei_lo",
+        "get(_limbs, 1) AS wei_mid",
+        "get(_limbs, 0) AS wei_hi",
+        "get(_beyond, 0) AS wei_beyond",
+    ).select(*kept, *PARTS)
 
 
 def sum_parts() -> list[Column]:
@@ -74,66 +60,36 @@ def with_totals(sums: DataFrame) -> DataFrame:
     """Replace summed ``PARTS`` by ``wei_exact`` (digits) and ``wei_value`` (nearest double).
 
     ``wei_exact`` is NULL where a double had to step in. Limbs are carried one
-    column at a time, each step on the columns of the step before.
+    after the other, each alias building on the ones before it; a negative
+    total shows the digits of its magnitude.
     """
-    base = F.lit(Decimal(_BASE))
-
-    def number(column: Column) -> Column:
-        return column.cast(_DEC)
-
-    def or_zero(name: str) -> Column:
-        return F.coalesce(F.col(name), F.lit(Decimal(0)))
-
-    def upper_part(total: str, rest: str) -> Column:
-        return number(number(F.col(total) - F.col(rest)) / base)
-
-    def complement(rest: str, borrow: Column) -> Column:
-        taken = number(F.col(rest) + borrow)
-        return F.when(taken == 0, number(F.lit(0))).otherwise(number(base - taken))
-
-    borrow_low = F.when(F.col("_r0") > 0, 1).otherwise(0)
-    borrow_mid = F.when(F.col("_r1") + borrow_low > 0, 1).otherwise(0)
-    steps = [
-        {"_low": number(or_zero("wei_small") + or_zero("wei_lo"))},
-        {"_r0": number(F.pmod("_low", base))},
-        {"_mid": number(or_zero("wei_mid") + upper_part("_low", "_r0"))},
-        {"_r1": number(F.pmod("_mid", base))},
-        {"_top": number(or_zero("wei_hi") + upper_part("_mid", "_r1"))},
-        {
-            # A negative total: digits of its magnitude.
-            "_m0": F.when(F.col("_top") < 0, complement("_r0", F.lit(0))).otherwise(F.col("_r0")),
-            "_m1": F.when(F.col("_top") < 0, complement("_r1", borrow_low)).otherwise(F.col("_r1")),
-            "_m2": F.when(F.col("_top") < 0, number(-F.col("_top") - borrow_mid)).otherwise(
-                F.col("_top")
-            ),
-        },
-    ]
-    for step in steps:
-        sums = sums.withColumns(step)
-    digits = F.ltrim(
-        F.concat(
-            F.col("_m2").cast("string"),
-            F.lpad(F.col("_m1").cast("string"), _DIGITS, "0"),
-            F.lpad(F.col("_m0").cast("string"), _DIGITS, "0"),
-        ),
-        F.lit("0"),
-    )
-    wide = F.concat(F.when(F.col("_top") < 0, "-").otherwise(""), digits)
-    exact = F.when(F.col("wei_mid").isNull(), F.col("_low").cast("string")).otherwise(
-        F.when(wide == "", "0").otherwise(wide)
-    )
-    as_double = (
-        F.col("_low").cast("double")
-        + or_zero("wei_mid").cast("double") * F.lit(float(_BASE))
-        + or_zero("wei_hi").cast("double") * F.lit(float(_BASE) ** 2)
-    )
-    return (
-        sums.withColumn("wei_exact", F.when(F.col("wei_beyond").isNull(), exact))
-        .withColumn(
-            "wei_value",
-            F.coalesce(
-                F.col("wei_exact").cast("double"), F.col("wei_beyond") + as_double
-            ),
-        )
-        .drop(*PARTS, "_low", "_mid", "_top", "_r0", "_r1", "_m0", "_m1", "_m2")
-    )
+    kept = [c for c in sums.columns if c not in PARTS]
+    dec = "decimal(38, 0)"
+    return sums.selectExpr(
+        *kept,
+        "wei_beyond",
+        "wei_mid IS NULL AS _narrow",
+        f"cast(coalesce(wei_small, 0) + coalesce(wei_lo, 0) as {dec}) AS _low",
+        f"cast(pmod(_low, {_BASE}) as {dec}) AS _r0",
+        f"""cast(coalesce(wei_mid, 0)
+            + cast(cast(_low - _r0 as {dec}) / {_BASE} as {dec}) as {dec}) AS _mid""",
+        f"cast(pmod(_mid, {_BASE}) as {dec}) AS _r1",
+        f"""cast(coalesce(wei_hi, 0)
+            + cast(cast(_mid - _r1 as {dec}) / {_BASE} as {dec}) as {dec}) AS _top""",
+        "_top < 0 AS _negative",
+        "if(_negative AND _r0 > 0, 1, 0) AS _b0",
+        f"if(_negative, cast(_b0 * {_BASE} - _r0 as {dec}), _r0) AS _m0",
+        "if(_negative AND _r1 + _b0 > 0, 1, 0) AS _b1",
+        f"if(_negative, cast(_b1 * {_BASE} - _r1 - _b0 as {dec}), _r1) AS _m1",
+        f"if(_negative, cast(-_top - _b1 as {dec}), _top) AS _m2",
+        f"""ltrim('0', concat(_m2, lpad(cast(_m1 as string), {_DIGITS}, '0'),
+                              lpad(cast(_m0 as string), {_DIGITS}, '0'))) AS _digits""",
+        """CASE WHEN wei_beyond IS NOT NULL THEN null
+                WHEN _narrow THEN cast(_low as string)
+                WHEN _digits = '' THEN '0'
+                ELSE concat(if(_negative, '-', ''), _digits) END AS wei_exact""",
+        f"""coalesce(cast(wei_exact as double),
+                     wei_beyond + cast(_low as double)
+                     + cast(coalesce(wei_mid, 0) as double) * 1e{_DIGITS}D
+                     + cast(coalesce(wei_hi, 0) as double) * 1e{2 * _DIGITS}D) AS wei_value""",
+    ).select(*kept, "wei_exact", "wei_value")

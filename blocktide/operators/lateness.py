@@ -194,6 +194,13 @@ def is_late(seq: Column) -> Column:
     return F.col("min_close").isNotNull() & (F.col("min_close") < seq)
 
 
+def with_verdicts(events: DataFrame, windows: DataFrame, seq: Column) -> DataFrame:
+    """Events with ``is_late`` and ``closed``; ``windows`` was counted to be small."""
+    table = F.broadcast(windows.select("chain", "we", "min_close", "closed"))
+    joined = events.join(table, ["chain", "we"], "left")
+    return joined.withColumn("is_late", is_late(seq)).drop("min_close")
+
+
 def flag_late(
     events: DataFrame, contested: DataFrame, seq: Column, hot_events: int = HOT_EVENTS
 ) -> DataFrame:
@@ -256,22 +263,20 @@ class Replay:
         windows = verdicts(close_points(points, self.size_us, self.small))
         if self.small:
             self.windows = windows
-            self._flagged = with_verdicts(events, windows).withColumn("is_late", is_late(self.seq))
+            self._flagged = with_verdicts(events, windows, self.seq)
             return
         self.windows, _ = materialize(windows, "verdicts")
         contested, rows = materialize(
             self.windows.filter(F.col("min_close").isNotNull()), "contested"
         )
         if rows <= small_rows:
-            self._flagged = with_verdicts(events, contested).withColumn(
-                "is_late", is_late(self.seq)
-            )
+            self._flagged = with_verdicts(events, contested, self.seq)
         else:
             self._flagged = flag_late(events, contested, self.seq, hot_events)
 
     def flagged(self) -> DataFrame:
         """Events plus ``is_late``."""
-        return self._flagged.drop("we", "min_close", "closed")
+        return self._flagged.drop("we", "closed")
 
     def accepted(self) -> DataFrame:
         """Events that count, with their window end ``we``."""
@@ -288,9 +293,3 @@ class Replay:
             closed = self.windows.filter("closed").select("chain", "we")
             wide = wide_metrics(self.accepted()).join(closed, ["chain", "we"])
         return long_metrics(wide, self.size_us)
-
-
-def with_verdicts(events: DataFrame, windows: DataFrame) -> DataFrame:
-    """Events with their window's verdict; ``windows`` was counted to be small."""
-    table = F.broadcast(windows.select("chain", "we", "min_close", "closed"))
-    return events.join(table, ["chain", "we"], "left")

@@ -4,19 +4,21 @@ Each batch runs the set-based close rule of ``operators.lateness`` over its
 own events plus a carried state:
 
 * ``chains``: watermark and last closed end per chain,
-* ``windows``: partial sums of windows that are still open,
-* ``senders``: distinct senders each batch added to windows left open.
+* ``windows``: windows that are still open,
+* ``partials``: sums per window and sender of the events each batch accepted.
 
 State lives in the shared folder under one sub-folder per batch. Batch N reads
-what batch N-1 wrote and replaces only its own folders, so a retried batch
-gives the same result, and losing executors costs nothing but a task rerun.
+what earlier batches wrote and replaces only its own folders, so a retried
+batch gives the same result, and losing executors costs nothing but a task
+rerun. The events of a batch are read twice (ledger, partials); all other work
+is on one row per window, or on the partials of windows that close.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
@@ -35,7 +37,6 @@ from blocktide.operators.lateness import (
     build_ledger,
     close_points,
     flag_late,
-    is_late,
     merge_points,
     verdicts,
     window_points,
@@ -60,27 +61,23 @@ CHAINS = T.StructType(
         T.StructField("closed_up_to", T.LongType()),
     ]
 )
-_DECIMAL = T.DecimalType(38, 0)
-_SUM_TYPES = {
-    **{n: T.LongType() for n in (*COUNTS, "n_events")},
-    "gas_used": _DECIMAL,
-    **{n: _DECIMAL for n in wei.PARTS},
-    "wei_beyond": T.DoubleType(),
-}
 WINDOWS = T.StructType(
     [
         T.StructField("chain", T.StringType()),
         T.StructField("we", T.LongType()),
         T.StructField("first_batch", T.LongType()),
-        *[T.StructField(name, t) for name, t in _SUM_TYPES.items()],
-        T.StructField("closed", T.BooleanType()),
     ]
 )
-SENDERS = T.StructType(
+_DECIMAL = T.DecimalType(38, 0)
+PARTIALS = T.StructType(
     [
         T.StructField("chain", T.StringType()),
         T.StructField("we", T.LongType()),
         T.StructField("from_address", T.StringType()),
+        *[T.StructField(name, T.LongType()) for name in (*COUNTS, "n_events")],
+        T.StructField("gas_used", _DECIMAL),
+        *[T.StructField(name, _DECIMAL) for name in wei.PARTS if name != "wei_beyond"],
+        T.StructField("wei_beyond", T.DoubleType()),
     ]
 )
 
@@ -129,148 +126,127 @@ class ExactWindows:
             return spark.createDataFrame([], schema)
         return spark.read.schema(schema).parquet(self._folder(kind, batch_id))
 
-    def _read_senders(self, spark: SparkSession, first: int, last: int) -> DataFrame:
-        folders = [self._folder("senders", b) for b in range(first, last + 1)]
-        if not folders:
-            return spark.createDataFrame([], SENDERS)
-        return spark.read.schema(SENDERS).parquet(*folders)
-
     # -- one micro-batch -----------------------------------------------------
 
-    def _seq(self, phase: int, *values) -> F.Column:
-        """Arrival position; everything carried over (phase 0) precedes the batch."""
-        return F.struct(F.lit(phase).alias("phase"), *values)
-
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         events = with_window_end(batch, self.size_us).persist()
         try:
-            chains = self._read(spark, "chains", batch_id - 1, CHAINS)
-            windows = self._read(spark, "windows", batch_id - 1, WINDOWS).filter(~F.col("closed"))
-            self._advance(events, chains, windows, batch_id)
+            self._advance(events, batch_id)
         finally:
             events.unpersist()
-        self._emit(spark, batch_id)
-        self._forget(spark, batch_id)
+        self._emit(batch.sparkSession, batch_id)
+        self._forget(batch.sparkSession, batch_id)
 
-    def _advance(
-        self, events: DataFrame, chains: DataFrame, windows: DataFrame, batch_id: int
-    ) -> None:
-        types = dict(events.select(*self.arrival).dtypes)
-        seq = self._seq(1, *self.arrival)
-        before = self._seq(0, *[F.lit(None).cast(types[c]).alias(c) for c in self.arrival])
-        ledger = build_ledger(events, self.size_us, self.lateness_us, seq).persist()
+    def _advance(self, events: DataFrame, batch_id: int) -> None:
+        spark = events.sparkSession
+        chains = self._read(spark, "chains", batch_id - 1, CHAINS)
+        windows = self._read(spark, "windows", batch_id - 1, WINDOWS)
 
-        none = F.lit(None).cast(ledger.schema["first_seq"].dataType)
-        zero = F.lit(0).cast("bigint")
-        carried_open = windows.select(
-            "chain", F.col("we").alias("e"), before.alias("first"), none.alias("last"),
-            none.alias("reach"), zero.alias("n"),
+        # Everything carried over (phase 0) precedes the events of this batch.
+        types = dict(events.select(*self.arrival).dtypes)
+        seq = F.struct(F.lit(1).alias("phase"), *self.arrival)
+        before = F.struct(
+            F.lit(0).alias("phase"), *[F.lit(None).cast(types[c]).alias(c) for c in self.arrival]
         )
-        reached = bucket_start_us(F.col("watermark") - F.lit(self.lateness_us), self.size_us)
-        carried_reach = chains.select(
-            "chain", reached.alias("e"), none.alias("first"), none.alias("last"),
-            before.alias("reach"), zero.alias("n"),
+        ledger = self._write(
+            build_ledger(events, self.size_us, self.lateness_us, seq), "ledger", batch_id
         )
-        pieces = window_points(ledger).unionByName(carried_open).unionByName(carried_reach)
+        pieces = self._pieces(ledger, chains, windows, before)
         small = pieces.count() <= self.small_rows
-        points = merge_points(pieces, small)
-        closes = close_points(points, self.size_us, small)
-        # Ends at or behind the last closed one are late whatever the batch holds.
+        points = close_points(merge_points(pieces, small), self.size_us, small)
+        # Windows at or behind the last closed end are late whatever the batch holds.
         cut = chains.select("chain", "closed_up_to")
-        closes = (
-            closes.join(cut, "chain", "left")
-            .withColumn(
-                "min_close",
-                F.when(F.col("e") <= F.col("closed_up_to"), before).otherwise(F.col("min_close")),
-            )
-            .drop("closed_up_to")
-            .persist()
+        gone = F.coalesce(F.col("e") <= F.col("closed_up_to"), F.lit(False))
+        points = points.join(cut, "chain", "left").withColumns(
+            {
+                "min_close": F.when(gone, before).otherwise(F.col("min_close")),
+                "close": F.when(~gone, F.col("close")),
+            }
         )
-        judged = verdicts(closes)
-        if not small:
-            judged = judged.filter(F.col("min_close").isNotNull())
-        if small or judged.count() <= self.small_rows:
-            flagged = with_verdicts(events, judged).withColumn("is_late", is_late(seq))
+        judged = self._write(verdicts(points), "verdicts", batch_id)
+
+        contested = judged if small else judged.filter(F.col("min_close").isNotNull())
+        if small or contested.count() <= self.small_rows:
+            flagged = with_verdicts(events, contested, seq)
         else:
-            flagged = flag_late(events, judged, seq)
+            flagged = flag_late(events, contested, seq)
         accepted = flagged.filter(~F.col("is_late"))
-
-        # One pass over the events: sums per sender, rolled up from there.
-        per_sender = (
-            measures(accepted).groupBy("chain", "we", "from_address").agg(*event_sums()).persist()
-        )
-        closing = closes.filter(F.col("close").isNotNull()).select(
-            "chain", F.col("e").alias("we"), F.lit(True).alias("closed")
+        partials = measures(accepted).groupBy("chain", "we", "from_address").agg(*event_sums())
+        self._write(_as(partials, PARTIALS), "partials", batch_id)
+
+        # A window held back by its cut has the carried position as its close.
+        cut_off = F.coalesce(F.col("min_close.phase") == 0, F.lit(False))
+        still_open = (
+            judged.filter(~F.col("closed") & ~cut_off)
+            .join(windows, ["chain", "we"], "left")
+            .withColumn("first_batch", F.coalesce("first_batch", F.lit(batch_id)))
         )
-        new_windows = (
-            per_sender.withColumn("first_batch", F.lit(batch_id))
-            .select("chain", "we", "first_batch", *_SUM_TYPES)
-            .unionByName(windows.drop("closed"))
-            .groupBy("chain", "we")
-            .agg(F.min("first_batch").alias("first_batch"), *merge_sums())
-            .join(closing, ["chain", "we"], "left")
-            .withColumn("closed", F.coalesce("closed", F.lit(False)))
-            .select(*[F.col(f.name).cast(f.dataType) for f in WINDOWS.fields])
+        self._write(_as(still_open, WINDOWS), "windows", batch_id)
+        none = F.lit(None).cast("bigint")
+        seen = ledger.select("chain", F.col("max_t").alias("watermark"), none.alias("closed_up_to"))
+        closed = judged.filter("closed").select(
+            "chain", none.alias("watermark"), F.col("we").alias("closed_up_to")
         )
-        self._write(new_windows, "windows", batch_id)
-        senders = per_sender.filter(F.col("from_address").isNotNull())
-        self._write(senders.select(*SENDERS.fieldNames()), "senders", batch_id)
-        new_chains = (
-            ledger.groupBy("chain")
-            .agg(F.max("max_t").alias("watermark"))
-            .withColumn("closed_up_to", F.lit(None).cast("bigint"))
+        self._write(
+            seen.unionByName(closed)
             .unionByName(chains)
-            .unionByName(
-                closing.select(
-                    "chain",
-                    F.lit(None).cast("bigint").alias("watermark"),
-                    F.col("we").alias("closed_up_to"),
-                )
-            )
             .groupBy("chain")
-            .agg(F.max("watermark").alias("watermark"), F.max("closed_up_to").alias("closed_up_to"))
+            .agg(F.max("watermark").alias("watermark"), F.max("closed_up_to").alias("closed_up_to")),
+            "chains",
+            batch_id,
         )
-        self._write(new_chains, "chains", batch_id)
-        for frame in (per_sender, closes, ledger):
-            frame.unpersist()
 
-    def _write(self, df: DataFrame, kind: str, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(self._folder(kind, batch_id))
+    def _pieces(
+        self, ledger: DataFrame, chains: DataFrame, windows: DataFrame, before: Column
+    ) -> DataFrame:
+        """The batch's ledger points plus those of the carried state."""
+        none = F.lit(None).cast(ledger.schema["first_seq"].dataType)
+        zero = F.lit(0).cast("bigint").alias("n")
+        reached = bucket_start_us(F.col("watermark") - F.lit(self.lateness_us), self.size_us)
+        opened = windows.select(
+            "chain", F.col("we").alias("e"), before.alias("first"), none.alias("last"),
+            none.alias("reach"), zero,
+        )
+        passed = chains.select(
+            "chain", reached.alias("e"), none.alias("first"), none.alias("last"),
+            before.alias("reach"), zero,
+        )
+        return window_points(ledger).unionByName(opened).unionByName(passed)
+
+    def _write(self, df: DataFrame, kind: str, batch_id: int) -> DataFrame:
+        path = self._folder(kind, batch_id)
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
 
     # -- emission ------------------------------------------------------------
 
-    def _finish(self, spark: SparkSession, wide: DataFrame, batch_id: int) -> DataFrame | None:
-        """Aggregate rows of the given windows, with their distinct senders counted."""
-        first = wide.agg(F.min("first_batch")).first()[0]
-        if first is None:
-            return None
-        keys = wide.select("chain", "we")
-        counted = (
-            self._read_senders(spark, first, batch_id)
-            .join(keys, ["chain", "we"], "left_semi")
-            .groupBy("chain", "we")
-            .agg(F.count_distinct("from_address").alias("n_addresses"))
+    def _rows(self, spark: SparkSession, windows: DataFrame, batch_id: int) -> DataFrame:
+        """Aggregate rows of the given windows from all partials kept up to ``batch_id``."""
+        keys = windows.select("chain", "we")
+        partials = (
+            spark.read.schema(PARTIALS)
+            .parquet(f"{self.state_path}/partials")
+            .filter(F.col("batch") <= batch_id)
         )
-        full = wide.join(counted, ["chain", "we"], "left").withColumn(
-            "n_addresses", F.coalesce("n_addresses", F.lit(0))
+        wide = (
+            partials.join(keys, ["chain", "we"], "left_semi")
+            .groupBy("chain", "we", "from_address")
+            .agg(*merge_sums())
+            .groupBy("chain", "we")
+            .agg(*merge_sums(), F.count("from_address").alias("n_addresses"))
         )
-        return long_metrics(full, self.size_us)
+        return long_metrics(wide, self.size_us)
 
     def _emit(self, spark: SparkSession, batch_id: int) -> None:
-        wide = self._read(spark, "windows", batch_id, WINDOWS).filter("closed")
-        rows = self._finish(spark, wide, batch_id)
-        if rows is None:
-            return
-        self._write(rows, "emitted", batch_id)
-        emitted = self._read(spark, "emitted", batch_id, S.AGGREGATE)
+        closed = spark.read.parquet(self._folder("verdicts", batch_id)).filter("closed")
+        emitted = self._write(self._rows(spark, closed, batch_id), "emitted", batch_id)
         upsert_aggregates(emitted, self.table_path, batch_id, stored=True)
         if self.log_path:
             write_batch(emitted, self.log_path, batch_id)
 
-    def _oldest_senders(self, spark: SparkSession, batch_id: int) -> int:
-        """First sender folder that windows open after ``batch_id`` still need."""
-        windows = self._read(spark, "windows", batch_id, WINDOWS).filter(~F.col("closed"))
+    def _oldest_partials(self, spark: SparkSession, batch_id: int) -> int:
+        """First partials folder that windows open after ``batch_id`` still need."""
+        windows = self._read(spark, "windows", batch_id, WINDOWS)
         oldest = windows.agg(F.min("first_batch")).first()[0]
         return batch_id + 1 if oldest is None else oldest
 
@@ -279,22 +255,25 @@ class ExactWindows:
         gone = batch_id - 2
         if gone < 0 or not path_exists(spark, self._folder("windows", gone)):
             return
-        oldest = self._oldest_senders(spark, batch_id - 1)
+        oldest = self._oldest_partials(spark, batch_id - 1)
         stale = [
-            self._folder("senders", b) for b in range(self._oldest_senders(spark, gone), oldest)
+            self._folder("partials", b) for b in range(self._oldest_partials(spark, gone), oldest)
         ]
-        stale += [self._folder(kind, gone) for kind in ("chains", "emitted", "windows")]
-        for folder in stale:
+        kinds = ("ledger", "verdicts", "emitted", "chains", "windows")
+        for folder in [*stale, *[self._folder(kind, gone) for kind in kinds]]:
             if path_exists(spark, folder):
                 delete_path(spark, folder)
 
     # -- end of stream -------------------------------------------------------
 
-    def flush(self, spark: SparkSession, last_batch: int) -> DataFrame | None:
+    def flush(self, spark: SparkSession, last_batch: int) -> DataFrame:
         """Aggregate rows of the windows still open after ``last_batch``.
 
         For a stream that has ended. The state is left as it is; storing the
         rows and then resuming the stream would replace them window by window.
         """
-        wide = self._read(spark, "windows", last_batch, WINDOWS).filter(~F.col("closed"))
-        return self._finish(spark, wide, last_batch)
+        return self._rows(spark, self._read(spark, "windows", last_batch, WINDOWS), last_batch)
+
+
+def _as(df: DataFrame, schema: T.StructType) -> DataFrame:
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])

@@ -90,7 +90,7 @@ def test_exact_stream_drops_old_state(spark, tmp_path):
     for n, part in enumerate(split(events, [5, 10, 15, 20, 25])):
         job.process(part, n)
     assert sorted(p.name for p in (tmp_path / "state" / "windows").iterdir()) == ["batch=4", "batch=5"]
-    assert not (tmp_path / "state" / "senders" / "batch=0").exists()
+    assert not (tmp_path / "state" / "partials" / "batch=0").exists()
 
 
 def test_native_stream_closes_passed_windows(spark, tmp_path):
