@@ -75,11 +75,16 @@ def upsert_aggregates(
             )
             result = kept.unionByName(new)
         # Rebalancing writes few files per day and still splits a heavy day.
-        result.hint("rebalance", "window_date").write.mode("overwrite").parquet(merged)
+        (
+            result.hint("rebalance", "window_date")
+            .write.mode("overwrite")
+            .partitionBy("window_date")
+            .parquet(merged)
+        )
+    # Staged files hold one day each, so publishing needs no shuffle.
     (
         spark.read.schema(STORED)
         .parquet(merged)
-        .hint("rebalance", "window_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("window_date")

@@ -106,8 +106,12 @@ class ExactWindows:
         self.lateness_us = lateness_micros(lateness)
         self.arrival = tuple(arrival)
         self.small_rows = small_rows
+        self._session: SparkSession | None = None
 
     def start(self, events: DataFrame, checkpoint: str, **trigger) -> DataStreamWriter:
+        # A running stream's own session plans without adaptive execution; work
+        # on written state goes through the session the stream was built in.
+        self._session = events.sparkSession
         writer = events.writeStream.foreachBatch(self.process).option(
             "checkpointLocation", checkpoint
         )
@@ -129,16 +133,16 @@ class ExactWindows:
     # -- one micro-batch -----------------------------------------------------
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
+        spark = self._session or batch.sparkSession
         events = with_window_end(batch, self.size_us).persist()
         try:
-            self._advance(events, batch_id)
+            self._advance(events, spark, batch_id)
         finally:
             events.unpersist()
-        self._emit(batch.sparkSession, batch_id)
-        self._forget(batch.sparkSession, batch_id)
+        self._emit(spark, batch_id)
+        self._forget(spark, batch_id)
 
-    def _advance(self, events: DataFrame, batch_id: int) -> None:
-        spark = events.sparkSession
+    def _advance(self, events: DataFrame, spark: SparkSession, batch_id: int) -> None:
         chains = self._read(spark, "chains", batch_id - 1, CHAINS)
         windows = self._read(spark, "windows", batch_id - 1, WINDOWS)
 
@@ -148,9 +152,9 @@ class ExactWindows:
         before = F.struct(
             F.lit(0).alias("phase"), *[F.lit(None).cast(types[c]).alias(c) for c in self.arrival]
         )
-        ledger = self._write(
-            build_ledger(events, self.size_us, self.lateness_us, seq), "ledger", batch_id
-        )
+        found = build_ledger(events, self.size_us, self.lateness_us, seq)
+        self._write(found, "ledger", batch_id)
+        ledger = self._read(spark, "ledger", batch_id, found.schema)
         pieces = self._pieces(ledger, chains, windows, before)
         small = pieces.count() <= self.small_rows
         points = close_points(merge_points(pieces, small), self.size_us, small)
@@ -163,9 +167,13 @@ class ExactWindows:
                 "close": F.when(~gone, F.col("close")),
             }
         )
-        judged = self._write(verdicts(points), "verdicts", batch_id)
+        windows_now = verdicts(points)
+        self._write(windows_now, "verdicts", batch_id)
+        judged = self._read(spark, "verdicts", batch_id, windows_now.schema)
 
-        contested = judged if small else judged.filter(F.col("min_close").isNotNull())
+        contested = self._read(events.sparkSession, "verdicts", batch_id, windows_now.schema)
+        if not small:
+            contested = contested.filter(F.col("min_close").isNotNull())
         if small or contested.count() <= self.small_rows:
             flagged = with_verdicts(events, contested, seq)
         else:
@@ -213,10 +221,8 @@ class ExactWindows:
         )
         return window_points(ledger).unionByName(opened).unionByName(passed)
 
-    def _write(self, df: DataFrame, kind: str, batch_id: int) -> DataFrame:
-        path = self._folder(kind, batch_id)
-        df.write.mode("overwrite").parquet(path)
-        return df.sparkSession.read.schema(df.schema).parquet(path)
+    def _write(self, df: DataFrame, kind: str, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(self._folder(kind, batch_id))
 
     # -- emission ------------------------------------------------------------
 
@@ -239,7 +245,8 @@ class ExactWindows:
 
     def _emit(self, spark: SparkSession, batch_id: int) -> None:
         closed = spark.read.parquet(self._folder("verdicts", batch_id)).filter("closed")
-        emitted = self._write(self._rows(spark, closed, batch_id), "emitted", batch_id)
+        self._write(self._rows(spark, closed, batch_id), "emitted", batch_id)
+        emitted = self._read(spark, "emitted", batch_id, S.AGGREGATE)
         upsert_aggregates(emitted, self.table_path, batch_id, stored=True)
         if self.log_path:
             write_batch(emitted, self.log_path, batch_id)

@@ -69,7 +69,7 @@ def test_retry_publishes_a_complete_stage_again(spark, tmp_path):
     upsert_aggregates(rows(spark, row("eth", "m", BASE, 1)), path, version=1)
     # A crash after staging: the merged copy is complete, the day is half published.
     merged = read_table(spark, path).withColumn("value", F.lit(9.0))
-    merged.write.parquet(f"{path}/_upsert/2/merged")
+    merged.write.partitionBy("window_date").parquet(f"{path}/_upsert/2/merged")
     upsert_aggregates(rows(spark, row("eth", "m", BASE, 9)), path, version=2)
     assert stored(spark, path) == [("eth", "m", BASE, "", 9.0)]
 
