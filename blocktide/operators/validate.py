@@ -43,11 +43,22 @@ def with_reject_reason(events: DataFrame) -> DataFrame:
 
 
 def valid_events(events: DataFrame) -> DataFrame:
-    """Events that pass every check, without helper columns."""
+    """Events that pass every check, without helper columns.
+
+    The same rule as ``reject_reason``, as plain conditions that a Parquet
+    scan can take over.
+    """
+    is_tx = F.col("type") == S.TYPE_TRANSACTION
+    accepted = [t for t in S.EVENT_TYPES if t != S.TYPE_UNSPECIFIED]
+    if "_corrupt_record" in events.columns:
+        events = events.filter(F.col("_corrupt_record").isNull())
     return (
-        with_reject_reason(events)
-        .filter(F.col("reject_reason").isNull())
-        .drop("reject_reason", "_corrupt_record")
+        events.filter(F.col("id") != "")
+        .filter(F.col("chain") != "")
+        .filter(F.col("type").isin(*accepted))
+        .filter(F.col("block_time").isNotNull())
+        .filter(~is_tx | (F.col("tx_hash") != ""))
+        .drop("_corrupt_record")
     )
 
 

@@ -1,12 +1,15 @@
 """Close and late rules: hand cases, random trials against the model, partitioned path."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from blocktide import schemas as S
+from blocktide.operators.enrich import enrich
 from blocktide.operators.lateness import Replay, running_min_from_end
+from blocktide.operators.validate import valid_events
 from tests.model import random_times, run_chain
 
 COLUMNS = (
@@ -156,3 +159,19 @@ def test_blocked_scan_equals_plain_scan(spark):
     plain = running_min_from_end(df, "v", size, small=True)
     blocked = running_min_from_end(df, "v", size, small=False)
     assert sorted(plain.collect(), key=str) == sorted(blocked.collect(), key=str)
+
+
+def test_event_scans_are_pruned_and_filtered(spark, tmp_path):
+    path = str(tmp_path / "events")
+    spark.createDataFrame([], S.CHAIN_EVENT).write.parquet(path)
+    events = enrich(valid_events(spark.read.schema(S.CHAIN_EVENT).parquet(path)))
+    metrics = Replay(events).metrics()
+    plan = metrics._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if f"file:{path}" in line)
+    columns = set(re.search(r"FileScan parquet \[(.*?)\]", scan).group(1).split(","))
+    names = {c.split("#")[0] for c in columns}
+    assert not names & {"attributes", "to_address", "block_hash", "block_number"}
+    logical = metrics._jdf.queryExecution().optimizedPlan().toString()
+    pushed = scan.split("PushedFilters: ")[1]
+    assert "Not(EqualTo(id,))" in pushed and "In(type" in pushed
+    assert "contract_label" not in logical
