@@ -17,11 +17,23 @@ def normalized_stream(
     raw: DataFrame,
     contracts: DataFrame | None = None,
     dedup_horizon: Duration | None = "1 hour",
+    counters: str | None = None,
 ) -> DataFrame:
-    """Valid, deduplicated, enriched events in append mode."""
-    events = valid_events(raw)
+    """Valid, deduplicated, enriched events in append mode.
+
+    With ``counters``, each progress report of the query carries observed
+    metrics under that name (``received``) and ``<counters>_valid`` and
+    ``<counters>_kept``; valid less kept is the number of suppressed repeats.
+    """
+
+    def observed(events: DataFrame, suffix: str, count: str) -> DataFrame:
+        if counters is None:
+            return events
+        return events.observe(counters + suffix, F.count(F.lit(1)).alias(count))
+
+    events = observed(valid_events(observed(raw, "", "received")), "_valid", "valid")
     if dedup_horizon is not None:
-        events = drop_redelivered(events, dedup_horizon)
+        events = observed(drop_redelivered(events, dedup_horizon), "_kept", "kept")
     return enrich(events, contracts)
 
 

@@ -141,7 +141,7 @@ def test_normalize_stream_drops_redelivered(spark, tmp_path):
     raw.coalesce(1).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(raw.schema).parquet(str(tmp_path / "in"))
     query = (
-        normalized_stream(stream)
+        normalized_stream(stream, counters="feed")
         .writeStream.format("parquet")
         .option("path", str(tmp_path / "out"))
         .option("checkpointLocation", str(tmp_path / "checkpoint"))
@@ -151,6 +151,9 @@ def test_normalize_stream_drops_redelivered(spark, tmp_path):
     assert query.awaitTermination(120)
     out = spark.read.parquet(str(tmp_path / "out")).collect()
     assert sorted(r.id for r in out) == ["e1", "e3"]
+    counted = next(p.observedMetrics for p in query.recentProgress if p.numInputRows)
+    assert counted["feed"].received == 5
+    assert (counted["feed_valid"].valid, counted["feed_kept"].kept) == (3, 2)
     assert {r.from_address for r in out} == {"0xfrom", ""}
 
 
