@@ -47,7 +47,7 @@ def materialize(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     path = new_work_dir(spark, name)
     size = Observation()
     df.observe(size, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), size.get["rows"]
+    return spark.read.schema(df.schema).parquet(path), size.get.get("rows", 0)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

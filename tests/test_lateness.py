@@ -128,6 +128,12 @@ def test_replay_equals_model(spark, seed, path):
     assert totals(replay.metrics(flush=True)) == flushed
 
 
+def test_no_events(spark):
+    events = sequence(spark, ("eth", 10)).filter("chain = 'none'")
+    replay = Replay(events, size=60, lateness=0)
+    assert late_ids(replay) == [] and totals(replay.metrics(flush=True)) == {}
+
+
 def test_numeric_arrival_key(spark):
     events, size, lateness, late, closed, _ = trial(spark, 11, chains=40)
     replay = Replay(

@@ -84,6 +84,16 @@ def test_exact_stream_restarts_from_its_checkpoint(spark, tmp_path):
     assert keyed(read_table(spark, str(tmp_path / "table"))) == expected
 
 
+def test_exact_stream_takes_empty_batches(spark, tmp_path):
+    events = frame(spark, [("eth", 0, 10), ("eth", 5, 90)])
+    job = ExactWindows(str(tmp_path / "state"), str(tmp_path / "table"), size=60, lateness=0)
+    none = events.filter("chain = 'none'")
+    for n, part in enumerate([none, events, none]):
+        job.process(part, n)
+    assert totals(read_table(spark, str(tmp_path / "table"))) == {("eth", 0): 1}
+    assert totals(job.flush(spark, 2)) == {("eth", 60): 1}
+
+
 def test_exact_stream_drops_old_state(spark, tmp_path):
     events = feed(spark, 6, chains=3)
     job = ExactWindows(str(tmp_path / "state"), str(tmp_path / "table"), size=60, lateness=0)
