@@ -245,6 +245,8 @@ class ExactWindows:
 
     def _emit(self, spark: SparkSession, batch_id: int) -> None:
         closed = spark.read.parquet(self._folder("verdicts", batch_id)).filter("closed")
+        if closed.isEmpty():
+            return
         self._write(self._rows(spark, closed, batch_id), "emitted", batch_id)
         emitted = self._read(spark, "emitted", batch_id, S.AGGREGATE)
         upsert_aggregates(emitted, self.table_path, batch_id, stored=True)
