@@ -9,7 +9,9 @@ from blocktide.llm.common import documents
 from blocktide.llm.decontamination import contamination
 from blocktide.llm.language import identify_language
 from blocktide.llm.licences import scan_licences
+from blocktide.llm.neighbours import nearest
 from blocktide.llm.packing import Limits, byte_bpe, pack
+from blocktide.llm.pii import KINDS, detect_pii, spans_text
 from blocktide.llm.preference import cut_answers, preference_turns
 from blocktide.llm.sharding import shard_documents
 
@@ -25,6 +27,22 @@ def training_rows() -> Column:
     return F.col("doc_id").isNotNull() & ~in_fold(2)
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = detect_pii(documents(spark, sf_dir), keep=("doc_id",))
+    base = F.filter("spans", lambda s: s["base"])
+    kinds = F.transform(base, lambda s: s["kind"])
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(kinds, lambda k: k == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(k) for k in KINDS],
+        F.sha2(spans_text(base), 256).alias("base_sha256"),
+        spans_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op2_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     return preference_turns(*cut_answers(turns))
@@ -59,11 +77,18 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return nearest(vectors, F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_preference": op2_preference,
     "op3_sharding": op3_sharding,
     "op4_packing": op4_packing,
     "op5_language": op5_language,
     "op6_licences": op6_licences,
     "op9_decontamination": op9_decontamination,
+    "op10_neighbours": op10_neighbours,
 }
