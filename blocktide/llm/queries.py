@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from blocktide.llm.common import documents
 from blocktide.llm.decontamination import contamination
+from blocktide.llm.jaccard import similar_documents
 from blocktide.llm.language import identify_language
 from blocktide.llm.licences import scan_licences
 from blocktide.llm.neighbours import nearest
@@ -73,6 +74,10 @@ def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licences(documents(spark, sf_dir))
 
 
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(documents(spark, sf_dir))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -89,6 +94,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_language": op5_language,
     "op6_licences": op6_licences,
+    "op8_jaccard": op8_jaccard,
     "op9_decontamination": op9_decontamination,
     "op10_neighbours": op10_neighbours,
 }
