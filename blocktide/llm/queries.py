@@ -15,6 +15,7 @@ from blocktide.llm.packing import Limits, byte_bpe, pack
 from blocktide.llm.pii import KINDS, detect_pii, spans_text
 from blocktide.llm.preference import cut_answers, preference_turns
 from blocktide.llm.sharding import shard_documents
+from blocktide.llm.substrings import remove_repeats
 
 SHARDS = 40
 
@@ -74,6 +75,11 @@ def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licences(documents(spark, sf_dir))
 
 
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = remove_repeats(documents(spark, sf_dir))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(documents(spark, sf_dir))
 
@@ -94,6 +100,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_language": op5_language,
     "op6_licences": op6_licences,
+    "op7_substrings": op7_substrings,
     "op8_jaccard": op8_jaccard,
     "op9_decontamination": op9_decontamination,
     "op10_neighbours": op10_neighbours,
