@@ -198,5 +198,5 @@ def drop_contaminated(
     )
     key_id, key_text = row_key(id_column, text_column)
     return docs.join(
-        small_side(bad, n_bad), key_id.eqNullSafe(F.col("_id")) & (key_text == F.col("_text")), "left_anti"
+        small_side(bad, n_bad), key_id.eqNullSafe(bad["_id"]) & (key_text == bad["_text"]), "left_anti"
     )

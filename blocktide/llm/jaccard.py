@@ -400,10 +400,10 @@ def keep_one_each(docs: DataFrame, percent: int = 80) -> DataFrame:
     twice, n_twice = materialize(
         per_id.filter("first AND rows > 1").select(F.col("doc_id").alias("_id")), "twice"
     )
-    kept = docs.join(small_side(gone, n_gone), F.col("doc_id") == F.col("_id"), "left_anti")
+    kept = docs.join(small_side(gone, n_gone), docs["doc_id"] == gone["_id"], "left_anti")
     if not n_twice:
         return kept
-    repeated = F.col("doc_id") == F.col("_id")
+    repeated = docs["doc_id"] == twice["_id"]
     once = kept.join(small_side(twice, n_twice), repeated, "left_anti")
     return once.unionByName(
         kept.join(small_side(twice, n_twice), repeated, "left_semi").dropDuplicates(["doc_id"])

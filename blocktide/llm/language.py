@@ -17,6 +17,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from blocktide.llm.common import small_side
 
@@ -160,11 +161,12 @@ def labelled_sample(
     wanted = docs.sparkSession.createDataFrame(
         [(i,) for i in chosen], f"_id {docs.schema[id_column].dataType.simpleString()}"
     )
-    texts = (
-        rows.join(small_side(wanted, len(chosen)), F.col(id_column).eqNullSafe(F.col("_id")), "left_semi")
-        .select(F.col(id_column).alias("i"), F.col(text_column).alias("t"), F.col(lang).alias("l"))
-        .collect()
+    named = rows.select(
+        F.col(id_column).alias("i"), F.col(text_column).alias("t"), F.col(lang).alias("l")
     )
+    texts = named.join(
+        small_side(wanted, len(chosen)), F.col("i").eqNullSafe(F.col("_id")), "left_semi"
+    ).collect()
     texts.sort(key=lambda r: (str(r.i), r.l, r.t))
     counts: dict[str, int] = {}
     sample = []
@@ -191,19 +193,22 @@ def identify_language(
     ``train`` holds; rows with a null text, null label or no letter teach
     nothing. Prediction sees the whole text only. A text that is null or has no
     letter is ``und`` with score 0, and so is every text if nothing could be
-    learned. Repeated rows get equal results, an empty table none.
+    learned. Repeated rows get equal results, an empty table none. A kept column
+    named like an output column is left out.
     """
     sample = labelled_sample(docs, train, per_language, id_column, text_column, lang_column)
     model = fit_language_model([t for t, _ in sample], [x for _, x in sample])
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    keep = [c for c in keep if c not in ("lang_pred", "score")]
     rows = docs.select(*keep, F.col(text_column).alias("_text"))
-    schema = rows.drop("_text").schema.add("lang_pred", "string").add("score", "double")
+    schema = T.StructType([docs.schema[c] for c in keep])
+    schema = schema.add("lang_pred", "string").add("score", "double")
     letter = regex.compile(r"\p{L}")
 
     def predict(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared.value
         for part in parts:
-            texts = part.column(part.schema.get_field_index("_text")).to_pylist()
+            texts = part.column(part.num_columns - 1).to_pylist()
             n = len(texts)
             names, scores = np.full(n, UNDETERMINED, object), np.zeros(n)
             known = [i for i in range(n) if texts[i] and letter.search(texts[i])] if fitted else []

@@ -306,12 +306,14 @@ def detect_pii(
 
     Null and empty texts have no spans (a null stays null when redacted). A kind
     with too few examples to learn from keeps its strict spans only. Repeated
-    rows get equal results, an empty table none.
+    rows get equal results, an empty table none. A kept column named like an
+    output column is left out.
     """
     detector = fit_detector(sample_texts(docs, sample_rows, sample_characters, text_column))
     shared = docs.sparkSession.sparkContext.broadcast(detector)
+    keep = [c for c in keep if c not in ("spans", redact_to)]
     rows = docs.select(*keep, F.col(text_column).alias("_text"))
-    schema = rows.drop("_text").schema.add("spans", SPANS)
+    schema = T.StructType([docs.schema[c] for c in keep]).add("spans", SPANS)
     if redact_to:
         schema = schema.add(redact_to, "string")
     arrow_span = pa.list_(
