@@ -223,25 +223,27 @@ def nearest(
         ).otherwise(a),
     )["to"]
     asked = stored.filter("is_query").select(
-        F.explode(seen).alias("part"),
-        F.pmod(F.xxhash64("row"), F.lit(query_blocks)).cast("int").alias("query_block"),
-        "vec_id", "v", "row",
-    )
+        F.explode(seen).alias("to_part"),
+        F.pmod(F.xxhash64("row"), F.lit(query_blocks)).cast("int").alias("to_query_block"),
+        F.col("vec_id").alias("query_id"),
+        F.col("v").alias("query"),
+        F.col("row").alias("query_row"),
+    )
     asked = asked.withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.element_at(block_of, F.col("part")) - 1))
+        "to_block", F.explode(F.sequence(F.lit(0), F.element_at(block_of, F.col("to_part")) - 1))
     )
 
     def compare(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         found: list[pd.DataFrame] = []
         if len(rows) and len(queries):
             x, ids, own = np.stack(rows["v"]), rows["vec_id"].to_numpy(), rows["row"].to_numpy()
-            asking = np.stack(queries["v"])
+            asking = np.stack(queries["query"])
             longest = (x * x).sum(1).max()
             for at in range(0, len(queries), 256):
                 q = asking[at : at + 256]
                 d = squared_distances(q, x)
                 slack = 1e-9 * ((q * q).sum(1) + longest)
-                d[own[None, :] == queries["row"].to_numpy()[at : at + 256, None]] = np.inf
+                d[own[None, :] == queries["query_row"].to_numpy()[at : at + 256, None]] = np.inf
                 n = min(k, len(x)) - 1
                 bound = np.partition(d, n, axis=1)[:, n] + slack
                 for i in range(len(q)):
@@ -251,8 +253,8 @@ def nearest(
                     found.append(
                         pd.DataFrame(
                             {
-                                "query_row": queries["row"].iloc[at + i],
-                                "query_id": queries["vec_id"].iloc[at + i],
+                                "query_row": queries["query_row"].iloc[at + i],
+                                "query_id": queries["query_id"].iloc[at + i],
                                 "vec_id": ids[near][best],
                                 "score": exact[best],
                             }
@@ -262,11 +264,10 @@ def nearest(
             return pd.concat(found, ignore_index=True)
         return pd.DataFrame({"query_row": [], "query_id": [], "vec_id": [], "score": []})
 
-    keys = ["part", "block", "query_block"]
     kind = stored.schema["vec_id"].dataType.simpleString()
     near = (
-        candidates.groupBy(*keys)
-        .cogroup(asked.groupBy(*keys))
+        candidates.groupBy("part", "block", "query_block")
+        .cogroup(asked.groupBy("to_part", "to_block", "to_query_block"))
         .applyInPandas(compare, f"query_row long, query_id {kind}, vec_id {kind}, score double")
     )
     rank = F.row_number().over(Window.partitionBy("query_row").orderBy("score", "vec_id"))
