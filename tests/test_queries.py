@@ -21,7 +21,7 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(Q.QUERIES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(Q.QUERIES))
