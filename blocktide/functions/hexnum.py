@@ -24,7 +24,7 @@ def hex_to_uint64(value: Column) -> Column:
     """decimal(20,0); NULL where the text is empty, not hex, or wider than 64 bits."""
     body = _body(value)
     digits = _without_leading_zeros(body)
-    ok = body.rlike("^[0-9a-fA-F]+$") & (F.length(digits) <= 16)
+    ok = body.rlike(r"^[0-9a-fA-F]+\z") & (F.length(digits) <= 16)
     return F.when(ok, F.conv(digits, 16, 10).cast("decimal(20,0)"))
 
 
@@ -89,4 +89,4 @@ def hex_to_decimal_string(value: Column) -> Column:
     signed = F.when(
         body.startswith("-") & (digits != "0"), F.concat(F.lit("-"), unsigned)
     ).otherwise(unsigned)
-    return F.when(body == "", F.lit("0")).when(body.rlike("^[+-]?[0-9a-fA-F]+$"), signed)
+    return F.when(body == "", F.lit("0")).when(body.rlike(r"^[+-]?[0-9a-fA-F]+\z"), signed)

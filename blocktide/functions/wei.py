@@ -38,7 +38,7 @@ def with_parts(rows: DataFrame, column: str = "value_wei") -> DataFrame:
         transform(array(_text), t ->
             if(length({long_digits}) > {3 * _DIGITS}, try_cast(t as double), null))"""
     return rows.selectExpr(
-        *kept, f"if({column} rlike '^[+-]?[0-9]+$', {column}, null) AS _text"
+        *kept, f"if({column} rlike '^[+-]?[0-9]+\\\\z', {column}, null) AS _text"
     ).selectExpr(
         *kept,
         f"length(_text) > {_DIGITS} AS _wide",

@@ -54,12 +54,22 @@ def dropped_per_interval(events: DataFrame, interval: Duration = "1 minute") ->
     )
 
 
-def drop_redelivered(stream: DataFrame, horizon: Duration) -> DataFrame:
-    """Streaming form: an id repeated within ``horizon`` of arrival is dropped.
+def drop_redelivered(stream: DataFrame) -> DataFrame:
+    """Streaming form: an id that was seen before is dropped, whenever it arrives.
 
-    State is bounded by time and keyed by id, so it spreads over all state
-    partitions.
+    No watermark, so nothing is ever dropped for being old; the state holds every
+    id, keyed by id, and belongs in a disk-backed state store. ``unseen`` bounds
+    what is looked at instead.
     """
-    return stream.withWatermark(
-        "observed_at", f"{micros(horizon)} microseconds"
-    ).dropDuplicatesWithinWatermark(["id"])
+    return stream.dropDuplicates(["id"])
+
+
+def unseen(firsts: DataFrame, seen: DataFrame, horizon: Duration) -> DataFrame:
+    """Rows of ``firsts`` (one per id) whose id is not in ``seen`` (id, observed_at).
+
+    ``horizon`` says how far apart in arrival time repeats are recognised. It is
+    no lateness limit: an id that was not seen passes however old it is.
+    """
+    known = seen.select(F.col("id").alias("_id"), F.col("observed_at").alias("_at"))
+    apart = F.abs(F.unix_micros("observed_at") - F.unix_micros("_at"))
+    return firsts.join(known, (F.col("id") == F.col("_id")) & (apart <= micros(horizon)), "left_anti")

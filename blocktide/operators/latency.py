@@ -1,6 +1,6 @@
-"""Latency histograms and quantiles estimated from them.
+"""Latency quantiles: exact, from a sketch, or estimated from a histogram.
 
-Quantiles are read from a fixed set of cumulative buckets with linear
+Histogram quantiles are read from a fixed set of cumulative buckets with linear
 interpolation inside the bucket, so a group's state is a few counters however
 many events it holds.
 """
@@ -58,16 +58,40 @@ def histogram_quantile(q: float, bounds: Sequence[float] = DEFAULT_BOUNDS) -> Co
 
 
 def freshness_quantiles(
+    events: DataFrame,
+    keys: Sequence[str] = ("chain",),
+    quantiles: Sequence[float] = DEFAULT_QUANTILES,
+) -> DataFrame:
+    """Exact p50, p95, p99 of arrival delay per group, interpolated between ranks.
+
+    A group's state grows with its distinct delays; ``freshness_percentiles`` and
+    ``freshness_histogram`` bound it.
+    """
+    exact = F.percentile(staleness_seconds(), [float(q) for q in quantiles])
+    return (
+        events.groupBy(*keys)
+        .agg(F.count("*").alias("events"), exact.alias("p"))
+        .select(
+            *keys,
+            "events",
+            *[F.col("p")[i].alias(f"p{round(q * 100)}") for i, q in enumerate(quantiles)],
+        )
+    )
+
+
+def freshness_histogram(
     events: DataFrame,
     keys: Sequence[str] = ("chain",),
     bounds: Sequence[float] = DEFAULT_BOUNDS,
     quantiles: Sequence[float] = DEFAULT_QUANTILES,
 ) -> DataFrame:
-    """p50, p95, p99 of arrival delay per group."""
+    """The same from fixed buckets; ``above`` counts events past the last bound, where
+    a quantile can only say that bound."""
     histogram = latency_histogram(events, keys, staleness_seconds(), bounds)
     return histogram.select(
         *keys,
         "events",
+        (F.col("events") - F.col(f"le_{len(bounds) - 1}")).alias("above"),
         *[histogram_quantile(q, bounds).alias(f"p{round(q * 100)}") for q in quantiles],
     )
 

@@ -206,17 +206,22 @@ def flag_late(
 ) -> DataFrame:
     """Add ``is_late`` where the contested windows are too many to broadcast.
 
-    Hot windows are broadcast (each holds ``hot_events`` rows or more, so
-    there are few), and the rest meet in a shuffle join in which no key is
+    Hot windows are counted and broadcast (each holds ``hot_events`` rows or
+    more, so there are few), and the rest meet in a shuffle join in which no key is
     hot; events of hot windows get a scattered key that matches nothing there.
     """
-    hot = contested.filter(F.col("n") >= hot_events).select(
-        "chain", "we", F.col("min_close").alias("hot_close")
+    hot, n_hot = materialize(
+        contested.filter(F.col("n") >= hot_events).select(
+            "chain", "we", F.col("min_close").alias("hot_close")
+        ),
+        "hot",
     )
+    if n_hot > SMALL_ROWS:
+        raise ValueError(f"{n_hot} windows hold {hot_events} events or more; raise hot_events")
     cold = contested.filter(F.col("n") < hot_events).select(
         F.col("chain").alias("cold_chain"), F.col("we").alias("cold_we"), "min_close"
     )
-    scattered = F.concat(F.lit("\x00"), F.xxhash64("id", "observed_at").cast("string"))
+    scattered = F.concat(F.lit("\x00"), F.monotonically_increasing_id().cast("string"))
     key = F.when(F.col("hot_close").isNull(), F.col("chain")).otherwise(scattered)
     joined = (
         events.join(F.broadcast(hot), ["chain", "we"], "left")

@@ -177,12 +177,23 @@ def _quantiles() -> str:
         "delays AS (SELECT chain, type, epoch_us(observed_at) / 1e6 - epoch_us(block_time) / 1e6"
         " AS latency FROM norm)",
         f"hist AS (SELECT chain, type, {counts}, count(*) AS events FROM delays GROUP BY ALL)",
-        select="SELECT chain, type, events, "
+        select=f"SELECT chain, type, events, events - le_{len(bounds) - 1} AS above, "
         + ", ".join(quantile(q) for q in (0.5, 0.95, 0.99))
         + " FROM hist",
     )
 
 
+def _exact_quantiles() -> str:
+    cuts = ", ".join(
+        f"round(quantile_cont(latency, {q}), 6) AS p{round(q * 100)}" for q in (0.5, 0.95, 0.99)
+    )
+    return _with(
+        "delays AS (SELECT chain, type, epoch_us(observed_at) / 1e6 - epoch_us(block_time) / 1e6"
+        " AS latency FROM norm)",
+        select=f"SELECT chain, type, count(*) AS events, {cuts} FROM delays GROUP BY chain, type",
+    )
+
+
 def _lag_ctes() -> tuple[str, ...]:
     marks = [("end_offset", 0), *Q.GROUP_DELAY_S.items()]
     day = "floor((epoch(observed_at) + {}) / 86400)::BIGINT"
@@ -338,6 +349,12 @@ def oracle_sql() -> dict[str, str]:
             weekly, f"agg AS ({_rows('weekly', 'INTERVAL 7 DAY')})", select=show_agg
         ),
         "replay_late_flags": _with(SEQUENCED, select="SELECT id, chain, is_late FROM flagged"),
+        "replay_late_flags_partitioned": _with(
+            SEQUENCED, select="SELECT id, chain, is_late FROM flagged"
+        ),
+        "replay_late_flags_by_position": _with(
+            SEQUENCED, select="SELECT id, chain, is_late FROM flagged"
+        ),
         "replay_closed_metrics": _with(*closed, select=show_agg),
         "replay_flush_metrics": _with(*flushed, select=show_agg),
         "upsert_latest": _with(
@@ -355,6 +372,10 @@ def oracle_sql() -> dict[str, str]:
             f" AND window_start < TIMESTAMP '{until}'"
             f" ORDER BY agg.window_start, metric, chain, labels_key LIMIT {S.MAX_QUERY_ROWS})",
         ),
+        "aggregates_pages": _with(
+            *flushed,
+            select=f"SELECT chain, metric, {_at('window_start')}, labels_key, value FROM agg",
+        ),
         "recent_rows": _with(
             *flushed,
             select="SELECT chain, CASE labels_key WHEN '' THEN metric"
@@ -400,7 +421,8 @@ def oracle_sql() -> dict[str, str]:
             "late AS (SELECT * FROM flagged WHERE is_late)",
             select=_rate("late", "5 MINUTE", "chain", "late", 300, "observed_at"),
         ),
-        "freshness_quantiles": _quantiles(),
+        "freshness_quantiles": _exact_quantiles(),
+        "freshness_histogram": _quantiles(),
         "group_lag": _with(*_lag_ctes(), select="SELECT * FROM lags"),
         "peak_lag": _with(
             *_lag_ctes(), select="SELECT label, max(records_lag) AS peak_lag FROM lags GROUP BY 1"
@@ -450,6 +472,13 @@ def oracle_sql() -> dict[str, str]:
             + " AS value FROM agg",
         ),
         "stream_exact_metrics": _with(*closed, select=show_agg),
+        "stream_exact_many_batches": _with(*closed, select=show_agg),
+        "stream_exact_late_counts": _with(
+            SEQUENCED,
+            select="SELECT chain, count(*) FILTER (WHERE is_late) AS late,"
+            " count(*) FILTER (WHERE NOT is_late) AS accepted FROM flagged GROUP BY 1",
+        ),
+        "stream_exact_flush": _with(*flushed, select=show_agg),
         "stream_native_metrics": _with(
             batch,
             "passed AS (SELECT * FROM hourly WHERE we <="
@@ -461,6 +490,13 @@ def oracle_sql() -> dict[str, str]:
             select=f"SELECT id, chain, type, from_address, to_address,{ATTRIBUTES} AS attributes"
             " FROM norm"
         ),
+        "stream_deduplicated": _with(
+            "twice AS (SELECT reject_reason FROM judged"
+            " UNION ALL SELECT reject_reason FROM judged WHERE e % 17 = 0)",
+            select="SELECT received, rejected, kept, received - rejected - kept AS suppressed,"
+            " kept AS ids FROM (SELECT count(*) AS received, count(reject_reason) AS rejected FROM twice),"
+            " (SELECT count(*) AS kept FROM norm)",
+        ),
         "stream_rejects": _with(
             select="SELECT coalesce(reject_reason, '') AS reject_reason, count(*) AS events"
             " FROM judged GROUP BY 1"

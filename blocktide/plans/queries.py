@@ -7,6 +7,7 @@ numbers as digits, so results compare equal across engines.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -28,6 +29,7 @@ from blocktide.operators.validate import valid_events, with_reject_reason
 from blocktide.operators.window_metrics import events_by_type, window_metrics
 from blocktide.session import new_work_dir
 from blocktide.sinks.aggregates_table import (
+    READ_ORDER,
     query_aggregates,
     read_table,
     recent_aggregates,
@@ -210,6 +212,22 @@ def replay_late_flags(spark, sf_dir):
     return replay(spark, sf_dir).flagged().select("id", "chain", "is_late")
 
 
+@query
+def replay_late_flags_partitioned(spark, sf_dir):
+    """The same by the path of large tables: hot windows broadcast, others joined."""
+    large = Replay(normalized(spark, sf_dir), WINDOW, LATENESS, small_rows=0, hot_events=50)
+    return large.flagged().select("id", "chain", "is_late")
+
+
+@query
+def replay_late_flags_by_position(spark, sf_dir):
+    """The same path with a numeric arrival key and without the time of arrival."""
+    rank = F.struct(F.unix_micros("observed_at").alias("at"), "id")
+    events = normalized(spark, sf_dir).select("id", "chain", "block_time", rank.alias("position"))
+    large = Replay(events, WINDOW, LATENESS, arrival=("position",), small_rows=0, hot_events=50)
+    return large.flagged().select("id", "chain", "is_late")
+
+
 @query
 def replay_closed_metrics(spark, sf_dir):
     return show_aggregates(replay(spark, sf_dir).metrics())
@@ -255,6 +273,21 @@ def aggregates_range(spark, sf_dir):
     )
 
 
+@query
+def aggregates_pages(spark, sf_dir):
+    """All stored rows in pages of half the table, each going on after the last."""
+    stored = _stored_replay(spark, sf_dir)
+    size = stored.count() // 2 + 1
+    first = query_aggregates(stored, limit=size)
+    last = first.orderBy(*[F.desc(c) for c in READ_ORDER]).select(*READ_ORDER).first()
+    pages = [first]
+    if last:
+        pages.append(query_aggregates(stored, limit=None, after=tuple(last)))
+    return functools.reduce(DataFrame.unionByName, pages).select(
+        "chain", "metric", _stamp("window_start"), "labels_key", "value"
+    )
+
+
 @query
 def recent_rows(spark, sf_dir):
     rows = recent_aggregates(_stored_replay(spark, sf_dir))
@@ -305,7 +338,14 @@ def late_rate(spark, sf_dir):
 
 @query
 def freshness_quantiles(spark, sf_dir):
-    return latency.freshness_quantiles(
+    rows = latency.freshness_quantiles(normalized(spark, sf_dir), ("chain", "type"))
+    # Engines interpolate in different orders of operations.
+    return rows.withColumns({p: F.round(p, 6) for p in ("p50", "p95", "p99")})
+
+
+@query
+def freshness_histogram(spark, sf_dir):
+    return latency.freshness_histogram(
         normalized(spark, sf_dir), ("chain", "type"), FRESHNESS_BOUNDS
     )
 
@@ -532,19 +572,50 @@ def _run_to_end(writer) -> None:
 @query
 def stream_exact_metrics(spark, sf_dir):
     """The normalized feed landed in two arrival slices, the stream restarted in between."""
-    events = normalized(spark, sf_dir).select(
-        "id", "chain", "type", "from_address", "value_wei", "gas_used", "observed_at", "block_time"
-    )
+    _, work = _exact_stream(spark, sf_dir, 2)
+    return show_aggregates(read_table(spark, f"{work}/table"))
+
+
+EXACT_COLUMNS = (
+    "id", "chain", "type", "from_address", "value_wei", "gas_used", "observed_at", "block_time"
+)
+
+
+def _exact_stream(spark: SparkSession, sf_dir: str, slices: int) -> tuple[ExactWindows, str]:
+    """The exact stream over the feed in so many arrival slices, restarted for each."""
+    events = normalized(spark, sf_dir).select(*EXACT_COLUMNS)
     work = new_work_dir(spark, "stream-exact")
+    job = ExactWindows(f"{work}/state", f"{work}/table", f"{work}/log", WINDOW, LATENESS)
     at = F.unix_micros("observed_at")
     lo, hi = events.agg(F.min(at), F.max(at)).first()
-    edges = [lo - 1, lo + (hi - lo) // 2, hi]
+    edges = [] if lo is None else [lo - 1 + (hi - lo + 1) * k // slices for k in range(slices + 1)]
+    events.limit(0).write.parquet(f"{work}/in")
     for start, end in zip(edges, edges[1:]):
         events.filter((at > start) & (at <= end)).write.mode("append").parquet(f"{work}/in")
-        job = ExactWindows(f"{work}/state", f"{work}/table", f"{work}/log", WINDOW, LATENESS)
         stream = stream_events(spark, f"{work}/in", schema=events.schema)
         _run_to_end(job.start(stream, f"{work}/checkpoint"))
-    return show_aggregates(read_table(spark, f"{work}/table"))
+    return job, work
+
+
+@query
+def stream_exact_many_batches(spark, sf_dir):
+    """Five batches; closed windows from the log of emitted rows, each emitted once."""
+    _, work = _exact_stream(spark, sf_dir, 5)
+    return show_aggregates(spark.read.schema(S.AGGREGATE).parquet(f"{work}/log"))
+
+
+@query
+def stream_exact_late_counts(spark, sf_dir):
+    job, _ = _exact_stream(spark, sf_dir, 3)
+    return job.late_counts(spark)
+
+
+@query
+def stream_exact_flush(spark, sf_dir):
+    """Windows that closed, and those still open when the stream ended."""
+    job, work = _exact_stream(spark, sf_dir, 3)
+    stored = read_table(spark, f"{work}/table").select(*S.AGGREGATE.names)
+    return show_aggregates(stored.unionByName(job.flush(spark, 2)))
 
 
 @query
@@ -565,9 +636,8 @@ def stream_native_metrics(spark, sf_dir):
 def stream_normalized(spark, sf_dir):
     """The redelivered raw feed through streaming validate, dedup and enrich."""
     work = new_work_dir(spark, "stream-normalize")
-    raw = redelivered_feed(load_feed(spark, sf_dir)).drop("event_id")
-    raw.write.parquet(f"{work}/in")
-    stream = stream_events(spark, f"{work}/in", schema=raw.schema)
+    raw = _landed_out_of_order(spark, sf_dir, f"{work}/in")
+    stream = stream_events(spark, f"{work}/in", max_files=1, schema=raw.schema)
     _run_to_end(append_stream(normalized_stream(stream), f"{work}/out", f"{work}/checkpoint"))
     return spark.read.parquet(f"{work}/out").select(
         "id", "chain", "type", "from_address", "to_address",
@@ -575,6 +645,36 @@ def stream_normalized(spark, sf_dir):
     )
 
 
+def _landed_out_of_order(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    """The redelivered raw feed in four files, the oldest arrivals landing last."""
+    raw = redelivered_feed(load_feed(spark, sf_dir)).drop("event_id")
+    quarter = F.ntile(4).over(Window.orderBy("day"))
+    days = raw.select(F.to_date("observed_at").alias("day")).distinct().withColumn("q", quarter)
+    split = raw.join(days, F.to_date("observed_at") == F.col("day")).drop("day")
+    for q in (2, 3, 4, 1):
+        split.filter(F.col("q") == q).drop("q").coalesce(1).write.mode("append").parquet(path)
+    return raw
+
+
+@query
+def stream_deduplicated(spark, sf_dir):
+    """The same feed with rejects and seen ids: events per outcome, over all batches."""
+    work = new_work_dir(spark, "stream-dedup")
+    raw = _landed_out_of_order(spark, sf_dir, f"{work}/in")
+    stream = stream_events(spark, f"{work}/in", max_files=1, schema=raw.schema)
+    _run_to_end(
+        normalize_with_rejects(
+            stream, f"{work}/good", f"{work}/bad", f"{work}/checkpoint",
+            seen_path=f"{work}/seen", counts_path=f"{work}/counts",
+        )
+    )
+    totals = spark.read.parquet(f"{work}/counts").groupBy().agg(
+        *[F.sum(c).alias(c) for c in ("received", "rejected", "kept", "suppressed")]
+    )
+    ids = spark.read.parquet(f"{work}/good").agg(F.count_distinct("id").alias("ids"))
+    return totals.crossJoin(ids)  # one row each
+
+
 @query
 def stream_rejects(spark, sf_dir):
     """Good and rejected events of the raw feed, committed together per batch."""

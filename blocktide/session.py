@@ -61,3 +61,20 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
     return fs.delete(hadoop_path, True)
+
+
+def child_names(spark: SparkSession, path: str, pattern: str) -> list[str]:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{pattern}")
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.globStatus(hadoop_path) or []]
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Put folder ``source`` in the place of ``target``."""
+    paths = spark._jvm.org.apache.hadoop.fs
+    old, new = paths.Path(source), paths.Path(target)
+    fs = new.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(new, True)
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise OSError(f"could not move {source} to {target}")

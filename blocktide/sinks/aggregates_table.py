@@ -1,8 +1,8 @@
 """The stored aggregates: Parquet partitioned by window day, upserted by key.
 
 One writer at a time. Nothing is ever read and overwritten in place: the
-merged days are staged in full next to the table and then published, and a
-retry of the same version publishes the staged copy again.
+merged days are staged in full next to the table and then moved into place, and
+a retry of the same version moves what is still staged.
 """
 
 from __future__ import annotations
@@ -17,8 +17,11 @@ from pyspark.sql import types as T
 from blocktide import schemas as S
 from blocktide.functions.labels import labels_key
 from blocktide.operators.filters import filter_aggregates
-from blocktide.session import delete_path, path_exists
+from blocktide.session import child_names, delete_path, move_folder, path_exists
 
+READ_ORDER = ("window_start", "metric", "chain", "labels_key")
+#: Days that an upsert may touch and still name in a partition filter.
+MOST_DAYS = 10_000
 STORED = T.StructType([*S.AGGREGATE.fields, T.StructField("window_date", T.DateType())])
 
 
@@ -47,17 +50,26 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def upsert_aggregates(
-    rows: DataFrame, path: str, version: int | str | None = None, stored: bool = False
+    rows: DataFrame,
+    path: str,
+    version: int | str | None = None,
+    stored: bool = False,
+    run: str = "",
 ) -> None:
     """Insert ``rows`` into the table at ``path``, replacing rows of equal key.
 
     Only the days present in ``rows`` are read and rewritten. ``version``
-    names the write for retries (a stream passes its batch id). ``stored``
-    says that ``rows`` come from files and hold each key once, so they need
-    not be staged first. No rows, no change.
+    names the write for retries (a stream passes its batch id), ``run`` the
+    stream, so that a stage that another one left behind is never taken for
+    its own. ``stored`` says that ``rows`` come from files and hold each key
+    once, so they need not be staged first. No rows, no change.
+
+    The merged days are written once and moved into place, one after the other:
+    a reader may meet some days new and others old, or miss one for a moment.
     """
     spark = rows.sparkSession
-    stage = f"{path}/_upsert/{version if version is not None else uuid.uuid4().hex}"
+    name = f"{run}-{version}" if run else version
+    stage = f"{path}/_upsert/{name if version is not None else uuid.uuid4().hex}"
     merged = f"{stage}/merged"
     if not path_exists(spark, f"{merged}/_SUCCESS"):
         if stored:
@@ -67,13 +79,8 @@ def upsert_aggregates(
             new = spark.read.schema(STORED).parquet(f"{stage}/rows")
         result = new
         if _has_days(spark, path):
-            days = new.select("window_date").distinct()
-            kept = (
-                read_table(spark, path)
-                .join(days, "window_date", "left_semi")
-                .join(new, list(S.AGGREGATE_KEY), "left_anti")
-            )
-            result = kept.unionByName(new)
+            old = in_days(read_table(spark, path), new)
+            result = old.join(new, list(S.AGGREGATE_KEY), "left_anti").unionByName(new)
         # Rebalancing writes few files per day and still splits a heavy day.
         (
             result.hint("rebalance", "window_date")
@@ -81,27 +88,28 @@ def upsert_aggregates(
             .partitionBy("window_date")
             .parquet(merged)
         )
-    # Staged files hold one day each, so publishing needs no shuffle.
-    (
-        spark.read.schema(STORED)
-        .parquet(merged)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("window_date")
-        .parquet(path)
-    )
+    for day in child_names(spark, merged, "window_date=*"):
+        move_folder(spark, f"{merged}/{day}", f"{path}/{day}")
     delete_path(spark, stage)
 
 
+def in_days(table: DataFrame, rows: DataFrame) -> DataFrame:
+    """``table`` cut to the days of ``rows``: a partition filter while those are few."""
+    days = rows.select("window_date").distinct()
+    found = [r[0] for r in days.limit(MOST_DAYS + 1).collect()]
+    if len(found) > MOST_DAYS:
+        return table.join(days, "window_date", "left_semi")
+    return table.filter(F.col("window_date").isin(found))
+
+
 def _has_days(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/window_date=*")
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return bool(fs.globStatus(hadoop_path))
+    return bool(child_names(spark, path, "window_date=*"))
 
 
-def in_read_order(aggregates: DataFrame, limit: int = S.MAX_QUERY_ROWS) -> DataFrame:
-    """Oldest window first, at most ``limit`` rows; ties broken by the rest of the key."""
-    return aggregates.orderBy("window_start", "metric", "chain", "labels_key").limit(limit)
+def in_read_order(aggregates: DataFrame, limit: int | None = S.MAX_QUERY_ROWS) -> DataFrame:
+    """Oldest window first, at most ``limit`` rows (None: all); ties broken by the rest of the key."""
+    rows = aggregates.orderBy(*READ_ORDER)
+    return rows if limit is None else rows.limit(limit)
 
 
 def query_aggregates(
@@ -110,10 +118,20 @@ def query_aggregates(
     metric: str = "",
     since: dt.datetime | None = None,
     until: dt.datetime | None = None,
-    limit: int = S.MAX_QUERY_ROWS,
+    limit: int | None = S.MAX_QUERY_ROWS,
+    after: tuple | None = None,
 ) -> DataFrame:
-    """Range read over the table; an empty label map comes back as NULL."""
-    rows = in_read_order(filter_aggregates(aggregates, chain, metric, since, until), limit)
+    """Range read over the table; an empty label map comes back as NULL.
+
+    A read that returned ``limit`` rows may go on: give the ``READ_ORDER`` values
+    of its last row as ``after``. ``limit=None`` returns everything.
+    """
+    found = filter_aggregates(aggregates, chain, metric, since, until)
+    if after is not None:
+        found = found.filter(
+            F.struct(*READ_ORDER) > F.struct(*[F.lit(v).alias(c) for c, v in zip(READ_ORDER, after)])
+        )
+    rows = in_read_order(found, limit)
     return rows.withColumn("labels", F.when(F.size("labels") > 0, F.col("labels")))
 
 

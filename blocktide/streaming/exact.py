@@ -5,17 +5,21 @@ own events plus a carried state:
 
 * ``chains``: watermark and last closed end per chain,
 * ``windows``: windows that are still open,
-* ``partials``: sums per window and sender of the events each batch accepted.
+* ``partials``: sums per window and sender of accepted events, for the windows
+  that were open before the batch and those it touched,
+* ``late``: late and accepted events per chain, of each batch on its own.
 
 State lives in the shared folder under one sub-folder per batch. Batch N reads
 what earlier batches wrote and replaces only its own folders, so a retried
 batch gives the same result, and losing executors costs nothing but a task
 rerun. The events of a batch are read twice (ledger, partials); all other work
-is on one row per window, or on the partials of windows that close.
+is on one row per window, or on the partials of open windows, which every batch
+carries forward once: state and files follow the open windows, not the batches.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,6 +46,7 @@ from blocktide.operators.lateness import (
     window_points,
     with_verdicts,
 )
+from blocktide.operators.stats import late_counts
 from blocktide.operators.window_metrics import (
     COUNTS,
     event_sums,
@@ -65,7 +70,6 @@ WINDOWS = T.StructType(
     [
         T.StructField("chain", T.StringType()),
         T.StructField("we", T.LongType()),
-        T.StructField("first_batch", T.LongType()),
     ]
 )
 _DECIMAL = T.DecimalType(38, 0)
@@ -100,6 +104,8 @@ class ExactWindows:
         small_rows: int = SMALL_ROWS,
     ):
         self.state_path = state_path
+        #: Names stages and log folders, so that another stream's are never mistaken for ours.
+        self.run = hashlib.sha256(state_path.encode()).hexdigest()[:16]
         self.table_path = table_path
         self.log_path = log_path
         self.size_us = window_micros(size)
@@ -179,16 +185,18 @@ class ExactWindows:
         else:
             flagged = flag_late(events, contested, seq)
         accepted = flagged.filter(~F.col("is_late"))
-        partials = measures(accepted).groupBy("chain", "we", "from_address").agg(*event_sums())
-        self._write(_as(partials, PARTIALS), "partials", batch_id)
+        self._write(late_counts(flagged), "late", batch_id)
+        keys = ("chain", "we", "from_address")
+        fresh = _as(measures(accepted).groupBy(*keys).agg(*event_sums()), PARTIALS)
+        carried = self._read(events.sparkSession, "partials", batch_id - 1, PARTIALS).join(
+            self._read(events.sparkSession, "windows", batch_id - 1, WINDOWS), ["chain", "we"], "left_semi"
+        )
+        merged = fresh.unionByName(carried).groupBy(*keys).agg(*merge_sums())
+        self._write(_as(merged, PARTIALS), "partials", batch_id)
 
         # A window held back by its cut has the carried position as its close.
         cut_off = F.coalesce(F.col("min_close.phase") == 0, F.lit(False))
-        still_open = (
-            judged.filter(~F.col("closed") & ~cut_off)
-            .join(windows, ["chain", "we"], "left")
-            .withColumn("first_batch", F.coalesce("first_batch", F.lit(batch_id)))
-        )
+        still_open = judged.filter(~F.col("closed") & ~cut_off)
         self._write(_as(still_open, WINDOWS), "windows", batch_id)
         none = F.lit(None).cast("bigint")
         seen = ledger.select("chain", F.col("max_t").alias("watermark"), none.alias("closed_up_to"))
@@ -227,17 +235,11 @@ class ExactWindows:
     # -- emission ------------------------------------------------------------
 
     def _rows(self, spark: SparkSession, windows: DataFrame, batch_id: int) -> DataFrame:
-        """Aggregate rows of the given windows from all partials kept up to ``batch_id``."""
+        """Aggregate rows of the given windows from the partials of ``batch_id``."""
         keys = windows.select("chain", "we")
-        partials = (
-            spark.read.schema(PARTIALS)
-            .parquet(f"{self.state_path}/partials")
-            .filter(F.col("batch") <= batch_id)
-        )
+        partials = self._read(spark, "partials", batch_id, PARTIALS)
         wide = (
             partials.join(keys, ["chain", "we"], "left_semi")
-            .groupBy("chain", "we", "from_address")
-            .agg(*merge_sums())
             .groupBy("chain", "we")
             .agg(*merge_sums(), F.count("from_address").alias("n_addresses"))
         )
@@ -249,30 +251,25 @@ class ExactWindows:
             return
         self._write(self._rows(spark, closed, batch_id), "emitted", batch_id)
         emitted = self._read(spark, "emitted", batch_id, S.AGGREGATE)
-        upsert_aggregates(emitted, self.table_path, batch_id, stored=True)
+        upsert_aggregates(emitted, self.table_path, batch_id, stored=True, run=self.run)
         if self.log_path:
-            write_batch(emitted, self.log_path, batch_id)
-
-    def _oldest_partials(self, spark: SparkSession, batch_id: int) -> int:
-        """First partials folder that windows open after ``batch_id`` still need."""
-        windows = self._read(spark, "windows", batch_id, WINDOWS)
-        oldest = windows.agg(F.min("first_batch")).first()[0]
-        return batch_id + 1 if oldest is None else oldest
+            write_batch(emitted, f"{self.log_path}/run={self.run}", batch_id)
 
     def _forget(self, spark: SparkSession, batch_id: int) -> None:
         """Drop state that neither the next batch nor a retry of this one can read."""
         gone = batch_id - 2
-        if gone < 0 or not path_exists(spark, self._folder("windows", gone)):
+        if gone < 0:
             return
-        oldest = self._oldest_partials(spark, batch_id - 1)
-        stale = [
-            self._folder("partials", b) for b in range(self._oldest_partials(spark, gone), oldest)
-        ]
-        kinds = ("ledger", "verdicts", "emitted", "chains", "windows")
-        for folder in [*stale, *[self._folder(kind, gone) for kind in kinds]]:
+        for kind in ("ledger", "verdicts", "emitted", "chains", "windows", "partials"):
+            folder = self._folder(kind, gone)
             if path_exists(spark, folder):
                 delete_path(spark, folder)
 
+    def late_counts(self, spark: SparkSession) -> DataFrame:
+        """Late and accepted events per chain so far, each batch counted once."""
+        counts = spark.read.parquet(f"{self.state_path}/late")
+        return counts.groupBy("chain").agg(F.sum("late").alias("late"), F.sum("accepted").alias("accepted"))
+
     # -- end of stream -------------------------------------------------------
 
     def flush(self, spark: SparkSession, last_batch: int) -> DataFrame:

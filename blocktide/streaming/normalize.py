@@ -6,17 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from blocktide.functions.timebucket import Duration
-from blocktide.operators.dedup import drop_redelivered
+from blocktide.functions.timebucket import Duration, micros
+from blocktide.operators.dedup import drop_redelivered, first_seen, unseen
 from blocktide.operators.enrich import enrich
 from blocktide.operators.validate import valid_events, with_reject_reason
+from blocktide.session import path_exists
 from blocktide.sinks.records import write_batch
 
 
 def normalized_stream(
     raw: DataFrame,
     contracts: DataFrame | None = None,
-    dedup_horizon: Duration | None = "1 hour",
+    dedup: bool = True,
     counters: str | None = None,
 ) -> DataFrame:
     """Valid, deduplicated, enriched events in append mode.
@@ -32,22 +33,46 @@ def normalized_stream(
         return events.observe(counters + suffix, F.count(F.lit(1)).alias(count))
 
     events = observed(valid_events(observed(raw, "", "received")), "_valid", "valid")
-    if dedup_horizon is not None:
-        events = observed(drop_redelivered(events, dedup_horizon), "_kept", "kept")
+    if dedup:
+        events = observed(drop_redelivered(events), "_kept", "kept")
     return enrich(events, contracts)
 
 
+SEEN = "id string, observed_at timestamp, day date, batch_id bigint"
+
+
+def _seen_before(batch: DataFrame, path: str, batch_id: int, horizon: Duration) -> DataFrame:
+    """Ids that earlier batches accepted, from the days this batch can repeat."""
+    spark = batch.sparkSession
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], SEEN)
+    reach = F.expr(f"interval {micros(horizon)} microseconds")
+    lo, hi = batch.agg(
+        F.to_date(F.min("observed_at") - reach), F.to_date(F.max("observed_at") + reach)
+    ).first()
+    seen = spark.read.schema(SEEN).parquet(path).filter(F.col("batch_id") < batch_id)
+    return seen.filter(F.col("day").between(lo, hi)) if lo else seen.limit(0)
+
+
 def normalize_with_rejects(
     raw: DataFrame,
     good_path: str,
     reject_path: str,
     checkpoint: str,
     contracts: DataFrame | None = None,
+    seen_path: str | None = None,
+    horizon: Duration = "1 hour",
+    counts_path: str | None = None,
 ) -> DataStreamWriter:
     """Write good and rejected events of each micro-batch as one unit.
 
-    Both folders are named by batch id and replaced on retry; the batch is
-    committed only after both are complete.
+    With ``seen_path`` good events whose id was accepted before are suppressed
+    (see ``unseen``); accepted ids are kept there by day of arrival, so a batch
+    reads only the days within ``horizon`` of its own. ``counts_path`` gets a row
+    per batch: received, rejected, kept and suppressed events, exactly.
+
+    All folders are named by batch id and replaced on retry; the batch is
+    committed only after they are complete.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -56,10 +81,31 @@ def normalize_with_rejects(
             good = flagged.filter(F.col("reject_reason").isNull()).drop(
                 "reject_reason", "_corrupt_record"
             )
+            if seen_path is not None:
+                before = _seen_before(batch, seen_path, batch_id, horizon)
+                good = unseen(first_seen(good), before, horizon)
             write_batch(enrich(good, contracts), good_path, batch_id)
-            write_batch(
-                flagged.filter(F.col("reject_reason").isNotNull()), reject_path, batch_id
+            bad = flagged.filter(F.col("reject_reason").isNotNull())
+            write_batch(bad, reject_path, batch_id)
+            spark = batch.sparkSession
+            kept = spark.read.schema(good.select("id", "observed_at").schema).parquet(
+                f"{good_path}/batch_id={batch_id}"
             )
+            if counts_path is not None:
+                # One row each, so the product is one row.
+                totals = flagged.agg(
+                    F.count(F.lit(1)).alias("received"), F.count("reject_reason").alias("rejected")
+                ).crossJoin(kept.agg(F.count(F.lit(1)).alias("kept")))
+                left = F.col("received") - F.col("rejected") - F.col("kept")
+                write_batch(totals.withColumn("suppressed", left), counts_path, batch_id)
+            if seen_path is not None:
+                (
+                    kept.withColumns({"day": F.to_date("observed_at"), "batch_id": F.lit(batch_id)})
+                    .write.mode("overwrite")
+                    .option("partitionOverwriteMode", "dynamic")
+                    .partitionBy("day", "batch_id")
+                    .parquet(seen_path)
+                )
         finally:
             flagged.unpersist()
 

@@ -49,13 +49,14 @@ def late_ids(replay):
 @pytest.mark.parametrize(
     "events, lateness, late, closed",
     [
-        ([("eth", 10), ("eth", 30)], 0, [], {}),
-        ([("eth", 10), ("eth", 45), ("eth", 90)], 0, [], {("eth", 0): 2}),
-        ([("eth", 10), ("eth", 90), ("eth", 20)], 0, [2], {("eth", 0): 1}),
-        ([("eth", 10), ("eth", 65), ("eth", 50), ("eth", 120)], 30, [], {("eth", 0): 2}),
-        ([("eth", 10), ("eth", 90), ("sol", 5)], 0, [], {("eth", 0): 1}),
+        # One open window; then an event that reaches its end; windows are 60 s.
+        ([("base", 185), ("base", 239)], 0, [], {}),
+        ([("base", 181), ("base", 199), ("base", 305)], 0, [], {("base", 180): 2}),
+        ([("base", 200), ("base", 301), ("base", 188)], 0, [2], {("base", 180): 1}),
+        ([("base", 202), ("base", 255), ("base", 231), ("base", 290)], 50, [], {("base", 180): 2}),
+        ([("base", 200), ("base", 310), ("op", 12)], 0, [], {("base", 180): 1}),
         # An old event is still taken while nothing that late has closed, and closes at once.
-        ([("eth", 1000), ("eth", 100), ("eth", 110)], 0, [2], {("eth", 60): 1}),
+        ([("base", 4000), ("base", 700), ("base", 715)], 0, [2], {("base", 660): 1}),
     ],
 )
 def test_hand_cases(spark, events, lateness, late, closed):

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from blocktide import schemas as S
 from blocktide.sinks.aggregates_table import (
+    READ_ORDER,
+    in_days,
     query_aggregates,
     read_table,
     recent_aggregates,
@@ -74,6 +76,46 @@ def test_retry_publishes_a_complete_stage_again(spark, tmp_path):
     assert stored(spark, path) == [("eth", "m", BASE, "", 9.0)]
 
 
+def test_a_stage_of_another_run_is_ignored(spark, tmp_path):
+    path = str(tmp_path / "t")
+    stale = rows(spark, row("eth", "m", BASE, 1))
+    upsert_aggregates(stale, path, version=3, run="old")
+    read_table(spark, path).withColumn("value", F.lit(7.0)).write.partitionBy("window_date").parquet(
+        f"{path}/_upsert/old-3/merged"
+    )
+    upsert_aggregates(rows(spark, row("eth", "m", BASE, 2)), path, version=3, run="new")
+    assert stored(spark, path) == [("eth", "m", BASE, "", 2.0)]
+
+
+def test_upsert_reads_only_the_days_it_touches(spark, tmp_path):
+    path = str(tmp_path / "t")
+    day = dt.timedelta(days=1)
+    upsert_aggregates(rows(spark, *[row("eth", "m", BASE + d * day, d) for d in range(40)]), path)
+    new = rows(spark, row("eth", "m", BASE + day, 5)).withColumn("window_date", F.to_date("window_start"))
+    cut = in_days(read_table(spark, path), new)
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(window_date" in plan and "Join" not in plan
+    assert cut.count() == 1
+    broken = next((tmp_path / "t").glob("window_date=2026-01-20/*.parquet"))
+    broken.write_bytes(b"not a table")
+    upsert_aggregates(rows(spark, row("eth", "m", BASE + day, 5)), path)
+    assert read_table(spark, path).filter(F.col("window_date") == F.to_date(F.lit("2026-01-02"))).first().value == 5
+
+
+def test_reads_can_go_on_after_the_last_row(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert_aggregates(rows(spark, *[row(c, "m", BASE + i * MINUTE, i) for c in "ab" for i in range(7)]), path)
+    table, got, after = read_table(spark, path), [], None
+    while True:
+        page = query_aggregates(table, limit=4, after=after).collect()
+        if not page:
+            break
+        got += [(r.window_start, r.chain) for r in page]
+        after = tuple(page[-1][c] for c in READ_ORDER)
+    everything = query_aggregates(table, limit=None).collect()
+    assert got == [(r.window_start, r.chain) for r in everything] and len(got) == 14
+
+
 def test_label_sets_are_distinct_rows(spark, tmp_path):
     path = str(tmp_path / "t")
     sets = [None, {"type": "a"}, {"type": "b"}]

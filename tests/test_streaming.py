@@ -11,6 +11,8 @@ from blocktide.sinks.aggregates_table import read_table
 from blocktide.sources.events import stream_events, tail_events
 from blocktide.streaming.exact import ExactWindows
 from blocktide.streaming.native import native_metrics
+from blocktide.operators.stats import late_counts
+from blocktide.sinks.records import append_stream
 from blocktide.streaming.normalize import normalize_with_rejects, normalized_stream
 from tests.model import random_times
 from tests.test_lateness import frame, totals
@@ -100,7 +102,30 @@ def test_exact_stream_drops_old_state(spark, tmp_path):
     for n, part in enumerate(split(events, [5, 10, 15, 20, 25])):
         job.process(part, n)
     assert sorted(p.name for p in (tmp_path / "state" / "windows").iterdir()) == ["batch=4", "batch=5"]
-    assert not (tmp_path / "state" / "partials" / "batch=0").exists()
+    assert sorted(p.name for p in (tmp_path / "state" / "partials").iterdir()) == ["batch=4", "batch=5"]
+
+
+def test_a_silent_chain_does_not_grow_the_state(spark, tmp_path):
+    busy = [("busy", t, t) for t in range(0, 600, 20)]
+    events = frame(spark, [("silent", 1, 5), *busy])
+    job = ExactWindows(str(tmp_path / "state"), str(tmp_path / "table"), size=60, lateness=0)
+    for n, part in enumerate(split(events, [50 * k for k in range(1, 10)])):
+        job.process(part, n)
+        state = spark.read.parquet(str(tmp_path / "state" / "partials" / f"batch={n}"))
+        assert state.filter("chain = 'silent'").count() == 1
+        assert state.count() <= 4
+        assert len(list((tmp_path / "state" / "partials").iterdir())) <= 2
+    assert totals(job.flush(spark, 9))[("silent", 0)] == 1
+
+
+def test_late_events_are_counted_once(spark, tmp_path):
+    events = feed(spark, 9, chains=6)
+    job = ExactWindows(str(tmp_path / "state"), str(tmp_path / "table"), size=60, lateness=10)
+    for n, part in enumerate(split(events, [10, 20, 30])):
+        job.process(part, n)
+        job.process(part, n)  # a retry
+    want = late_counts(Replay(events, size=60, lateness=10).flagged())
+    assert sorted(map(tuple, job.late_counts(spark).collect())) == sorted(map(tuple, want.collect()))
 
 
 def test_native_stream_closes_passed_windows(spark, tmp_path):
@@ -184,6 +209,40 @@ def test_normalize_with_rejects_commits_both(spark, tmp_path):
     assert sorted(r[0] for r in bad) == ["missing_id", "missing_tx_hash"]
 
 
+def test_old_ids_that_land_late_are_kept(spark, tmp_path):
+    """Unseen ids pass however old they are; repeats are suppressed and counted."""
+    def delivery(ids, at):
+        return [(f"e{i}", "eth", S.TYPE_LOG, "", "a", "b", at + i, 10) for i in ids]
+
+    schema = raw_events(spark).schema
+    columns = (
+        "id string, chain string, type string, tx_hash string, from_address string, "
+        "to_address string, o bigint, t bigint"
+    )
+    deliveries = [delivery(range(50, 100), 900_000), delivery(range(50), 0), delivery(range(40, 60), 900_005)]
+    paths = {n: str(tmp_path / n) for n in ("in", "good", "bad", "seen", "counts", "checkpoint", "plain", "plaincp")}
+    for rows_ in deliveries:
+        frame_ = spark.createDataFrame(rows_, columns).withColumns(
+            {"observed_at": F.timestamp_seconds("o"), "block_time": F.timestamp_seconds("t"),
+             "attributes": F.create_map().cast("map<string,string>")}
+        ).drop("o", "t")
+        frame_.coalesce(1).write.mode("append").parquet(paths["in"])
+        query = (
+            normalize_with_rejects(
+                spark.readStream.schema(schema).parquet(paths["in"]), paths["good"], paths["bad"],
+                paths["checkpoint"], seen_path=paths["seen"], horizon="20 days", counts_path=paths["counts"],
+            ).trigger(availableNow=True).start()
+        )
+        assert query.awaitTermination(120)
+    assert sorted(r.id for r in spark.read.parquet(paths["good"]).collect()) == sorted(f"e{i}" for i in range(100))
+    counts = spark.read.parquet(paths["counts"]).orderBy("batch_id").collect()
+    assert [(r.received, r.rejected, r.kept, r.suppressed) for r in counts] == [(50, 0, 50, 0), (50, 0, 50, 0), (20, 0, 0, 20)]
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(paths["in"])
+    query = append_stream(normalized_stream(stream), paths["plain"], paths["plaincp"])
+    assert query.trigger(availableNow=True).start().awaitTermination(120)
+    assert spark.read.parquet(paths["plain"]).count() == 100
+
+
 def test_two_tails_each_see_every_new_match(spark, tmp_path):
     raw = raw_events(spark)
     raw.coalesce(1).write.parquet(str(tmp_path / "in"))
