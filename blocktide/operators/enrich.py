@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from blocktide import schemas as S
 from blocktide.functions.labels import set_entry
 
+#: Contracts of which the lookup is broadcast, at most.
+BROADCAST_CONTRACTS = 200_000
+
 
 def enrich(events: DataFrame, contracts: DataFrame | None = None) -> DataFrame:
     """Normalized copy of ``events``.
@@ -15,7 +18,8 @@ def enrich(events: DataFrame, contracts: DataFrame | None = None) -> DataFrame:
     Without ``contracts`` the five fixed contracts are looked up in a literal
     map: no join, and the lookup is pruned away when a later step does not
     read ``attributes``. ``contracts(address, label)`` of any size is joined
-    instead, with the join strategy left to its measured size.
+    instead: by broadcast if its addresses were counted to be few, else by
+    shuffle, where events without a target address are spread by their id.
     """
     lowered = events.withColumns(
         {"from_address": F.lower("from_address"), "to_address": F.lower("to_address")}
@@ -30,7 +34,13 @@ def enrich(events: DataFrame, contracts: DataFrame | None = None) -> DataFrame:
     lookup = contracts.groupBy(F.lower("address").alias("_contract")).agg(
         F.min("label").alias("_label")
     )
-    joined = lowered.join(lookup, F.col("to_address") == F.col("_contract"), "left")
+    if lookup.limit(BROADCAST_CONTRACTS + 1).count() <= BROADCAST_CONTRACTS:
+        lookup = F.broadcast(lookup)
+        target = F.col("to_address")
+    else:
+        scattered = F.concat(F.lit("\x00"), F.coalesce("id", F.lit("")))
+        target = F.when(F.col("to_address") != "", F.col("to_address")).otherwise(scattered)
+    joined = lowered.join(lookup, target == F.col("_contract"), "left")
     label = F.nullif(F.col("_label"), F.lit(""))
     return joined.withColumn(
         "attributes", _attributes(label, F.col("_contract").isNotNull())

@@ -18,17 +18,25 @@ def filter_events(
     chain: str = "",
     types: Iterable[str] = (),
     address: str = "",
+    normalized: bool = False,
 ) -> DataFrame:
     """Events matching every given criterion; an unset one adds no predicate.
 
     Chain and address compare without case; the address may be either end.
+    ``normalized`` says that stored addresses are lower-case, as ``enrich`` leaves
+    them: then the bare columns are compared, which reaches the Parquet scan.
     """
     if chain:
         events = events.filter(_same_text("chain", chain))
     types = list(types)
     if types:
         events = events.filter(F.col("type").isin(types))
-    if address:
+    if address and normalized:
+        wanted = address.lower()
+        events = events.filter(
+            (F.col("from_address") == wanted) | (F.col("to_address") == wanted)
+        )
+    elif address:
         events = events.filter(
             _same_text("from_address", address) | _same_text("to_address", address)
         )

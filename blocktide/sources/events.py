@@ -76,14 +76,19 @@ def kafka_events(
 
 
 def tail_events(
-    stream: DataFrame, start: dt.datetime, chain: str = "", types: tuple = (), address: str = ""
+    stream: DataFrame,
+    start: dt.datetime,
+    chain: str = "",
+    types: tuple = (),
+    address: str = "",
+    normalized: bool = False,
 ) -> DataFrame:
     """Live tail: events that arrive from ``start`` on and match the filter.
 
     Start one query per tail; each gets every matching event.
     """
     live = stream.filter(F.col("observed_at") >= F.lit(start))
-    return filter_events(live, chain, types, address)
+    return filter_events(live, chain, types, address, normalized)
 
 
 register_source("parquet", read_events)

@@ -150,3 +150,11 @@ def test_duration_checks():
         window_micros(0)
     with pytest.raises(ValueError):
         lateness_micros("-1 second")
+
+
+def test_a_trailing_newline_is_no_digit(spark):
+    row = spark.createDataFrame([("0x12\n", "12\n")], "h string, d string").select(
+        hex_to_uint64(F.col("h")).alias("a"), hex_to_decimal_string(F.col("h")).alias("b"), F.col("d").alias("value_wei")
+    )
+    assert row.first()[:2] == (None, None)
+    assert wei.with_parts(row).first().wei_small is None
