@@ -2,11 +2,12 @@
 
 Equal sets become one node. Nodes meet in groups: the shingles of a set are
 ordered by rarity, and two sets that are similar enough share one of their
-rarest, so each of those names a group. The links of a group to its first node
-are checked first; groups that are not yet in one component go to signature
-trees: leaves are sets with bitmaps, inner nodes OR their bitmaps and hold size
-ranges, and a dual traversal skips pairs of nodes whose largest possible overlap
-is too small. All pairs left are compared exactly.
+rarest, so each of those makes a group, named by its first node. The links of a
+group to that node are checked first; groups that are not yet in one component
+go to signature trees: leaves are sets with bitmaps, inner nodes OR their
+bitmaps and hold size ranges, and a dual traversal skips pairs of nodes whose
+largest possible overlap is too small. Pairs left are compared exactly, unless
+they are in one component by then.
 """
 
 from __future__ import annotations
@@ -15,9 +16,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,43 +26,86 @@ from blocktide.session import materialize
 
 SHINGLE = 5
 #: Counters of the rarity sketch in each task, and the size limit of what is broadcast.
-SKETCH = 1 << 22
+SKETCH_BITS = 22
+SKETCH = 1 << SKETCH_BITS
 #: Members of a group that one task holds; larger groups are compared in pairs of chunks.
-CHUNK = 2048
-_MULTIPLY = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
-                      0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
-
-
-class WordHashes(dict):
-    """64-bit hash of a word, remembered for the commonest words of a task."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1 << 20:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
-
-
-def shingle_set(text: str | None, words: WordHashes) -> np.ndarray:
+CHUNK = 512
+#: Lower-cases A to Z only; every kind of space is a space.
+_PLAIN = bytes(32 if 9 <= c <= 13 else c + 32 if 65 <= c <= 90 else c for c in range(256))
+_BYTES = np.frombuffer(hashlib.shake_128(b"shingles").digest(256 * 8), np.uint64)
+_BASE = 0x9E3779B97F4A7C15
+#: Longer words are replaced by their digest, and longer texts hashed in parts.
+LONGEST_WORD, PART_WORDS = 4096, 20_000
+
+
+class Hasher:
+    """Hashes of word runs as differences of running sums over the bytes of a text."""
+
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(0, np.uint64)
+
+    def powers(self, count: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < count:
+            size = 1 << (count - 1).bit_length()
+            bases = (_BASE, pow(_BASE, -1, 1 << 64))
+            filled = [np.full(size, base, np.uint64) for base in bases]
+            for x in filled:
+                x[0] = 1
+            self.up, self.down = (np.multiply.accumulate(x) for x in filled)
+        return self.up[:count], self.down
+
+    def runs(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """A 64-bit hash of each run of SHINGLE words; words are ``data[start:end]``."""
+        out = []
+        for i in range(0, len(starts) - SHINGLE + 1, PART_WORDS):
+            first = starts[i : i + PART_WORDS + SHINGLE - 1]
+            last = ends[i : i + PART_WORDS + SHINGLE - 1][SHINGLE - 1 :]
+            first = first[: len(last)]
+            base = first[0]
+            part = data[base : last[-1]]
+            up, down = self.powers(len(part))
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(_BYTES[part] * up, out=sums[1:])
+            h = (sums[last - base] - sums[first - base]) * down[first - base]
+            h ^= h >> np.uint64(32)
+            h *= np.uint64(0xD6E8FEB86659FD93)
+            h ^= h >> np.uint64(32)
+            out.append(h)
+        return np.concatenate(out)
+
+
+def _words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes with single spaces between words, and where words start and end."""
+    data = np.frombuffer(raw, np.uint8)
+    space = data == 32
+    if len(data) and (space[0] or space[-1] or (space[1:] & space[:-1]).any()):
+        keep = ~space
+        keep[1:] |= space[1:] & ~space[:-1]
+        data = data[keep]
+        data = data[:-1] if len(data) and data[-1] == 32 else data
+        data = data[1:] if len(data) and data[0] == 32 else data
+        space = data == 32
+    if not len(data):
+        return data, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.flatnonzero(space)
+    return data, np.concatenate(([0], at + 1)), np.concatenate((at, [len(data)]))
+
+
+def shingle_set(text: str | None, hasher: Hasher) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles; lower-cases A to Z only."""
-    said = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not said:
+    raw = (text or "").encode("utf-8", "surrogatepass").translate(_PLAIN)
+    data, starts, ends = _words(raw)
+    if len(starts) and (ends - starts).max() > LONGEST_WORD:
+        short = [w if len(w) <= LONGEST_WORD else b"\0" + hashlib.sha256(w).digest().hex().encode() for w in raw.split()]
+        data, starts, ends = _words(b" ".join(short))
+    if not len(starts):
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(words.__getitem__, said), np.uint64, len(said))
-    if len(h) < SHINGLE:  # a set of its own kind
-        whole = hashlib.blake2b(b" ".join(said), digest_size=8, person=b"short").digest()
+    if len(starts) < SHINGLE:  # a set of its own kind
+        whole = hashlib.blake2b(data.tobytes(), digest_size=8, person=b"short").digest()
         return np.frombuffer(whole, np.uint64)
-    n = len(h) - SHINGLE + 1
-    total = np.zeros(n, np.uint64)
-    for k in range(SHINGLE):
-        total += mix(h[k : k + n]) * _MULTIPLY[k]
-    return np.unique(mix(total))
+    h = hasher.runs(data, starts, ends)
+    h.sort()
+    return h[np.concatenate(([True], h[1:] != h[:-1]))]
 
 
 def set_name(shingles: np.ndarray) -> bytes:
@@ -71,7 +113,7 @@ def set_name(shingles: np.ndarray) -> bytes:
 
 
 def slots(shingles: np.ndarray) -> np.ndarray:
-    return (shingles >> np.uint64(42)).astype(np.int64)
+    return (shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
 def least_share(n: int, percent: int) -> int:
@@ -102,15 +144,19 @@ def folded(bits: int, width: int, to: int) -> int:
 
 
 class Tree:
-    """A node over ``items`` (size, bits, width, component, id), which are sorted."""
+    """A node over ``items`` (size, bits, width, mark, id), which are sorted.
 
-    __slots__ = ("bits", "component", "high", "id", "left", "losses", "low", "right", "width")
+    ``mark`` is whatever makes a pair uninteresting if both sides share it; a node
+    has one if all its leaves have the same.
+    """
+
+    __slots__ = ("bits", "high", "id", "left", "losses", "low", "mark", "right", "width")
 
     def __init__(self, items: list[tuple]):
         self.left = self.right = self.id = None
         self.losses: dict[int, int] = {}
         if len(items) == 1:
-            size, self.bits, self.width, self.component, self.id = items[0]
+            size, self.bits, self.width, self.mark, self.id = items[0]
             self.low = self.high = size
             return
         half = len(items) // 2
@@ -118,7 +164,7 @@ class Tree:
         self.width = min(a.width, b.width)
         self.bits = folded(a.bits, a.width, self.width) | folded(b.bits, b.width, self.width)
         self.low, self.high = min(a.low, b.low), max(a.high, b.high)
-        self.component = a.component if a.component == b.component else None
+        self.mark = a.mark if a.mark == b.mark else None
 
     def lost(self, width: int) -> int:
         """The most shingles that one set below has beyond its bits at ``width``."""
@@ -146,22 +192,25 @@ def may_meet(a: Tree, b: Tree, percent: int) -> bool:
     return most >= needed
 
 
-def join_trees(a: Tree, b: Tree, percent: int) -> Iterator[tuple[int, int]]:
-    """Pairs of sets, one below each node (or two below the same), that may be similar.
+def join_trees(a: Tree, b: Tree, percent: int, done=None) -> Iterator[tuple[Tree, Tree]]:
+    """Pairs of leaves, one below each node (or two below the same), that may be similar.
 
-    Pairs inside one component are skipped: they add no link between components.
+    Pairs with one mark are skipped, and those for which ``done`` holds; it is
+    asked of inner nodes, too.
     """
     todo = [(a, b)]
     while todo:
         a, b = todo.pop()
-        if a.component is not None and a.component == b.component:
+        if a.mark is not None and a.mark == b.mark:
+            continue
+        if done is not None and done(a, b):
             continue
         if a is b:
             if a.left is not None:
                 todo += [(a.left, a.left), (a.right, a.right), (a.left, a.right)]
         elif may_meet(a, b, percent):
             if a.left is None and b.left is None:
-                yield min(a.id, b.id), max(a.id, b.id)
+                yield a, b
             elif b.left is None or (a.left is not None and a.high - a.low >= b.high - b.low):
                 todo += [(a.left, b), (a.right, b)]
             else:
@@ -171,19 +220,19 @@ def join_trees(a: Tree, b: Tree, percent: int) -> Iterator[tuple[int, int]]:
 def _profile(docs: DataFrame) -> DataFrame:
     """Of every document its id, set size and set name; of every task its common slots.
 
-    A slot is told if the task counted it 8 times as often as the average slot
-    and 8 times at least, each distinct set counted once.
+    A slot is told if the task counted it more than twice as often as the average
+    slot, and two times more, each distinct set counted once.
     """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts, seen = WordHashes(), np.zeros(SKETCH, np.uint32), set()
+        hasher, counts, seen = Hasher(), np.zeros(SKETCH, np.uint32), set()
         kind = None
         for part in parts:
             ids, texts = part.column(0), part.column(1).to_pylist()
             kind = ids.type
             sizes, names = [], []
             for text in texts:
-                shingles = shingle_set(text, words)
+                shingles = shingle_set(text, hasher)
                 name = set_name(shingles)
                 sizes.append(len(shingles))
                 names.append(name)
@@ -194,7 +243,7 @@ def _profile(docs: DataFrame) -> DataFrame:
                 [ids, pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), pa.nulls(len(ids), pa.int64())],
                 names=["doc_id", "n", "name", "slot"],
             )
-        common = np.flatnonzero(counts > 8 * max(1.0, counts.mean()))
+        common = np.flatnonzero(counts > 2 + 2 * counts.mean())
         for at in range(0, len(common), 10_000):
             some = common[at : at + 10_000]
             yield pa.RecordBatch.from_arrays(
@@ -207,41 +256,66 @@ def _profile(docs: DataFrame) -> DataFrame:
 
 
 def _rank_table(common: DataFrame) -> np.ndarray:
-    """How common each slot is, as the logarithm of its count: SKETCH bytes."""
-    counts = common.groupBy("slot").agg(F.sum("n").alias("n")).toPandas()  # SKETCH rows at most
+    """How common each slot is, as the logarithm of its count: SKETCH bytes.
+
+    Tasks put the ranks of a block of slots in a few bytes, so the driver gets
+    one byte for each slot at most, however large the table is.
+    """
+    block = 1 << 12
+
+    def packed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks: dict[int, np.ndarray] = {}
+        for part in parts:
+            slot, n = (c.to_numpy(zero_copy_only=False) for c in part.columns)
+            for b in np.unique(slot // block):
+                own = slot // block == b
+                ranks = blocks.setdefault(int(b), np.zeros(block, np.uint8))
+                ranks[slot[own] % block] = 1 + np.log2(n[own].astype(float)).astype(np.uint8)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(blocks.keys(), pa.int64()), pa.array([r.tobytes() for r in blocks.values()], pa.binary())],
+            names=["block", "ranks"],
+        )
+
+    counts = common.groupBy("slot").agg(F.sum("n").alias("n"))
+    dealt = counts.repartition(F.floor(F.col("slot") / block)).mapInArrow(packed, "block long, ranks binary")
     ranks = np.zeros(SKETCH, np.uint8)
-    ranks[counts["slot"].to_numpy(np.int64)] = 1 + np.log2(counts["n"].to_numpy(float)).astype(np.uint8)
+    for row in dealt.collect():
+        ranks[row.block * block : (row.block + 1) * block] = np.frombuffer(row.ranks, np.uint8)
     return ranks
 
 
-def _prefixes(docs: DataFrame, ranks, percent: int) -> DataFrame:
-    """(name, prefix) of every document with shingles, each set once in a task."""
+def _signatures(docs: DataFrame, ranks, percent: int) -> DataFrame:
+    """(name, n, bits, prefix) of every document with shingles, each set once in a task."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, seen = WordHashes(), set()
+        hasher, seen = Hasher(), set()
         for part in parts:
-            names, rows = [], []
+            names, sizes, bits, rows = [], [], [], []
             for text in part.column(1).to_pylist():
-                shingles = shingle_set(text, words)
+                shingles = shingle_set(text, hasher)
                 name = set_name(shingles)
                 if len(shingles) and name not in seen:
                     seen.add(name)
                     names.append(name)
+                    sizes.append(len(shingles))
+                    value, width = bitmap(shingles)
+                    bits.append(value.to_bytes(width // 8, "little"))
                     rows.append(prefix(shingles, ranks.value, percent).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.binary()), pa.array(rows, pa.list_(pa.int64()))], names=["name", "prefix"]
+                [pa.array(names, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bits, pa.binary()), pa.array(rows, pa.list_(pa.int64()))],
+                names=["name", "n", "bits", "prefix"],
             )
 
-    return docs.mapInArrow(run, "name binary, prefix array<long>")
+    return docs.mapInArrow(run, "name binary, n long, bits binary, prefix array<long>")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
     """(name, shingles) of every document."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
+        hasher = Hasher()
         for part in parts:
-            found = [shingle_set(t, words) for t in part.column(1).to_pylist()]
+            found = [shingle_set(t, hasher) for t in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([set_name(s) for s in found], pa.binary()), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))],
                 names=["name", "shingles"],
@@ -261,52 +335,158 @@ def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.filter(both * 100 >= either * percent).select("a", "b")
 
 
-def _tree_pairs(open_groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that the trees of the open groups leave over."""
-    signature = sets.select("node", "shingles")
-    size = F.count(F.lit(1)).over(Window.partitionBy("token"))
-    place = F.row_number().over(Window.partitionBy("token").orderBy("component", "node"))
+def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sizes and bitmaps leave room for enough overlap."""
+    left = nodes.select(F.col("node").alias("a"), F.col("n").alias("m"), F.col("bits").alias("x"))
+    right = nodes.select(F.col("node").alias("b"), F.col("n"), F.col("bits").alias("y"))
+    near = F.least("m", "n") * 100 >= F.greatest("m", "n") * percent
+    joined = pairs.join(right, "b").join(left, "a").filter(near)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            keep = [
+                may_meet(leaf(m, x), leaf(n, y), percent)
+                for m, x, n, y in zip(*(part.column(k).to_pylist() for k in range(2, 6)))
+            ]
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0).filter(mask), part.column(1).filter(mask)], names=["a", "b"]
+            )
+
+    return joined.select("a", "b", "m", "x", "n", "y").mapInArrow(run, "a long, b long")
+
+
+def leaf(size: int, bits: bytes) -> Tree:
+    return Tree([(size, int.from_bytes(bits, "little"), len(bits) * 8, None, None)])
+
+
+def _by_group(rows: DataFrame, columns: list[str], handle, schema: str) -> DataFrame:
+    """``handle(i, j, members)`` for every group (hub, i, j) of ``rows``, one at a time in a task.
+
+    Members are tuples of ``columns``; ``handle`` gives result rows.
+    """
+    keys = ["hub", "i", "j"]
+    dealt = rows.select(*keys, *columns).repartition(*keys).sortWithinPartitions(*keys, *columns[:-1])
+    names = [part.split()[0] for part in schema.split(", ")]
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, group = None, []
+
+        def told() -> pa.RecordBatch:
+            found = list(handle(*now, group))
+            columns = zip(*found) if found else [[] for _ in names]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+
+        for part in parts:
+            for hub, i, j, *member in zip(*(c.to_pylist() for c in part.columns)):
+                if (hub, i, j) != now:
+                    if group:
+                        yield told()
+                    now, group = (hub, i, j), []
+                group.append(tuple(member))
+        if group:
+            yield told()
+
+    return dealt.mapInArrow(run, schema)
+
+
+def _sides(i: int, j: int, items: list[tuple[int, tuple]]) -> tuple[Tree, Tree] | None:
+    """The two trees of a group: chunk ``i`` against chunk ``j``, or one against itself."""
+    one = [x for chunk, x in items if chunk == i]
+    two = [x for chunk, x in items if chunk != i]
+    if i == j:
+        tree = Tree(one)
+        return tree, tree
+    return (Tree(one), Tree(two)) if one and two else None
+
+
+def _active(open_groups: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Members of open groups that, by sizes and bitmaps, may link to another component.
+
+    As (hub, i, j, node, component, chunk); groups of more than CHUNK members are
+    compared in pairs of chunks i and j.
+    """
+    size = F.count(F.lit(1)).over(Window.partitionBy("hub"))
+    place = F.row_number().over(Window.partitionBy("hub").orderBy("component", "node"))
     chunked = open_groups.withColumn("chunks", F.ceil(size / CHUNK).cast("int")).withColumn(
         "chunk", ((place - 1) / CHUNK).cast("int")
     )
     dealt = chunked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
-        "token", "node", "component", "chunk",
+        "hub", "node", "component", "chunk",
         F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
     )
 
-    def signed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            found = [bitmap(np.array(s, np.int64).view(np.uint64)) for s in part.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column(0),
-                    pa.array([len(s) for s in part.column(1).to_pylist()], pa.int64()),
-                    pa.array([b.to_bytes(w // 8, "little") for b, w in found], pa.binary()),
-                ],
-                names=["node", "n", "bits"],
-            )
-
-    bits = signature.mapInArrow(signed, "node long, n long, bits binary")
-
-    def traverse(rows: pd.DataFrame) -> pd.DataFrame:
-        first = rows["i"].iloc[0]
-        rows = rows.drop_duplicates("node").sort_values(["component", "n", "node"])
+    def handle(hub: int, i: int, j: int, members: list[tuple]):
         items = [
-            (int(n), int.from_bytes(b, "little"), len(b) * 8, c, int(v))
-            for n, b, c, v in zip(rows["n"], rows["bits"], rows["component"], rows["node"])
+            (chunk, (n, int.from_bytes(bits, "little"), len(bits) * 8, component, (node, chunk)))
+            for chunk, component, n, node, bits in members
         ]
-        if first == rows["j"].iloc[0]:
-            tree = Tree(items)
-            found = list(join_trees(tree, tree, percent))
-        else:
-            mine = (rows["chunk"] == first).to_numpy()
-            one = [x for x, m in zip(items, mine) if m]
-            two = [x for x, m in zip(items, mine) if not m]
-            found = list(join_trees(Tree(one), Tree(two), percent)) if one and two else []
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+        trees = _sides(i, j, items)
+        if trees is None:
+            return
+        seen: set[int] = set()
+        quiet = {}  # inner nodes below which all are active
+
+        def all_active(t: Tree) -> bool:
+            if t.left is None:
+                return t.id[0] in seen
+            if id(t) not in quiet and all_active(t.left) and all_active(t.right):
+                quiet[id(t)] = True
+            return id(t) in quiet
+
+        for a, b in join_trees(*trees, percent, lambda a, b: all_active(a) and all_active(b)):
+            for leaf_ in (a, b):
+                if leaf_.id[0] not in seen:
+                    seen.add(leaf_.id[0])
+                    yield hub, i, j, leaf_.id[0], leaf_.mark, leaf_.id[1]
+
+    rows = dealt.join(nodes.select("node", "n", "bits"), "node")
+    return _by_group(
+        rows,
+        ["chunk", "component", "n", "node", "bits"],
+        handle,
+        "hub long, i long, j long, node long, component long, chunk long",
+    )
+
+
+def _tree_links(active: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components among the active members, compared exactly.
+
+    Within a group members that are linked already, however far apart, are not
+    compared: fewer links than members come out of a group.
+    """
+
+    def handle(hub: int, i: int, j: int, members: list[tuple]):
+        up: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while up.setdefault(x, x) != x:
+                up[x] = x = up[up[x]]
+            return x
+
+        arrays, items, homes = {}, [], {}
+        for chunk, component, node, shingles in members:
+            own = arrays[node] = np.array(shingles, np.int64).view(np.uint64)
+            bits, width = bitmap(own)
+            homes[node] = component
+            items.append((chunk, (len(own), bits, width, component, node)))
+        items.sort(key=lambda x: (x[1][3], x[1][0], x[1][4]))
+        trees = _sides(i, j, items)
+        if trees is None:
+            return
 
-    grouped = dealt.join(bits, "node").groupBy("token", "i", "j")
-    return grouped.applyInPandas(traverse, "a long, b long").distinct()
+        def linked(a: Tree, b: Tree) -> bool:
+            return a.mark is not None and b.mark is not None and root(a.mark) == root(b.mark)
+
+        for a, b in join_trees(*trees, percent, linked):
+            x, y = arrays[a.id], arrays[b.id]
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            if both * 100 >= percent * (len(x) + len(y) - both):
+                up[root(a.mark)] = root(b.mark)
+                yield min(a.id, b.id), max(a.id, b.id)
+
+    rows = active.join(sets.select("node", "shingles"), "node")
+    return _by_group(rows, ["chunk", "component", "node", "shingles"], handle, "a long, b long").distinct()
 
 
 def similar_documents(
@@ -336,46 +516,49 @@ def similar_documents(
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
-    prefixes = _prefixes(rows, ranks, percent).dropDuplicates(["name"])
-    tokens = prefixes.join(classes.select("name", "node"), "name").select(
-        "node", F.explode("prefix").alias("token")
+    nodes, _ = materialize(
+        _signatures(rows, ranks, percent)
+        .dropDuplicates(["name"])
+        .join(classes.select("name", "node"), "name")
+        .select("node", "n", "bits", "prefix"),
+        "signatures",
     )
     of_token = Window.partitionBy("token")
+    # Sets with a common token meet under the first of them; once, however many they share.
     members, _ = materialize(
-        tokens.withColumn("hub", F.min("node").over(of_token))
+        nodes.select("node", F.explode("prefix").alias("token"))
+        .withColumn("hub", F.min("node").over(of_token))
         .withColumn("size", F.count(F.lit(1)).over(of_token))
         .filter("size > 1")
-        .drop("size"),
+        .select("hub", "node")
+        .distinct(),
         "members",
     )
-    met, n_met = materialize(members.select("node").distinct().join(classes, "node"), "met")
-    ids = met.select(F.col("first").alias("_id")).distinct()
-    again = rows.join(small_side(ids, n_met), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    sets, _ = materialize(
-        _sets(again).join(met.select("name", "node"), "name").dropDuplicates(["node"]).drop("name"), "sets"
-    )
+
+    def sets_of(wanted: DataFrame, name: str) -> DataFrame:
+        """(node, shingles) of the nodes in ``wanted``, from their documents."""
+        met, n_met = materialize(wanted.distinct().join(classes, "node"), f"{name}-nodes")
+        ids = met.select(F.col("first").alias("_id")).distinct()
+        again = rows.join(small_side(ids, n_met), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+        named = _sets(again).join(met.select("name", "node"), "name").dropDuplicates(["node"])
+        return materialize(named.select("node", "shingles"), f"{name}-sets")[0]
+
     stars = members.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
-    links, _ = materialize(_compare(stars.distinct(), sets, percent), "star-links")
+    pairs, _ = materialize(_likely(stars, nodes, percent), "star-pairs")
+    star_sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")), "star")
+    links, _ = materialize(_compare(pairs, star_sets, percent), "star-links")
     linked, _ = materialize(connected_components(links), "star-components")
     placed = members.join(linked, "node", "left").select(
-        "token", "node", F.coalesce("component", "node").alias("component")
-    )
-    # Groups that are not one component, each set of members once.
-    who = [F.bit_xor(F.xxhash64(F.lit(k), "node")).alias(f"who{k}") for k in range(2)]
-    open_tokens = (
-        placed.groupBy("token")
-        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"), *who)
-        .filter("lo <> hi")
-        .groupBy("n", "who0", "who1")
-        .agg(F.min("token").alias("token"))
+        "hub", "node", F.coalesce("component", "node").alias("component")
     )
-    open_groups = placed.join(open_tokens.select("token"), "token", "left_semi")
-    opened, n_open = materialize(open_groups, "open")
-    if n_open:
-        pairs = _tree_pairs(opened, sets, percent)
-        more, n_more = materialize(_compare(pairs, sets, percent), "tree-links")
-        if n_more:
-            linked, _ = materialize(connected_components(links.unionByName(more)), "components")
+    # Groups that are not one component yet.
+    parts = placed.groupBy("hub").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    opened = placed.join(parts.filter("lo <> hi").select("hub"), "hub", "left_semi")
+    active, n_active = materialize(_active(opened, nodes, percent), "active")
+    if n_active:
+        tree_sets = sets_of(active.select("node"), "tree")
+        more, _ = materialize(_tree_links(active, tree_sets, percent), "tree-links")
+        linked, _ = materialize(connected_components(links.unionByName(more)), "components")
     names = classes.join(linked, "node", "left").select(
         "name", "first", F.coalesce("component", "node").alias("component")
     )
