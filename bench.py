@@ -9,7 +9,15 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 
-from blocktide.plans.queries import QUERIES
+from blocktide import schemas as S
+from blocktide.plans.queries import QUERIES, RANGE, replay
+from blocktide.session import new_work_dir
+from blocktide.sinks.aggregates_table import (
+    query_aggregates,
+    read_table,
+    recent_aggregates,
+    upsert_aggregates,
+)
 
 HEADLINE = [
     "validate_rejects_by_reason",
@@ -37,6 +45,26 @@ def drain(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def time_reads(spark: SparkSession, sf_dir: str) -> dict[str, float]:
+    """Reads of a stored table alone, without the work that fills it."""
+    table = new_work_dir(spark, "bench-aggregates")
+    upsert_aggregates(replay(spark, sf_dir).metrics(flush=True), table)
+    reads = {
+        "range_read_only": lambda: query_aggregates(
+            read_table(spark, table), "ethereum", S.METRIC_EVENTS, *RANGE
+        ),
+        "recent_read_only": lambda: recent_aggregates(read_table(spark, table)),
+        "stored_totals_only": lambda: read_table(spark, table).groupBy("metric").count(),
+    }
+    seconds = {}
+    for name, read in reads.items():
+        drain(read())  # lists the table's files once
+        start = time.perf_counter()
+        drain(read())
+        seconds[name] = round(time.perf_counter() - start, 3)
+    return seconds
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -61,6 +89,8 @@ def main() -> None:
         start = time.perf_counter()
         drain(QUERIES[name](spark, sf_dir))
         seconds[name] = round(time.perf_counter() - start, 3)
+    if len(sys.argv) == 1:
+        seconds |= time_reads(spark, sf_dir)
     spark.stop()
     print(
         json.dumps(
