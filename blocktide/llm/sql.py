@@ -92,8 +92,33 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN n_hit USING (r) LEFT JOIN items USING (r)
 """
 
+_SPACED = (
+    "list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',"
+    " 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
+)
+
+JACCARD = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_SPACED} AS w FROM documents),
+s AS (SELECT doc_id, unnest(CASE
+    WHEN len(w) = 0 THEN []
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM d),
+u AS (SELECT DISTINCT doc_id, g FROM s),
+n AS (SELECT doc_id, count(*) AS n FROM u GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+      FROM u AS a JOIN u AS b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n AS nx ON nx.doc_id = x JOIN n AS ny ON ny.doc_id = y
+      WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
+e AS (SELECT x AS a, y AS b FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+FROM d LEFT JOIN n USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) USING (doc_id)
+"""
+
 ORACLE = {
     "op2_preference": PREFERENCE,
     "op6_licences": _licences(),
+    "op8_jaccard": JACCARD,
     "op9_decontamination": DECONTAMINATION,
 }
