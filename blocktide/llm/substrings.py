@@ -27,14 +27,11 @@ from blocktide.session import materialize
 GRAM = 200
 #: Starts in a segment, at most; a text of one repeated character has one anchor throughout.
 SEGMENT_STARTS = 512
-#: Bytes that one suffix array covers, about; a segment more at most.
+#: Bytes that one suffix array covers, about. Anchors whose segments do not fit in one are
+#: compared string by string, spread over all tasks.
 SHARD_BYTES = 1_000_000
-#: Anchors with more different segments are compared string by string, spread over all tasks.
-HOT_SEGMENTS = 1000
 #: Starts of a long text that are hashed at once.
 CHUNK = 1_000_000
-#: Rows of narrow tables that may be broadcast.
-NARROW_ROWS = 400_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = np.frombuffer(hashlib.shake_128(b"bytes").digest(256 * 8), np.uint64)
@@ -94,12 +91,18 @@ def segments(data: bytes, length: int, grams: Grams) -> Iterator[tuple[np.ndarra
 
 
 def _anchors(rows: DataFrame, length: int) -> DataFrame:
-    """(name, anchor, segment, first, last, inner) of every segment; ``segment`` hashes its bytes."""
+    """(name, anchor, segment, first, last, inner) of every segment; ``segment`` hashes its bytes.
+
+    A task tells of equal texts once: that they are copies is counted elsewhere.
+    """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = Grams(CHUNK + length)
+        grams, seen = Grams(CHUNK + length), set()
         for part in parts:
             for name, text in zip(part.column(0).to_pylist(), part.column(1)):
+                if name in seen:
+                    continue
+                seen.add(name)
                 data = text.as_buffer().to_pybytes()
                 view = memoryview(data)
                 for anchor, first, last, inner in segments(data, length, grams):
@@ -189,7 +192,7 @@ def _by_suffix_array(pieces: DataFrame, length: int) -> DataFrame:
             for anchor, segment, data in zip(*(c.to_pylist() for c in part.columns)):
                 if (anchor, segment) == last:
                     continue  # a repeated row
-                if size >= SHARD_BYTES and anchor != last[0]:
+                if size >= SHARD_BYTES and anchor != last[0]:  # one anchor more at most
                     yield shard(rows)
                     rows, size = [], 0
                 rows.append((anchor, segment, data))
@@ -234,31 +237,27 @@ def _by_string(pieces: DataFrame, length: int) -> DataFrame:
 
 def repeated_runs(docs: DataFrame, length: int) -> DataFrame:
     """(name, first, last): runs of starts of repeated strings, by digest of the text."""
-    named = docs.select(F.unhex(F.md5("text")).alias("name"), "doc_id", "text").filter(
+    named = docs.select(F.unhex(F.md5("text")).alias("name"), "text").filter(
         F.octet_length("text") >= length
     )
     texts = named.groupBy("name").agg(
-        F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("one"),
-        F.max(F.octet_length("text")).cast("long").alias("bytes"),
-    )
-    copied, n_copied = materialize(texts.filter("copies > 1"), "copied")
+        F.count(F.lit(1)).alias("copies"), F.max(F.octet_length("text")).cast("long").alias("bytes")
+    )
+    copied = texts.filter("copies > 1")
     whole = copied.select("name", F.lit(0).cast("long").alias("first"), (F.col("bytes") - length).alias("last"))
-    # Of equal texts one stands for all; rows that repeat it do no harm.
-    other = copied.select(F.col("name").alias("_name"), "one")
-    spare = (F.col("name") == F.col("_name")) & ~F.col("doc_id").eqNullSafe(F.col("one"))
-    single = named.join(small_side(other, n_copied, NARROW_ROWS), spare, "left_anti").select("name", "text")
+    single = named.select("name", "text")
 
     anchors, _ = materialize(_anchors(single, length), "anchors")
     seen = anchors.groupBy("anchor").agg(
         F.count(F.lit(1)).alias("n"), F.min("segment").alias("lo"), F.max("segment").alias("hi"),
         F.max("inner").alias("inner"),
     )
-    again, n_again = materialize(
+    again, _ = materialize(
         seen.filter("n > 1 OR inner").selectExpr("anchor AS _anchor", "lo <> hi OR inner AS mixed"),
         "repeated-anchors",
     )
     places, _ = materialize(
-        anchors.join(small_side(again, n_again, NARROW_ROWS), F.col("anchor") == F.col("_anchor")).drop("_anchor", "inner"),
+        anchors.join(again, F.col("anchor") == F.col("_anchor")).drop("_anchor", "inner"),
         "places",
     )
     kinds, _ = materialize(
@@ -273,17 +272,16 @@ def repeated_runs(docs: DataFrame, length: int) -> DataFrame:
     mixed = kinds.filter("mixed").select(
         "anchor", "segment", F.col("at.name").alias("_name"), F.col("at.first").alias("first"), F.col("at.last").alias("last")
     )
-    n_mixed = mixed.count()
     width = F.col("last") - F.col("first") + length
     data = F.substring(F.col("text").cast("binary"), F.col("first").cast("int") + 1, width.cast("int"))
     pieces, _ = materialize(
-        single.join(small_side(mixed, n_mixed, NARROW_ROWS), F.col("name") == F.col("_name")).select(
+        single.dropDuplicates(["name"]).join(mixed, F.col("name") == F.col("_name")).select(
             "anchor", "segment", data.alias("bytes")
         ),
         "pieces",
     )
-    per_anchor = pieces.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
-    hot, n_hot = materialize(per_anchor.filter(F.col("n") > HOT_SEGMENTS).select("anchor"), "hot-anchors")
+    per_anchor = pieces.groupBy("anchor").agg(F.sum(F.octet_length("bytes")).alias("size"))
+    hot, n_hot = materialize(per_anchor.filter(F.col("size") > SHARD_BYTES).select("anchor"), "hot-anchors")
     found = equal
     if n_hot:
         found = found.unionByName(_by_string(pieces.join(small_side(hot, n_hot), "anchor", "left_semi"), length))
@@ -317,10 +315,13 @@ def remove_repeats(
     if length < 2 * GRAM:
         raise ValueError(f"length must be {2 * GRAM} or more")
     rows = docs.select(F.col(id_column).alias("doc_id"), text_or_empty(text_column).alias("text"))
-    runs, n_runs = materialize(repeated_runs(rows, length).distinct(), "runs")
-    lists = runs.groupBy("name").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("runs"))
+    runs, _ = materialize(repeated_runs(rows, length).distinct(), "runs")
+    lists, _ = materialize(
+        runs.groupBy("name").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("runs")),
+        "run-lists",
+    )
     joined = rows.withColumn("name", F.unhex(F.md5("text"))).join(
-        small_side(lists, n_runs, NARROW_ROWS), "name", "left"
+        lists, "name", "left"
     )
     kind = rows.schema["doc_id"].dataType.simpleString()
 

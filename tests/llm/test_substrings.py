@@ -74,10 +74,9 @@ def corpus():
     return texts
 
 
-@pytest.mark.parametrize("hot", [1000, 1])
-def test_equals_brute_force(spark, monkeypatch, hot):
-    monkeypatch.setattr(substrings, "HOT_SEGMENTS", hot)
-    monkeypatch.setattr(substrings, "SHARD_BYTES", 2000)
+@pytest.mark.parametrize("shard", [5000, 600])
+def test_equals_brute_force(spark, monkeypatch, shard):
+    monkeypatch.setattr(substrings, "SHARD_BYTES", shard)
     texts = corpus()
     docs = documents(spark, [t or "" for t in texts])
     rows = {r.doc_id: r for r in remove_repeats(docs).collect()}
