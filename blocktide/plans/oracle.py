@@ -424,6 +424,7 @@ def oracle_sql() -> dict[str, str]:
         "freshness_quantiles": _exact_quantiles(),
         "freshness_histogram": _quantiles(),
         "group_lag": _with(*_lag_ctes(), select="SELECT * FROM lags"),
+        "group_lag_scanned": _with(*_lag_ctes(), select="SELECT * FROM lags"),
         "peak_lag": _with(
             *_lag_ctes(), select="SELECT label, max(records_lag) AS peak_lag FROM lags GROUP BY 1"
         ),
@@ -501,6 +502,11 @@ def oracle_sql() -> dict[str, str]:
             select="SELECT coalesce(reject_reason, '') AS reject_reason, count(*) AS events"
             " FROM judged GROUP BY 1"
         ),
+        "stream_keyed_events": _with(
+            select="SELECT CASE WHEN from_address <> '' THEN from_address"
+            " WHEN block_hash <> '' THEN block_hash ELSE chain END AS key,"
+            " count(*) AS events FROM feed GROUP BY 1"
+        ),
         "stream_tail": _with(
             select=f"SELECT id, from_address, {_at('observed_at')} FROM norm"
             f" WHERE observed_at >= TIMESTAMP '{Q.TAIL_START}' AND lower(chain) = 'solana'"

@@ -38,12 +38,15 @@ from blocktide.sinks.aggregates_table import (
 from blocktide.sinks.records import (
     append_stream,
     keyed_aggregates,
+    keyed_events,
     write_lag_csv,
     write_ndjson,
 )
 from blocktide.sources.chain_json import decode_blocks
 from blocktide.sources.driver_events import load_feed, redelivered_feed
-from blocktide.sources.events import decode_events, stream_events, tail_events
+from blocktide.schemas import OFFSET_SNAPSHOT
+from blocktide.sources.events import decode_events, load_source, stream_events, tail_events
+from blocktide.sources.offsets import read_offsets
 from blocktide.streaming.exact import ExactWindows
 from blocktide.streaming.native import native_metrics
 from blocktide.streaming.normalize import normalize_with_rejects, normalized_stream
@@ -409,6 +412,14 @@ def group_lag(spark, sf_dir):
     return lag.group_lag(offset_snapshots(spark, sf_dir))
 
 
+@query
+def group_lag_scanned(spark, sf_dir):
+    """The same from stored snapshots."""
+    work = new_work_dir(spark, "offsets")
+    offset_snapshots(spark, sf_dir).select(*OFFSET_SNAPSHOT.names).write.parquet(work)
+    return lag.group_lag(read_offsets(spark, work))
+
+
 @query
 def peak_lag(spark, sf_dir):
     return lag.peak_lag(lag.group_lag(offset_snapshots(spark, sf_dir)))
@@ -690,6 +701,18 @@ def stream_rejects(spark, sf_dir):
     return good.unionByName(bad).groupBy("reject_reason").agg(F.count("*").alias("events"))
 
 
+@query
+def stream_keyed_events(spark, sf_dir):
+    """Raw events from a source chosen by name, appended as keyed records: records per key."""
+    work = new_work_dir(spark, "stream-keyed")
+    raw = load_feed(spark, sf_dir).drop("event_id")
+    raw.write.parquet(f"{work}/in")
+    stream = load_source("stream", spark, f"{work}/in", schema=raw.schema)
+    _run_to_end(append_stream(keyed_events(stream), f"{work}/out", f"{work}/checkpoint"))
+    records = spark.read.schema("key string, value string").parquet(f"{work}/out")
+    return records.groupBy("key").agg(F.count("value").alias("events"))
+
+
 @query
 def stream_tail(spark, sf_dir):
     """A live tail from a start moment, filtered by chain and type."""
