@@ -15,11 +15,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blocktide.llm.common import small_side
+from blocktide.llm.common import drawn, share_for, sliced
 
 UNDETERMINED = "und"
 #: Characters are mapped to this many classes, so a trigram is an index below CLASSES**3.
@@ -140,38 +140,30 @@ def score_texts(model: LanguageModel, texts: list[str]) -> tuple[np.ndarray, np.
 def labelled_sample(
     docs: DataFrame, train: Column, per_language: int, id_column: str, text_column: str, lang: str
 ) -> list[tuple[str, str]]:
-    """At most ``per_language`` (text, language) of each language, the first by hash of the id.
+    """At most ``per_language`` (text, language) of each language, the first by hash of id and text.
 
-    Only ids are ranked; the texts of those chosen are read by a second scan.
+    Rows are counted by language first, so that only a few more than asked for
+    reach the driver.
     """
-    rows = docs.filter(train & F.col(lang).isNotNull() & F.col(text_column).rlike(r"\p{L}"))
-    rank = F.row_number().over(
-        Window.partitionBy("_lang").orderBy("_h", F.col("_id"))
+    rows = docs.filter(
+        train & F.col(lang).isNotNull() & F.col(text_column).rlike(r"\p{L}")
+    ).select(
+        F.xxhash64(id_column, text_column).alias("h"),
+        F.col(text_column).alias("t"),
+        F.col(lang).alias("l"),
     )
-    ids = (
-        rows.select(
-            F.col(id_column).alias("_id"),
-            F.xxhash64(id_column).alias("_h"),
-            F.col(lang).alias("_lang"),
-        )
-        .withColumn("_rank", rank)
-        .filter(F.col("_rank") <= per_language)
+    totals = {r.l: r["count"] for r in rows.groupBy("l").count().collect()}
+    if not totals:
+        return []
+    shares = F.create_map(
+        *[F.lit(x) for name, n in totals.items() for x in (name, share_for(per_language, n))]
     )
-    chosen = [r[0] for r in ids.select("_id").distinct().collect()]
-    wanted = docs.sparkSession.createDataFrame(
-        [(i,) for i in chosen], f"_id {docs.schema[id_column].dataType.simpleString()}"
-    )
-    named = rows.select(
-        F.col(id_column).alias("i"), F.col(text_column).alias("t"), F.col(lang).alias("l")
-    )
-    texts = named.join(
-        small_side(wanted, len(chosen)), F.col("i").eqNullSafe(F.col("_id")), "left_semi"
-    ).collect()
-    texts.sort(key=lambda r: (str(r.i), r.l, r.t))
-    counts: dict[str, int] = {}
+    found = rows.filter(drawn(F.col("h"), F.element_at(shares, F.col("l")))).collect()
+    found.sort(key=lambda r: (r.h & (1 << 64) - 1, r.t, r.l))
+    counts = dict.fromkeys(totals, 0)
     sample = []
-    for r in texts:  # repeated ids could give more than asked for
-        counts[r.l] = counts.get(r.l, 0) + 1
+    for r in found:
+        counts[r.l] += 1
         if counts[r.l] <= per_language:
             sample.append((r.t, r.l))
     return sample
@@ -207,7 +199,7 @@ def identify_language(
 
     def predict(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared.value
-        for part in parts:
+        for part in sliced(parts):
             texts = part.column(part.num_columns - 1).to_pylist()
             n = len(texts)
             names, scores = np.full(n, UNDETERMINED, object), np.zeros(n)

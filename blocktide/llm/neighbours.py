@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from blocktide.llm.common import drawn, share_for
 from blocktide.session import materialize
 
 #: Rows of the table on which graph and classifier are fitted, at most.
@@ -161,10 +162,11 @@ def nearest(
         F.coalesce(is_query, F.lit(False)).alias("is_query"),
         F.monotonically_increasing_id().alias("row"),
     )
-    sample = np.array(
-        [r.v for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).collect()]
-    ).reshape(-1, dimensions)
     n_rows = rows.count()
+    hashed = F.xxhash64("vec_id", "v")
+    picked = rows.filter(drawn(hashed, share_for(SAMPLE_ROWS, n_rows))).select("v", hashed.alias("h")).collect()
+    picked.sort(key=lambda r: r.h & (1 << 64) - 1)
+    sample = np.array([r.v for r in picked[:SAMPLE_ROWS]]).reshape(-1, dimensions)
     if parts is None:
         parts = int(np.clip(n_rows // 1024, 1, 64))
     router = fit_router(sample, parts, k=k) if len(sample) else None

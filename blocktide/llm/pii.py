@@ -4,8 +4,8 @@ Generators with high recall propose overlapping spans for each kind. Spans that
 match a kind's strict pattern are kept as they are; the others are judged by
 gradient-boosted trees over the span's format and its surroundings, with a
 calibrated threshold for each kind. The trees learn from a bounded sample of the
-documents themselves: strict matches, and rewritten forms of them, against the
-other candidates.
+documents themselves: strict matches, candidates that would match if a number
+did not touch them, and rewritten forms, against the other candidates.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from blocktide.llm.boosting import Trees, calibrate, fit_trees, threshold_for
+from blocktide.llm.common import drawn, share_for, sliced
 
 #: In the order in which spans of equal start are listed.
 KINDS = ("email", "ip", "card", "phone")
@@ -42,8 +43,9 @@ DISGUISED = re.compile(
 )
 DISGUISE = re.compile(r"\(at\)|\[at\]| @|@ |\(dot\)|\[dot\]")
 
-#: Number candidates have 7 to 19 digits in at most this many groups.
+#: Phone candidates have 7 to 15 digits, card candidates 12 to 19, in at most this many groups.
 MOST_GROUPS = 6
+SPACED_IP = re.compile(r"(?<![0-9.])(?:[0-9]{1,3} ?\. ?){3}[0-9]{1,3}(?![0-9.])")
 CONTEXT = 24
 WORDS_NEAR = (
     re.compile(r"phone|tel|call|mobile|fax|whatsapp", re.I),
@@ -116,6 +118,7 @@ def candidates(text: str, runs: list[tuple[int, int]]) -> list[Span]:
         if end - start < 7:
             continue
         groups = [m.span() for m in GROUP.finditer(text, start, end)]
+        found += [(m.start(), IP, m.end()) for m in SPACED_IP.finditer(text, start, end)]
         for i in range(len(groups)):
             digits = 0
             for j in range(i, min(len(groups), i + MOST_GROUPS)):
@@ -128,9 +131,10 @@ def candidates(text: str, runs: list[tuple[int, int]]) -> list[Span]:
                         a -= 1
                     if a and text[a - 1] == "+":
                         a -= 1
-                    found += [(a, CARD, b), (a, PHONE, b)]
-                    if j - i == 3:
-                        found.append((groups[i][0], IP, b))
+                    if digits >= 12:
+                        found.append((groups[i][0], CARD, b))
+                    if digits <= 15:
+                        found.append((a, PHONE, b))
     return found
 
 
@@ -171,10 +175,25 @@ class Detector:
     thresholds: dict[int, float]
 
 
+def strict_spans(text: str) -> list[Span]:
+    runs = [m.span() for m in RUN.finditer(text)]
+    return sorted(base_emails(text) + base_numbers(text, runs))
+
+
+def alone(kind: int, said: str) -> bool:
+    """Whether a candidate would match if other characters did not touch it.
+
+    The strict patterns run on into a number that follows and then fail as a whole.
+    """
+    return (0, kind, len(said)) in strict_spans(said)
+
+
 def rewrites(kind: int, said: str, rng: random.Random) -> list[str]:
     """Other ways to write a strict match."""
     if kind == EMAIL:
-        at, dot = rng.choice([("(at)", "(dot)"), ("[at]", "[dot]"), (" @ ", "."), (" (at) ", ".")])
+        space = rng.choice(["", " "])
+        at, dot = rng.choice([("(at)", "(dot)"), ("[at]", "[dot]"), ("@", "."), ("(at)", "."), ("[at]", ".")])
+        at, dot = space + at + space, dot if dot == "." else space + dot + space
         local, _, domain = said.partition("@")
         return [local + at + domain.replace(".", dot)]
     digits = "".join(GROUP.findall(said))
@@ -193,18 +212,17 @@ def training_rows(texts: list[str], seed: int = 1):
     rows: dict[int, list] = {k: [] for k in range(4)}
     for n, text in enumerate(texts):
         runs = [m.span() for m in RUN.finditer(text)]
-        strict = sorted(base_emails(text) + base_numbers(text, runs))
-        known = set(strict)
+        strict = strict_spans(text)
         for span in strict:
             rows[span[1]].append((describe(text, span), 1, n % 2))
             for said in rewrites(span[1], text[span[0] : span[2]], rng):
                 other = text[max(0, span[0] - 40) : span[0]] + said + text[span[2] : span[2] + 40]
                 start = min(40, span[0])
                 rows[span[1]].append((describe(other, (start, span[1], start + len(said))), 1, n % 2))
-        for span in candidates(text, runs):
-            inside = any(span[0] < e and s < span[2] and (s, span[2], e) != span for s, _, e in strict)
-            if span not in known and (not inside or rng.random() < 0.5):
-                rows[span[1]].append((describe(text, span), 0, n % 2))
+        for span in candidates(text, runs):  # those over a strict span are never judged
+            if not any(span[0] < e and s < span[2] for s, _, e in strict):
+                label = int(alone(span[1], text[span[0] : span[2]]))
+                rows[span[1]].append((describe(text, span), label, n % 2))
         # Numbers of no kind, so that every kind has met some.
         for _ in range(1 + len(strict)):
             sizes = [rng.randint(1, 8) for _ in range(rng.randint(1, 5))]
@@ -214,11 +232,12 @@ def training_rows(texts: list[str], seed: int = 1):
             other = f"{text[:20]} {said} {text[20:40]}"
             start = len(text[:20]) + 1
             for kind in (IP, CARD, PHONE):
-                if not (kind == CARD and luhn(digits)):
+                if not (kind == CARD and luhn(digits) and len(digits) >= 12):
                     rows[kind].append((describe(other, (start, kind, start + len(said))), 0, n % 2))
         words = text[:200].split()
         if len(words) > 3:
-            said = f"{words[0]} @ {words[1]}. {words[2]}"
+            at = rng.choice(["@", "(at)", "[at]"])
+            said = f"{words[0]} {at} {words[1]}. {words[2]}"
             rows[EMAIL].append((describe(said, (0, EMAIL, len(said))), 0, n % 2))
     return rows
 
@@ -250,7 +269,7 @@ def find_spans(texts: list[str], detector: Detector) -> list[list[tuple[int, int
     out, asked, features = [], [], []
     for n, text in enumerate(texts):
         runs = [m.span() for m in RUN.finditer(text)]
-        strict = sorted(base_emails(text) + base_numbers(text, runs))
+        strict = strict_spans(text)
         out.append([(*s, True, 1.0) for s in strict])
         taken = sorted((s, e) for s, _, e in strict)
         ends = np.maximum.accumulate([e for _, e in taken]) if taken else np.array([])
@@ -283,8 +302,10 @@ def sample_texts(docs: DataFrame, rows: int, characters: int, text_column: str)
     """Up to ``rows`` texts that hold digits or an at sign, the first by hash; long ones are not drawn."""
     text = F.col(text_column)
     fit = docs.filter(text.rlike("[0-9@]") & (F.length(text) <= characters))
-    drawn = fit.select(text.alias("t")).orderBy(F.xxhash64("t"), "t").limit(rows)
-    return [r.t for r in drawn.collect()]
+    fit = fit.select(text.alias("t"), F.xxhash64(text).alias("h"))
+    found = fit.filter(drawn(F.col("h"), share_for(rows, fit.count()))).collect()
+    found.sort(key=lambda r: (r.h & (1 << 64) - 1, r.t))
+    return [r.t for r in found[:rows]]
 
 
 def detect_pii(
@@ -323,7 +344,7 @@ def detect_pii(
     )
 
     def search(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in sliced(parts):
             texts = part.column(part.num_columns - 1).to_pylist()
             found = find_spans([t or "" for t in texts], shared.value)
             spans = [
