@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from blocktide.llm.common import small_side
+from blocktide.llm.common import sliced, small_side
 from blocktide.llm.components import connected_components
 from blocktide.session import materialize
 
@@ -227,7 +227,7 @@ def _profile(docs: DataFrame) -> DataFrame:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, counts, seen = Hasher(), np.zeros(SKETCH, np.uint32), set()
         kind = None
-        for part in parts:
+        for part in sliced(parts):
             ids, texts = part.column(0), part.column(1).to_pylist()
             kind = ids.type
             sizes, names = [], []
@@ -289,7 +289,7 @@ def _signatures(docs: DataFrame, ranks, percent: int) -> DataFrame:
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, seen = Hasher(), set()
-        for part in parts:
+        for part in sliced(parts):
             names, sizes, bits, rows = [], [], [], []
             for text in part.column(1).to_pylist():
                 shingles = shingle_set(text, hasher)
@@ -314,7 +314,7 @@ def _sets(docs: DataFrame) -> DataFrame:
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
-        for part in parts:
+        for part in sliced(parts):
             found = [shingle_set(t, hasher) for t in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([set_name(s) for s in found], pa.binary()), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))],
@@ -343,7 +343,7 @@ def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     joined = pairs.join(right, "b").join(left, "a").filter(near)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in sliced(parts):
             keep = [
                 may_meet(leaf(m, x), leaf(n, y), percent)
                 for m, x, n, y in zip(*(part.column(k).to_pylist() for k in range(2, 6)))
@@ -377,7 +377,7 @@ def _by_group(rows: DataFrame, columns: list[str], handle, schema: str) -> DataF
             columns = zip(*found) if found else [[] for _ in names]
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
-        for part in parts:
+        for part in sliced(parts):
             for hub, i, j, *member in zip(*(c.to_pylist() for c in part.columns)):
                 if (hub, i, j) != now:
                     if group:

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blocktide.llm.common import batches_of
+from blocktide.llm.common import batches_of, sliced
 
 #: A text becomes its token ids (uint32) and how many of them bear loss, from the end.
 Tokenise = Callable[[list[str]], list[np.ndarray]]
@@ -216,7 +216,7 @@ def pack(
         columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
         all_columns = [*columns, *["ids"] * with_ids]
         step = max(1, min(limits.tokens, limits.loss))
-        for part in parts:
+        for part in sliced(parts):
             arrow_id = part.schema.field(0).type
             ids_of, texts = part.column(0).to_pylist(), part.column(1)
             texts = [t or "" for t in texts.to_pylist()]
