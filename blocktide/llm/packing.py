@@ -9,6 +9,7 @@ reads, in blocks of bounded size, so nothing is shuffled.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections import defaultdict
@@ -97,11 +98,21 @@ def place(demands: np.ndarray, limits: Limits, cut_below: int = 0) -> list[list[
     return sequences
 
 
-def byte_bpe(ranks: str, end_id: int = 0) -> Tokenise:
+def added_tokens(vocabulary: str) -> dict[str, int]:
+    """Strings that a vocabulary's JSON file gives an id of their own, wherever they stand."""
+    with open(vocabulary, encoding="utf-8") as file:
+        added = json.load(file)["added_tokens"]
+    for token in added:
+        if token["single_word"] or token["lstrip"] or token["rstrip"]:
+            raise ValueError(f"added token with conditions on its surroundings: {token}")
+    return {token["content"]: token["id"] for token in added}
+
+
+def byte_bpe(ranks: str, vocabulary: str, end_id: int = 0) -> Tokenise:
     """Ids of a byte-level BPE vocabulary given as a rank file, then ``end_id``.
 
-    The ids are those of the same vocabulary's JSON file; strings that look like
-    special tokens are ordinary text.
+    The ids are those of the same vocabulary's JSON file, ``vocabulary``, whose
+    added tokens keep their own ids inside a text too.
     """
     import base64
 
@@ -112,14 +123,17 @@ def byte_bpe(ranks: str, end_id: int = 0) -> Tokenise:
         pairs = (line.split() for line in file)
         table = {base64.b64decode(token): int(rank) for token, rank in pairs}
     encoding = tiktoken.Encoding(
-        "byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={}
+        "byte_bpe",
+        pat_str=public_tokenizers.PATTERN,
+        mergeable_ranks=table,
+        special_tokens=added_tokens(vocabulary),
     )
 
     def tokenise(texts: list[str]) -> list[np.ndarray]:
         end = np.array([end_id], np.uint32)
         out = []
         for text in texts:
-            ids = encoding.encode_to_numpy(text, disallowed_special=())
+            ids = encoding.encode_to_numpy(text, allowed_special="all")
             out.append(np.concatenate((ids.astype(np.uint32, copy=False), end)))
         return out
 

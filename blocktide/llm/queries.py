@@ -58,7 +58,9 @@ def gpt_ids():
     """The tokeniser of the packing query, made once in each task."""
     import public_tokenizers
 
-    return byte_bpe(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return byte_bpe(
+        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("byte_bpe_50k.json")
+    )
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

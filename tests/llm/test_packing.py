@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 
 from blocktide.llm.packing import Limits, pack, place
 from blocktide.llm.queries import gpt_ids
-from tests.llm.cases import ODD_ROWS, SMALL, no_documents, odd_documents
+from tests.llm.cases import ODD_ROWS, SMALL, documents, no_documents, odd_documents
 
 
 def whole(ids):
@@ -84,3 +84,17 @@ def test_small_blocks_and_masked_fronts(spark):
     assert all(len(s) <= 3 and sum(r.length for r in s) <= 64 for s in sequences.values())
     total = sum(r.length for r in rows)
     assert total == sum(r.length for r in pack(docs, gpt_ids).collect())
+
+
+def test_added_tokens_keep_their_ids(spark):
+    end = "<|endoftext|>"
+    texts = [
+        end, end * 3, f"a {end} b", f"glued{end}to{end}letters", f"  {end} \n\n{end}\n ", f"<|endof{end}text|>",
+        "<|endoftext|", "no such token",
+    ]
+    tokeniser = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = {i: [*tokeniser.encode(t, add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+    assert want[0] == [50256, 0]
+    rows = pack(documents(spark, texts), gpt_ids, with_ids=True, cut_below=0).collect()
+    assert {r.doc_id: r.ids for r in rows} == want
+    assert all(r.ids_crc32 == whole(r.ids) and r.doc_tokens == len(r.ids) for r in rows)
