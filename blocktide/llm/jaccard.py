@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from blocktide.llm.common import sliced, small_side
@@ -218,7 +218,7 @@ def join_trees(a: Tree, b: Tree, percent: int, done=None) -> Iterator[tuple[Tree
 
 
 def _profile(docs: DataFrame) -> DataFrame:
-    """Of every document its id, set size and set name; of every task its common slots.
+    """Of every document its id, set size, set name and text key; of every task its common slots.
 
     A slot is told if the task counted it more than twice as often as the average
     slot, and two times more, each distinct set counted once.
@@ -228,7 +228,7 @@ def _profile(docs: DataFrame) -> DataFrame:
         hasher, counts, seen = Hasher(), np.zeros(SKETCH, np.uint32), set()
         kind = None
         for part in sliced(parts):
-            ids, texts = part.column(0), part.column(1).to_pylist()
+            ids, texts, keys = part.column(0), part.column(1).to_pylist(), part.column(2)
             kind = ids.type
             sizes, names = [], []
             for text in texts:
@@ -240,19 +240,19 @@ def _profile(docs: DataFrame) -> DataFrame:
                     seen.add(name)
                     counts[slots(shingles)] += 1
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), pa.nulls(len(ids), pa.int64())],
-                names=["doc_id", "n", "name", "slot"],
+                [ids, pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), keys, pa.nulls(len(ids), pa.int64())],
+                names=["doc_id", "n", "name", "key_text", "slot"],
             )
         common = np.flatnonzero(counts > 2 + 2 * counts.mean())
         for at in range(0, len(common), 10_000):
             some = common[at : at + 10_000]
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(some), kind), pa.array(counts[some], pa.int64()), pa.nulls(len(some), pa.binary()), pa.array(some, pa.int64())],
-                names=["doc_id", "n", "name", "slot"],
+                [pa.nulls(len(some), kind), pa.array(counts[some], pa.int64()), pa.nulls(len(some), pa.binary()), pa.nulls(len(some), pa.string()), pa.array(some, pa.int64())],
+                names=["doc_id", "n", "name", "key_text", "slot"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, n long, name binary, slot long")
+    return docs.mapInArrow(run, f"doc_id {kind}, n long, name binary, key_text string, slot long")
 
 
 def _rank_table(common: DataFrame) -> np.ndarray:
@@ -489,30 +489,29 @@ def _tree_links(active: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _by_group(rows, ["chunk", "component", "node", "shingles"], handle, "a long, b long").distinct()
 
 
-def similar_documents(
-    docs: DataFrame, percent: int = 80, id_column: str = "doc_id", text_column: str = "text"
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs``.
+def _components(
+    rows: DataFrame, percent: int, key_text: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Profile (doc_id, n, name, key_text) of ``rows`` (doc_id, text), and the sets by component.
 
-    Sets are the distinct runs of five words (fewer words: the whole sequence);
-    two documents link if they share ``percent`` of all shingles of both, or
-    more. ``component_id`` is the smallest id reachable over links.
-
-    Null and empty texts have no shingles, link with nothing and are their own
-    component. Repeated rows have equal sets and so one component, also rows of
-    one id with different texts keep the component of their own text. Null ids
-    never name a component, unless it has no other. Other columns are ignored;
-    an empty table gives no rows.
+    The sets as (name, first, component), ``first`` being their smallest id. With
+    ``key_text`` follows ``least``, their smallest row key (unnamed, key_id,
+    key_text): by id, rows without one last, then by text.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    told, _ = materialize(_profile(rows), "profile")
+    least = []
+    if key_text is not None:
+        key = F.struct(F.isnull("doc_id").alias("unnamed"), F.col("doc_id").alias("key_id"), "key_text")
+        least = [F.min(key).alias("least")]
+    else:
+        key_text = F.lit(None).cast("string")
+    spark = rows.sparkSession
+    told, _ = materialize(_profile(rows.withColumn("key_text", key_text)), "profile")
     ranks = spark.sparkContext.broadcast(_rank_table(told.filter(F.col("slot").isNotNull())))
     profile = told.filter(F.col("slot").isNull()).drop("slot")
     classes, n_classes = materialize(
         profile.filter("n > 0")
         .groupBy("name")
-        .agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"))
+        .agg(F.min("doc_id").alias("first"), *least)
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
@@ -559,9 +558,28 @@ def similar_documents(
         tree_sets = sets_of(active.select("node"), "tree")
         more, _ = materialize(_tree_links(active, tree_sets, percent), "tree-links")
         linked, _ = materialize(connected_components(links.unionByName(more)), "components")
-    names = classes.join(linked, "node", "left").select(
-        "name", "first", F.coalesce("component", "node").alias("component")
+    return profile, classes.join(linked, "node", "left").select(
+        "name", "first", *["least"] * len(least), F.coalesce("component", "node").alias("component")
     )
+
+
+def similar_documents(
+    docs: DataFrame, percent: int = 80, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of ``docs``.
+
+    Sets are the distinct runs of five words (fewer words: the whole sequence);
+    two documents link if they share ``percent`` of all shingles of both, or
+    more. ``component_id`` is the smallest id reachable over links.
+
+    Null and empty texts have no shingles, link with nothing and are their own
+    component. Repeated rows have equal sets and so one component, also rows of
+    one id with different texts keep the component of their own text. Null ids
+    never name a component, unless it has no other. Other columns are ignored;
+    an empty table gives no rows.
+    """
+    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
+    profile, names = _components(rows, percent)
     least = names.groupBy("component").agg(F.min("first").alias("component_id"))
     named = names.join(least, "component").select(F.col("name").alias("_name"), "component_id")
     return profile.join(named, F.col("name") == F.col("_name"), "left").select(
@@ -572,22 +590,37 @@ def similar_documents(
 
 
 def keep_one_each(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` of which no similar one has a smaller id; ids that repeat stay once."""
-    found, _ = materialize(similar_documents(docs, percent), "similar")
-    per_id = found.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
-        F.min(F.col("doc_id") == F.col("component_id")).alias("first"), F.count(F.lit(1)).alias("rows")
-    )
-    gone, n_gone = materialize(
-        per_id.filter(~F.col("first")).select(F.col("doc_id").alias("_id")), "gone"
+    """One row of each group of similar ones: that of the smallest id, nulls last.
+
+    A row is named by its id and its text, so rows of one id with different texts
+    are judged each for itself, and rows without an id as well; of rows that
+    agree in both one stays. Of equal ids the smallest checksum decides.
+    """
+    text_key = F.md5("text")
+    profile, names = _components(docs.select("doc_id", "text"), percent, text_key)
+    best = names.groupBy("component").agg(F.min("least").alias("least")).select("least.key_id", "least.key_text")
+    keys = profile.groupBy(F.col("doc_id").alias("key_id"), "key_text").agg(
+        F.max("n").alias("n"), F.count(F.lit(1)).alias("rows")
     )
+
+    def same(a: DataFrame, b: DataFrame) -> Column:
+        return a["key_id"].eqNullSafe(b["key_id"]) & a["key_text"].eqNullSafe(b["key_text"])
+
+    keys, _ = materialize(keys, "row-keys")
+    said = keys.filter("n > 0")
+    gone, n_gone = materialize(said.join(best, same(said, best), "left_anti").select("key_id", "key_text"), "gone")
+    often = keys.filter("rows > 1")
     twice, n_twice = materialize(
-        per_id.filter("first AND rows > 1").select(F.col("doc_id").alias("_id")), "twice"
+        often.join(gone, same(often, gone), "left_anti").select("key_id", "key_text"), "twice"
     )
-    kept = docs.join(small_side(gone, n_gone), docs["doc_id"] == gone["_id"], "left_anti")
+
+    def against(rows: DataFrame, listed: DataFrame, count: int, how: str) -> DataFrame:
+        same_row = rows["doc_id"].eqNullSafe(listed["key_id"]) & F.md5(rows["text"]).eqNullSafe(listed["key_text"])
+        return rows.join(small_side(listed, count), same_row, how)
+
+    kept = against(docs, gone, n_gone, "left_anti")
     if not n_twice:
         return kept
-    repeated = docs["doc_id"] == twice["_id"]
-    once = kept.join(small_side(twice, n_twice), repeated, "left_anti")
-    return once.unionByName(
-        kept.join(small_side(twice, n_twice), repeated, "left_semi").dropDuplicates(["doc_id"])
-    )
+    once = against(kept, twice, n_twice, "left_anti")
+    again = against(kept, twice, n_twice, "left_semi").withColumn("_key_text", text_key)
+    return once.unionByName(again.dropDuplicates(["doc_id", "_key_text"]).drop("_key_text"))

@@ -7,7 +7,7 @@ from blocktide.llm import jaccard
 from blocktide.llm.components import connected_components
 from blocktide.llm.jaccard import Tree, bitmap, join_trees, keep_one_each, shingle_set, similar_documents
 from blocktide.llm.queries import QUERIES
-from tests.llm.cases import ODD_ROWS, SMALL, documents, no_documents, odd_documents
+from tests.llm.cases import DOCS, ODD_ROWS, SMALL, documents, no_documents, odd_documents
 
 
 def words_set(text):
@@ -157,3 +157,21 @@ def test_odd_rows(spark):
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 3, 4, 5, 6, 7, 8]
     assert similar_documents(no_documents(spark)).count() == 0
     assert keep_one_each(no_documents(spark)).count() == 0
+
+
+def test_rows_are_judged_by_id_and_text(spark):
+    def prose(name, n=40):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    a, b, c, d, e, f = (prose(x) for x in "abcdef")
+    rows = [
+        (1, a), (2, b), (2, c),  # one id, unlike texts
+        (3, d), (4, d + " more"), (4, e),  # one of the texts is a near copy of a smaller id
+        (None, a), (None, a + " more"), (None, f), (None, f + " more"), (None, f),  # without an id
+        (5, b), (6, None), (6, ""), (7, "x"), (7, "x"),
+    ]
+    docs = spark.createDataFrame([(i, t, None, None, 0) for i, t in rows], DOCS).repartition(4)
+    kept = sorted(((r.doc_id or 0, r.text or "") for r in keep_one_each(docs).collect()))
+    of_f = [t for i, t in kept if i == 0]
+    assert len(of_f) == 1 and of_f[0] in (f, f + " more")
+    assert [k for k in kept if k[0]] == [(1, a), (2, b), (2, c), (3, d), (4, e), (6, ""), (6, ""), (7, "x")]
