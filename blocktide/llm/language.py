@@ -178,6 +178,7 @@ def identify_language(
     text_column: str = "text",
     lang_column: str = "lang",
     batch: int = 256,
+    letters_to: str | None = None,
 ) -> DataFrame:
     """Columns ``keep`` of every row with ``lang_pred`` and ``score``.
 
@@ -185,16 +186,19 @@ def identify_language(
     ``train`` holds; rows with a null text, null label or no letter teach
     nothing. Prediction sees the whole text only. A text that is null or has no
     letter is ``und`` with score 0, and so is every text if nothing could be
-    learned. Repeated rows get equal results, an empty table none. A kept column
+    learned; with ``letters_to`` a boolean column of that name tells which texts
+    have a letter. Repeated rows get equal results, an empty table none. A kept column
     named like an output column is left out.
     """
     sample = labelled_sample(docs, train, per_language, id_column, text_column, lang_column)
     model = fit_language_model([t for t, _ in sample], [x for _, x in sample])
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    keep = [c for c in keep if c not in ("lang_pred", "score")]
+    keep = [c for c in keep if c not in ("lang_pred", "score", letters_to)]
     rows = docs.select(*keep, F.col(text_column).alias("_text"))
     schema = T.StructType([docs.schema[c] for c in keep])
     schema = schema.add("lang_pred", "string").add("score", "double")
+    if letters_to:
+        schema = schema.add(letters_to, "boolean")
     letter = regex.compile(r"\p{L}")
 
     def predict(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,16 +207,19 @@ def identify_language(
             texts = part.column(part.num_columns - 1).to_pylist()
             n = len(texts)
             names, scores = np.full(n, UNDETERMINED, object), np.zeros(n)
-            known = [i for i in range(n) if texts[i] and letter.search(texts[i])] if fitted else []
+            lettered = [i for i in range(n) if texts[i] and letter.search(texts[i])]
+            known = lettered if fitted else []
             for at in range(0, len(known), batch):
                 some = known[at : at + batch]
                 best, share = score_texts(fitted, [texts[i] for i in some])
                 names[some] = np.array(fitted.languages, object)[best]
                 scores[some] = share
             kept = [part.column(i) for i in range(part.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=schema.names,
-            )
+            kept += [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+            if letters_to:
+                has_letter = np.zeros(n, np.bool_)
+                has_letter[lettered] = True
+                kept.append(pa.array(has_letter))
+            yield pa.RecordBatch.from_arrays(kept, names=schema.names)
 
     return rows.mapInArrow(predict, schema)

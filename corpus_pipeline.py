@@ -24,11 +24,13 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language: null texts and texts without a letter.
 
-    ``lang`` is filled in where it is null, and kept where it is not.
+    ``lang`` is filled in where it is null, and kept where it is not. If no label
+    could be learned from, it stays null.
     """
-    found = identify_language(docs, training_rows(), keep=tuple(COLUMNS))
-    kept = found.filter(F.col("lang_pred") != UNDETERMINED)
-    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
+    found = identify_language(docs, training_rows(), keep=tuple(COLUMNS), letters_to="has_letter")
+    predicted = F.nullif(F.col("lang_pred"), F.lit(UNDETERMINED))
+    kept = found.filter("has_letter").withColumn("lang", F.coalesce("lang", predicted))
+    return kept.select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

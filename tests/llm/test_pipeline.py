@@ -3,9 +3,11 @@
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from blocktide.llm.decontamination import contamination
+from blocktide.llm.queries import in_fold
 from tests.llm.cases import ODD_ROWS, SMALL, no_documents, odd_documents
 from tests.llm.test_jaccard import brute
 from tests.llm.test_pii import plain
@@ -79,3 +81,13 @@ def test_odd_rows(spark, name):
     want = {"language": [0, 1, 2, 2, 6, 7, 8], "near_duplicates": [0, 1, 3, 4, 5, 6, 7, 8]}
     assert left == want.get(name, everything)
     assert BY_NAME[name](spark, no_documents(spark), SMALL).count() == 0
+
+
+@pytest.mark.parametrize("labels", ["none", "held out"])
+def test_language_without_labels_keeps_letters(spark, labels):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    lang = F.lit(None).cast("string") if labels == "none" else F.when(in_fold(2), F.col("lang"))
+    docs = docs.withColumn("lang", lang)
+    kept = BY_NAME["language"](spark, docs, SMALL)
+    had = {r.doc_id: r.lang for r in docs.collect() if any(c.isalpha() for c in r.text or "")}
+    assert had and {r.doc_id: r.lang for r in kept.collect()} == had
