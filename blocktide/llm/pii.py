@@ -43,8 +43,8 @@ DISGUISED = re.compile(
 )
 DISGUISE = re.compile(r"\(at\)|\[at\]| @|@ |\(dot\)|\[dot\]")
 
-#: Phone candidates have 7 to 15 digits, card candidates 12 to 19, in at most this many groups.
-MOST_GROUPS = 6
+#: Phone candidates have 7 to 15 digits, card candidates 12 to 19, in as many groups as they take.
+MOST_DIGITS = 19
 SPACED_IP = re.compile(r"(?<![0-9.])(?:[0-9]{1,3} ?\. ?){3}[0-9]{1,3}(?![0-9.])")
 CONTEXT = 24
 WORDS_NEAR = (
@@ -121,9 +121,9 @@ def candidates(text: str, runs: list[tuple[int, int]]) -> list[Span]:
         found += [(m.start(), IP, m.end()) for m in SPACED_IP.finditer(text, start, end)]
         for i in range(len(groups)):
             digits = 0
-            for j in range(i, min(len(groups), i + MOST_GROUPS)):
+            for j in range(i, len(groups)):
                 digits += groups[j][1] - groups[j][0]
-                if digits > 19:
+                if digits > MOST_DIGITS:
                     break
                 if digits >= 7:
                     a, b = groups[i][0], groups[j][1]

@@ -3,6 +3,9 @@ import random
 import re
 import time
 
+import pytest
+
+from blocktide.llm import pii
 from blocktide.llm.pii import detect_pii, find_spans, fit_detector, luhn, strict_spans as strict
 from blocktide.llm.queries import QUERIES
 from tests.llm.cases import ODD_ROWS, SMALL, by_id, no_documents, odd_documents
@@ -100,3 +103,19 @@ def test_odd_rows_and_redaction(spark):
     assert by[3].text is None and by[4].text == "" and by[3].spans == []
     assert by[7].text.endswith("mail [EMAIL]") and [s.kind for s in by[7].spans] == ["email"]
     assert detect_pii(no_documents(spark), keep=("doc_id",)).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("said", "kind"),
+    [("00 33 6 12 34 56 78", pii.PHONE), ("0 6 1 2 3 4 5 6 7 8", pii.PHONE), ("41 11 11 11 11 11 11 11", pii.CARD),
+     (" ".join("4111111111111111"), pii.CARD), (" ".join("1234567890123456789"), pii.CARD)],
+)
+def test_numbers_in_many_groups_are_proposed_whole(said, kind):
+    text = f"call {said} now"
+    runs = [m.span() for m in pii.RUN.finditer(text)]
+    assert (5, kind, 5 + len(said)) in pii.candidates(text, runs)
+
+
+def test_candidates_stay_linear():
+    found = {n: len(pii.candidates("1 " * n + "x", [(0, 2 * n - 1)])) for n in (1000, 2000)}
+    assert found[1000] <= 1000 * 2 * 19 and found[2000] < 2.1 * found[1000]
