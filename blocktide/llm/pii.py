@@ -299,11 +299,15 @@ def find_spans(texts: list[str], detector: Detector) -> list[list[tuple[int, int
 
 
 def sample_texts(docs: DataFrame, rows: int, characters: int, text_column: str) -> list[str]:
-    """Up to ``rows`` texts that hold digits or an at sign, the first by hash; long ones are not drawn."""
+    """Up to ``rows`` texts that hold digits or an at sign, the first by hash; long ones are not drawn.
+
+    Copies of a text count and are drawn once, so few more than ``rows`` reach the driver.
+    """
     text = F.col(text_column)
     fit = docs.filter(text.rlike("[0-9@]") & (F.length(text) <= characters))
     fit = fit.select(text.alias("t"), F.xxhash64(text).alias("h"))
-    found = fit.filter(drawn(F.col("h"), share_for(rows, fit.count()))).collect()
+    share = share_for(rows, fit.select("h").distinct().count())
+    found = fit.filter(drawn(F.col("h"), share)).dropDuplicates(["h"]).collect()
     found.sort(key=lambda r: (r.h & (1 << 64) - 1, r.t))
     return [r.t for r in found[:rows]]
 

@@ -6,9 +6,9 @@ import time
 import pytest
 
 from blocktide.llm import pii
-from blocktide.llm.pii import detect_pii, find_spans, fit_detector, luhn, strict_spans as strict
+from blocktide.llm.pii import detect_pii, find_spans, fit_detector, luhn, sample_texts, strict_spans as strict
 from blocktide.llm.queries import QUERIES
-from tests.llm.cases import ODD_ROWS, SMALL, by_id, no_documents, odd_documents
+from tests.llm.cases import ODD_ROWS, SMALL, by_id, documents, no_documents, odd_documents
 
 PATTERNS = [
     re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
@@ -119,3 +119,17 @@ def test_numbers_in_many_groups_are_proposed_whole(said, kind):
 def test_candidates_stay_linear():
     found = {n: len(pii.candidates("1 " * n + "x", [(0, 2 * n - 1)])) for n in (1000, 2000)}
     assert found[1000] <= 1000 * 2 * 19 and found[2000] < 2.1 * found[1000]
+
+
+def test_sample_takes_each_text_once(spark, monkeypatch):
+    texts = [f"number {n} of {m}" for n in range(50) for m in (1, 2)]
+    often = texts * 3 + ["call 555 0100 today"] * 2000
+    docs = documents(spark, often)
+    collected = []
+    real = type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda df: collected.append(real(df)) or collected[-1])
+    sample = sample_texts(docs, 4000, 20_000, "text")
+    assert sorted(sample) == sorted({*texts, "call 555 0100 today"})
+    assert max(map(len, collected)) == len(sample)
+    some = sample_texts(docs, 40, 20_000, "text")
+    assert len(some) == len(set(some)) == 40
