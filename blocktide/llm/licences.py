@@ -1,7 +1,7 @@
 """Licence recognition by known sentences and ordered rules over them.
 
-A text is cut into sentences, each is normalised and looked up among known
-licence sentences, and the sequence of identifiers found is matched against
+A text is cut into normalised sentences, known licence sentences are looked up
+among them, in one line or wrapped over several, and the sequence of identifiers found is matched against
 rules, each an ordered list of identifiers. All of it happens inside the row.
 """
 
@@ -71,11 +71,21 @@ def rule_pattern(ids: tuple[str, ...], slack: int) -> str:
     return between.join(f"<{i}>" for i in ids)
 
 
-def sentences(text: Column) -> Column:
-    """Normalised sentences of ``text``, empty ones left out. Lines end sentences too."""
-    lines = F.split(F.regexp_replace(F.lower(text), SENTENCE_END, "$1\n"), "\n")
-    words = F.transform(lines, lambda s: F.trim(F.regexp_replace(s, GAP, " ")))
-    return F.filter(words, lambda s: s != "")
+def normal_lines(text: Column) -> Column:
+    """Normalised ``text``, no line of which goes beyond a sentence.
+
+    An empty line follows where a sentence ends by its punctuation, and stays
+    where ``text`` has one.
+    """
+    lines = F.regexp_replace(F.lower(text), SENTENCE_END, "$1\n\n")
+    words = F.regexp_replace(lines, GAP.replace("[^", "[^\n"), " ")
+    return F.trim(F.regexp_replace(words, " ?\n ?", "\n"))
+
+
+def known_sentence() -> str:
+    """A regular expression for a known sentence that fills one line or several in a row."""
+    said = sorted(SENTENCES, key=lambda s: (-len(s), s))
+    return f"(?m)^(?:{'|'.join(s.replace(' ', '[ \n]') for s in said)})$"
 
 
 def scan_licences(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -83,16 +93,19 @@ def scan_licences(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
     ``licences`` holds the matched ones in order of the alphabet, joined by
     commas ('' if none), ``sentence_ids`` the sequence of known sentences,
-    ``n_sentences`` and ``n_known`` count all and known sentences. Null and empty
+    ``n_sentences`` and ``n_known`` count all and known sentences. A line's end
+    counts as a sentence's, but a known sentence is also found if it is wrapped
+    over lines, behind comment marks or not. Null and empty
     texts have no sentences. Rows are independent: repeated ones give repeated
     results, an empty table none; other columns are ignored. No shuffle.
     """
     known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
     rows = docs.select(
         F.col(id_column).alias("doc_id"),
-        F.coalesce(sentences(F.col(text_column)), F.array().cast("array<string>")).alias("_said"),
+        normal_lines(F.coalesce(text_column, F.lit(""))).alias("_lines"),
     )
-    ids = F.filter(F.transform("_said", lambda s: F.element_at(known, s)), lambda i: i.isNotNull())
+    said = F.regexp_extract_all("_lines", F.lit(known_sentence()), F.lit(0))
+    ids = F.transform(said, lambda s: F.element_at(known, F.translate(s, "\n", " ")))
     rows = rows.withColumn("_ids", ids)
     tagged = F.array_join(F.transform("_ids", lambda i: F.concat(F.lit("<"), i, F.lit(">"))), "")
     rows = rows.withColumn("_tags", tagged)
@@ -108,6 +121,6 @@ def scan_licences(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         "doc_id",
         F.array_join(named, ",").alias("licences"),
         F.array_join("_ids", ",").alias("sentence_ids"),
-        F.size("_said").cast("long").alias("n_sentences"),
+        F.size(F.filter(F.split("_lines", "\n"), lambda s: s != "")).cast("long").alias("n_sentences"),
         F.size("_ids").cast("long").alias("n_known"),
     )
