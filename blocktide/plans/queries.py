@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import functools
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -647,38 +647,40 @@ def stream_native_metrics(spark, sf_dir):
 def stream_normalized(spark, sf_dir):
     """The redelivered raw feed through streaming validate, dedup and enrich."""
     work = new_work_dir(spark, "stream-normalize")
-    raw = _landed_out_of_order(spark, sf_dir, f"{work}/in")
-    stream = stream_events(spark, f"{work}/in", max_files=1, schema=raw.schema)
-    _run_to_end(append_stream(normalized_stream(stream), f"{work}/out", f"{work}/checkpoint"))
+    for stream in _landed_out_of_order(spark, sf_dir, f"{work}/in"):
+        _run_to_end(append_stream(normalized_stream(stream), f"{work}/out", f"{work}/checkpoint"))
     return spark.read.parquet(f"{work}/out").select(
         "id", "chain", "type", "from_address", "to_address",
         labels_json(F.col("attributes")).alias("attributes"),
     )
 
 
-def _landed_out_of_order(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
-    """The redelivered raw feed in four files, the oldest arrivals landing last."""
+def _landed_out_of_order(spark: SparkSession, sf_dir: str, path: str) -> Iterator[DataFrame]:
+    """The redelivered raw feed landing in four quarters, the oldest arrivals last.
+
+    Gives the stream over the folder after each landing, to be run to its end
+    before the next one, so a quarter may have any number of files.
+    """
     raw = redelivered_feed(load_feed(spark, sf_dir)).drop("event_id")
     quarter = F.ntile(4).over(Window.orderBy("day"))
     days = raw.select(F.to_date("observed_at").alias("day")).distinct().withColumn("q", quarter)
     split = raw.join(days, F.to_date("observed_at") == F.col("day")).drop("day")
     for q in (2, 3, 4, 1):
-        split.filter(F.col("q") == q).drop("q").coalesce(1).write.mode("append").parquet(path)
-    return raw
+        split.filter(F.col("q") == q).drop("q").write.mode("append").parquet(path)
+        yield stream_events(spark, path, schema=raw.schema)
 
 
 @query
 def stream_deduplicated(spark, sf_dir):
     """The same feed with rejects and seen ids: events per outcome, over all batches."""
     work = new_work_dir(spark, "stream-dedup")
-    raw = _landed_out_of_order(spark, sf_dir, f"{work}/in")
-    stream = stream_events(spark, f"{work}/in", max_files=1, schema=raw.schema)
-    _run_to_end(
-        normalize_with_rejects(
-            stream, f"{work}/good", f"{work}/bad", f"{work}/checkpoint",
-            seen_path=f"{work}/seen", counts_path=f"{work}/counts",
+    for stream in _landed_out_of_order(spark, sf_dir, f"{work}/in"):
+        _run_to_end(
+            normalize_with_rejects(
+                stream, f"{work}/good", f"{work}/bad", f"{work}/checkpoint",
+                seen_path=f"{work}/seen", counts_path=f"{work}/counts",
+            )
         )
-    )
     totals = spark.read.parquet(f"{work}/counts").groupBy().agg(
         *[F.sum(c).alias(c) for c in ("received", "rejected", "kept", "suppressed")]
     )

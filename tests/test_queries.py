@@ -50,3 +50,18 @@ def test_feed_counts_at_sf001(spark):
     got = {r.metric: int(r.v) for r in exact}
     assert got["gas_used_total"] == 95_815_158
     assert got["value_wei_total"] == 1_810_941_000_000_000_000_000
+
+
+def test_quarters_land_in_several_files(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        spread = spark.read.parquet(f"{SMALL}/events.parquet").repartition(4)
+        spread.write.parquet(str(tmp_path / "sf" / "events.parquet"))
+        seen, added = set(), []
+        for _ in Q._landed_out_of_order(spark, str(tmp_path / "sf"), str(tmp_path / "in")):
+            files = set((tmp_path / "in").glob("*.parquet"))
+            added.append(len(files - seen))
+            seen = files
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(added) == 4 and min(added) > 1
