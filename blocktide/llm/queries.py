@@ -84,7 +84,7 @@ def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
         # A string of bytes may end inside a character; what is left of one becomes U+FFFD.
-        F.decode("kept", F.lit("utf-8")).alias("text"),
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
     )
 
 

@@ -91,6 +91,7 @@ def test_query_equals_brute_force(spark):
         r = rows[d.doc_id]
         assert (r.n_bytes, r.n_removed, r.n_spans) == (len((d.text or "").encode()), gone, runs)
         assert r.kept_sha256 == hashlib.sha256(kept).hexdigest()
+        assert r.text == kept.decode("utf-8", "replace")
 
 
 def test_chunks_of_long_texts_meet(spark, monkeypatch):
