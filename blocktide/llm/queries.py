@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blocktide.llm.bytebpe import decode_ids, encode_texts, token_count
+from blocktide.llm.collocations import collocations
 from blocktide.llm.common import documents
 from blocktide.llm.decontamination import contamination
 from blocktide.llm.jaccard import similar_documents
@@ -101,6 +102,10 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, F.col("vec_id") % 100 == 0)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(documents(spark, sf_dir))
+
+
 def op12_bytebpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -156,6 +161,7 @@ QUERIES = {
     "op8_jaccard": op8_jaccard,
     "op9_decontamination": op9_decontamination,
     "op10_neighbours": op10_neighbours,
+    "op11_collocations": op11_collocations,
     "op12_bytebpe": op12_bytebpe,
     "op13_periodic": op13_periodic,
 }

@@ -116,9 +116,40 @@ FROM d LEFT JOIN n USING (doc_id)
 JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) USING (doc_id)
 """
 
+COLLOCATIONS = """
+WITH p AS (
+  SELECT row_number() OVER () AS piece, lang, list_filter(regexp_split_to_array(said, '[ \\t]+'), lambda x: x <> '') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[.,;:!?\\n\\x0B\\f\\r]')) AS said FROM documents)),
+total AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM p GROUP BY lang),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS s FROM p),
+grams AS (SELECT lang, size, array_to_string(w[s:s + size - 1], ' ') AS phrase
+          FROM starts, (VALUES (1), (2), (3), (4), (5)) AS sizes(size) WHERE s + size - 1 <= len(w)),
+f AS (SELECT lang, size, phrase, count(*)::HUGEINT AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k
+         FROM f WHERE size > 1),
+priced AS (
+  SELECT c.lang, c.size, c.phrase, c.a, c.k, x.f AS l, y.f AS r, t.n, (1000 * c.a * t.n) // (x.f * y.f) AS score
+  FROM cuts AS c JOIN total AS t USING (lang)
+  JOIN f AS x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[:c.k], ' ')
+  JOIN f AS y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:], ' ')),
+least AS (SELECT * FROM priced QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ones AS (SELECT DISTINCT o.lang, array_to_string(o.w[i:j], ' ') AS phrase, o.a AS outer_f
+  FROM (SELECT DISTINCT lang, size, a, w, unnest(range(1, size + 1)) AS i FROM cuts) AS o,
+    LATERAL (SELECT unnest(range(o.i + 1, o.size + 1)) AS j) WHERE j - i + 1 < o.size),
+kept AS (SELECT * FROM least AS a WHERE NOT EXISTS (
+  SELECT 1 FROM inner_ones AS b WHERE b.lang = a.lang AND b.phrase = a.phrase AND 100 * b.outer_f >= 100 * a.a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n,
+  score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
+"""
+
 ORACLE = {
     "op2_preference": PREFERENCE,
     "op6_licences": _licences(),
     "op8_jaccard": JACCARD,
     "op9_decontamination": DECONTAMINATION,
+    "op11_collocations": COLLOCATIONS,
 }
