@@ -54,22 +54,42 @@ def dropped_per_interval(events: DataFrame, interval: Duration = "1 minute") ->
     )
 
 
-def drop_redelivered(stream: DataFrame) -> DataFrame:
-    """Streaming form: an id that was seen before is dropped, whenever it arrives.
+def drop_redelivered(stream: DataFrame, remember: Duration | None = "1 day") -> DataFrame:
+    """Streaming form: an id that came before is dropped.
 
-    No watermark, so nothing is ever dropped for being old; the state holds every
-    id, keyed by id, and belongs in a disk-backed state store. ``unseen`` bounds
-    what is looked at instead.
+    An id is remembered for ``remember`` from the moment it was processed, and then
+    leaves the state. That clock only goes forward, so no event is ever dropped
+    for being old, and neither arrival time nor event time matters, null or not.
+    With None every id is kept for ever. Either state belongs in a disk-backed state store.
     """
-    return stream.dropDuplicates(["id"])
+    if remember is None:
+        return stream.dropDuplicates(["id"])
+    landed = stream.withColumn("_landed_at", F.current_timestamp())
+    clock = landed.withWatermark("_landed_at", f"{micros(remember)} microseconds")
+    return clock.dropDuplicatesWithinWatermark(["id"]).drop("_landed_at")
 
 
-def unseen(firsts: DataFrame, seen: DataFrame, horizon: Duration) -> DataFrame:
-    """Rows of ``firsts`` (one per id) whose id is not in ``seen`` (id, observed_at).
+def seen_keys(events: DataFrame) -> DataFrame:
+    """What is remembered of an event: the 128-bit digest of its id, and its arrival."""
+    return events.select(F.unhex(F.md5("id")).alias("key"), "observed_at")
+
+
+def unseen(
+    firsts: DataFrame, seen: DataFrame, horizon: Duration, small: bool = False
+) -> DataFrame:
+    """Rows of ``firsts`` (one per id) whose id is not among ``seen`` (see ``seen_keys``).
 
     ``horizon`` says how far apart in arrival time repeats are recognised. It is
-    no lateness limit: an id that was not seen passes however old it is.
+    no lateness limit: an id that was not seen passes however old it is. Where an
+    arrival is not known, on either side, it is taken as within the horizon.
+    With ``small``, ``firsts`` was counted to be few: then its keys go to the
+    seen ones, which are not shuffled.
     """
-    known = seen.select(F.col("id").alias("_id"), F.col("observed_at").alias("_at"))
-    apart = F.abs(F.unix_micros("observed_at") - F.unix_micros("_at"))
-    return firsts.join(known, (F.col("id") == F.col("_id")) & (apart <= micros(horizon)), "left_anti")
+    keyed = firsts.withColumn("_key", F.unhex(F.md5("id")))
+    known = seen.select(F.col("key").alias("_key"), F.col("observed_at").alias("_at"))
+    if small:
+        known = F.broadcast(known.join(F.broadcast(keyed.select("_key")), "_key", "left_semi"))
+    apart = F.abs(F.unix_micros(keyed["observed_at"]) - F.unix_micros("_at"))
+    near = F.coalesce(apart <= micros(horizon), F.lit(True))
+    same = (keyed["_key"] == known["_key"]) & near
+    return keyed.join(known, same, "left_anti").drop("_key")

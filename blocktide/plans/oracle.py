@@ -225,26 +225,27 @@ def _lag_ctes() -> tuple[str, ...]:
 def _decoded(with_bodies: bool) -> str:
     columns = (
         "id, type, block_number, block_hash, tx_hash, from_address, to_address, value_wei,"
-        f" {_at('t + INTERVAL 2 SECOND', 'observed_at')}, {_at('t', 'block_time')}"
+        f" {_at('t + INTERVAL 2 SECOND', 'observed_at')},"
+        f" {_at('CASE WHEN undated THEN t + INTERVAL 2 SECOND ELSE t END', 'block_time')}"
     )
     parts = [
         "SELECT 'evt:ethereum:' || block_hash AS id, 'EVENT_TYPE_BLOCK' AS type, block_number,"
-        " block_hash, '' AS tx_hash, '' AS from_address, '' AS to_address, '' AS value_wei, t"
-        " FROM blocks"
+        " block_hash, '' AS tx_hash, '' AS from_address, '' AS to_address, '' AS value_wei, t,"
+        " undated FROM blocks"
     ]
     if with_bodies:
         parts.append(
             "SELECT 'evt:ethereum:' || tx_hash, 'EVENT_TYPE_TRANSACTION', b.block_number,"
             " b.block_hash, tx_hash, from_address, to_address,"
             " CASE WHEN value_wei = 'not-a-number' THEN '0' ELSE"
-            " CAST(left(value_wei, -14)::HUGEINT * 281474976710656::HUGEINT AS VARCHAR) END, b.t"
-            " FROM dated d JOIN blocks b ON d.block_number = b.block_number"
+            " CAST(left(value_wei, -14)::HUGEINT * 281474976710656::HUGEINT AS VARCHAR) END, b.t,"
+            " b.undated FROM feed d JOIN blocks b ON d.block_number = b.block_number"
             " WHERE type = 'EVENT_TYPE_TRANSACTION' AND tx_hash <> ''"
         )
     return _with(
-        "dated AS (SELECT * FROM feed WHERE block_time IS NOT NULL)",
-        "blocks AS (SELECT block_number, block_hash, date_trunc('second', min(block_time)) AS t"
-        " FROM dated GROUP BY ALL)",
+        "blocks AS (SELECT block_number, block_hash,"
+        " date_trunc('second', coalesce(min(block_time), min(observed_at))) AS t,"
+        " count(*) > count(block_time) AS undated FROM feed GROUP BY ALL)",
         select=f"SELECT {columns} FROM ({' UNION ALL '.join(parts)})",
     )
 
@@ -436,6 +437,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "decode_chain_blocks": _decoded(True),
         "decode_heads_only": _decoded(False),
+        "stream_decode_blocks": _decoded(True),
         "hex_quantities": _hex_quantities(),
         "decode_json_records": _with(
             select="SELECT reject_reason, count(*) AS events,"

@@ -47,6 +47,7 @@ from blocktide.sources.driver_events import load_feed, redelivered_feed
 from blocktide.schemas import OFFSET_SNAPSHOT
 from blocktide.sources.events import decode_events, load_source, stream_events, tail_events
 from blocktide.sources.offsets import read_offsets
+from blocktide.streaming.decode import block_events, decode_transactions, log_heads, read_head_log
 from blocktide.streaming.exact import ExactWindows
 from blocktide.streaming.native import native_metrics
 from blocktide.streaming.normalize import normalize_with_rejects, normalized_stream
@@ -440,9 +441,10 @@ def landed_chain_json(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
     """Heads (each delivered twice) and bodies in the node's JSON, from the feed.
 
     A block holds twelve consecutive rows of the table at most, so the
-    transaction lists are small by construction.
+    transaction lists are small by construction. Where a row has no block time,
+    its block's head carries one that cannot be read.
     """
-    feed = load_feed(spark, sf_dir).filter(F.col("block_time").isNotNull())
+    feed = load_feed(spark, sf_dir)
     e = F.col("event_id")
     number = F.concat(F.lit("0x"), F.lower(F.hex("block_number")))
     cents = F.regexp_replace("value_wei", "0{14}$", "").try_cast("bigint")
@@ -458,15 +460,17 @@ def landed_chain_json(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
         value.alias("value"),
     )
     per_block = feed.groupBy("block_number", "block_hash").agg(
-        F.min("block_time").alias("t"),
+        F.coalesce(F.min("block_time"), F.min("observed_at")).alias("t"),
+        F.bool_or(F.col("block_time").isNull()).alias("undated"),
         F.array_sort(F.collect_list(F.when(is_tx, tx))).alias("txs"),
     )
     seconds = F.unix_seconds("t")
+    stamp = F.concat(F.lit("0x"), F.lower(F.hex(seconds)))
     head = F.to_json(
         F.struct(
             number.alias("number"),
             F.col("block_hash").alias("hash"),
-            F.concat(F.lit("0x"), F.lower(F.hex(seconds))).alias("timestamp"),
+            F.when(F.col("undated"), F.lit("0xnone")).otherwise(stamp).alias("timestamp"),
         )
     )
     heads = per_block.select(
@@ -516,6 +520,36 @@ def decode_heads_only(spark, sf_dir):
     return _show_decoded(decode_blocks(heads, fetch_bodies=False))
 
 
+@query
+def stream_decode_blocks(spark, sf_dir):
+    """Heads and bodies landing in four parts each, in different orders, decoded as streams."""
+    work = new_work_dir(spark, "stream-decode")
+    landed = dict(zip(("heads", "bodies"), landed_chain_json(spark, sf_dir)))
+    number = F.conv(F.substring(F.get_json_object("value", "$.number"), 3, 16), 16, 10).cast("bigint")
+    parts = {n: df.withColumn("part", number % 4) for n, df in landed.items()}
+    # The first body lands a round before its head, the third a round after it.
+    for round_ in ({"heads": (1, 2), "bodies": (0, 1)}, {"heads": (3, 0), "bodies": (3, 2)}):
+        for name, order in round_.items():
+            for part in order:
+                some = parts[name].filter(F.col("part") == part).drop("part")
+                some.write.mode("append").parquet(f"{work}/{name}")
+        streams = {
+            n: stream_events(spark, f"{work}/{n}", schema=df.schema) for n, df in landed.items()
+        }
+        _run_to_end(
+            log_heads(streams["heads"], f"{work}/log", f"{work}/seen", f"{work}/checkpoint-heads")
+        )
+        _run_to_end(
+            decode_transactions(
+                read_head_log(spark, f"{work}/log"), streams["bodies"], f"{work}/events",
+                f"{work}/unanswered", f"{work}/checkpoint-bodies",
+            )
+        )
+    blocks = block_events(read_head_log(spark, f"{work}/log", stream=False))
+    transactions = spark.read.schema(blocks.schema).parquet(f"{work}/events")
+    return _show_decoded(blocks.unionByName(transactions.select(*blocks.columns)))
+
+
 @query
 def hex_quantities(spark, sf_dir):
     """Hash prefixes of every event read as 64-bit, 120-bit and 128-bit quantities."""

@@ -78,3 +78,27 @@ def move_folder(spark: SparkSession, source: str, target: str) -> None:
     fs.mkdirs(new.getParent())
     if not fs.rename(old, new):
         raise OSError(f"could not move {source} to {target}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, complete or not there: written beside its place, then renamed."""
+    jvm = spark._jvm
+    target, fresh = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.fresh")
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(fresh, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    fs.delete(target, False)
+    if not fs.rename(fresh, target):
+        raise OSError(f"could not write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    source = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = source.getFileSystem(spark._jsc.hadoopConfiguration()).open(source)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

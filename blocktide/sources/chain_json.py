@@ -29,7 +29,7 @@ def parse_heads(landed: DataFrame) -> DataFrame:
     collapse to their first arrival before anything is joined.
     """
     return (
-        _decoded_heads(landed)
+        decoded_heads(landed)
         .filter(F.col("number").isNotNull())
         .groupBy("number", "hash")
         .agg(F.min("observed_at").alias("observed_at"), F.min("stamp").alias("stamp"))
@@ -43,10 +43,10 @@ def parse_heads(landed: DataFrame) -> DataFrame:
 
 
 def bad_heads(landed: DataFrame) -> DataFrame:
-    return _decoded_heads(landed).filter(F.col("number").isNull()).select("value", "observed_at")
+    return decoded_heads(landed).filter(F.col("number").isNull()).select("value", "observed_at")
 
 
-def _decoded_heads(landed: DataFrame) -> DataFrame:
+def decoded_heads(landed: DataFrame) -> DataFrame:
     return landed.withColumn("h", F.from_json("value", S.CHAIN_HEAD)).select(
         "value",
         "observed_at",
@@ -56,8 +56,8 @@ def _decoded_heads(landed: DataFrame) -> DataFrame:
     )
 
 
-def parse_blocks(landed: DataFrame) -> DataFrame:
-    """``(number, body_hash, transactions)``: the first landed body of each block.
+def keyed_bodies(landed: DataFrame) -> DataFrame:
+    """``(number, body_hash, transactions, observed_at)`` of every readable body.
 
     ``body_hash`` is empty where the body does not carry its own hash.
     """
@@ -70,6 +70,13 @@ def parse_blocks(landed: DataFrame) -> DataFrame:
             "observed_at",
         )
         .filter(F.col("number").isNotNull())
+    )
+
+
+def parse_blocks(landed: DataFrame) -> DataFrame:
+    """``(number, body_hash, transactions)``: the first landed body of each block."""
+    return (
+        keyed_bodies(landed)
         .groupBy("number", "body_hash")
         .agg(F.min_by("transactions", "observed_at").alias("transactions"))
     )
@@ -95,6 +102,30 @@ def _event_row(type_name: str, chain: str, **columns: Column) -> list[Column]:
     return [column.alias(name) for name, column in row.items()]
 
 
+def block_event_row(chain: str) -> list[Column]:
+    """The columns of a BLOCK event, from a head's ``block_hash``, number and times."""
+    return _event_row(S.TYPE_BLOCK, chain, hash=F.col("block_hash"))
+
+
+def transaction_events(matched: DataFrame, chain: str) -> DataFrame:
+    """One TRANSACTION event per transaction of heads that have their body's list."""
+    listed = matched.select(
+        "number", "block_hash", "block_time", "observed_at", F.explode("transactions").alias("tx")
+    )
+    tx_hash = _text(F.col("tx.hash"))
+    return listed.select(
+        *_event_row(
+            S.TYPE_TRANSACTION,
+            chain,
+            hash=tx_hash,
+            tx_hash=tx_hash,
+            from_address=_text(F.col("tx.from")),
+            to_address=_text(F.col("tx.to")),
+            value_wei=F.coalesce(hex_to_decimal_string(_text(F.col("tx.value"))), F.lit("0")),
+        )
+    )
+
+
 def decode_blocks(
     heads: DataFrame,
     blocks: DataFrame | None = None,
@@ -105,31 +136,16 @@ def decode_blocks(
 
     Both inputs are landed JSON ``(value, observed_at)``. A transaction takes
     number, hash and times from its head. Gas is not part of a block body and
-    stays 0. Repeated ids are left for the dedup step.
+    stays 0. Repeated ids are left for the dedup step. ``streaming.decode`` does
+    the same for streams.
     """
     parsed = parse_heads(heads).withColumnRenamed("hash", "block_hash")
-    block_events = parsed.select(
-        *_event_row(S.TYPE_BLOCK, chain, hash=F.col("block_hash"))
-    )
+    block_events = parsed.select(*block_event_row(chain))
     if not fetch_bodies or blocks is None:
         return block_events
     # A head takes the body with its own hash, and one that names only the number.
     keyed = parsed.withColumn(
         "body_hash", F.explode(F.array_distinct(F.array("block_hash", F.lit(""))))
     )
-    transactions = keyed.join(parse_blocks(blocks), ["number", "body_hash"]).select(
-        "number", "block_hash", "block_time", "observed_at", F.explode("transactions").alias("tx")
-    )
-    tx_hash = _text(F.col("tx.hash"))
-    tx_events = transactions.select(
-        *_event_row(
-            S.TYPE_TRANSACTION,
-            chain,
-            hash=tx_hash,
-            tx_hash=tx_hash,
-            from_address=_text(F.col("tx.from")),
-            to_address=_text(F.col("tx.to")),
-            value_wei=F.coalesce(hex_to_decimal_string(_text(F.col("tx.value"))), F.lit("0")),
-        )
-    )
-    return block_events.unionByName(tx_events)
+    matched = keyed.join(parse_blocks(blocks), ["number", "body_hash"])
+    return block_events.unionByName(transaction_events(matched, chain))

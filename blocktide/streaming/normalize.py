@@ -4,14 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from blocktide.functions.timebucket import Duration, micros
-from blocktide.operators.dedup import drop_redelivered, first_seen, unseen
+from blocktide.functions.timebucket import Duration
+from blocktide.operators.dedup import drop_redelivered, first_seen, seen_keys, unseen
 from blocktide.operators.enrich import enrich
 from blocktide.operators.validate import valid_events, with_reject_reason
-from blocktide.session import path_exists
 from blocktide.sinks.records import write_batch
+from blocktide.streaming.logstate import LogState
+
+#: Keys and arrivals of accepted ids; 24 bytes each.
+SEEN = T.StructType(
+    [T.StructField("key", T.BinaryType()), T.StructField("observed_at", T.TimestampType())]
+)
+#: Batches up to this many good events broadcast their keys to the remembered ones.
+SMALL_BATCH = 200_000
 
 
 def normalized_stream(
@@ -19,9 +27,12 @@ def normalized_stream(
     contracts: DataFrame | None = None,
     dedup: bool = True,
     counters: str | None = None,
+    remember: Duration | None = "1 day",
 ) -> DataFrame:
     """Valid, deduplicated, enriched events in append mode.
 
+    Ids are remembered for ``remember`` of processing time (see ``drop_redelivered``).
+
     With ``counters``, each progress report of the query carries observed
     metrics under that name (``received``) and ``<counters>_valid`` and
     ``<counters>_kept``; valid less kept is the number of suppressed repeats.
@@ -34,26 +45,10 @@ def normalized_stream(
 
     events = observed(valid_events(observed(raw, "", "received")), "_valid", "valid")
     if dedup:
-        events = observed(drop_redelivered(events), "_kept", "kept")
+        events = observed(drop_redelivered(events, remember), "_kept", "kept")
     return enrich(events, contracts)
 
 
-SEEN = "id string, observed_at timestamp, day date, batch_id bigint"
-
-
-def _seen_before(batch: DataFrame, path: str, batch_id: int, horizon: Duration) -> DataFrame:
-    """Ids that earlier batches accepted, from the days this batch can repeat."""
-    spark = batch.sparkSession
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], SEEN)
-    reach = F.expr(f"interval {micros(horizon)} microseconds")
-    lo, hi = batch.agg(
-        F.to_date(F.min("observed_at") - reach), F.to_date(F.max("observed_at") + reach)
-    ).first()
-    seen = spark.read.schema(SEEN).parquet(path).filter(F.col("batch_id") < batch_id)
-    return seen.filter(F.col("day").between(lo, hi)) if lo else seen.limit(0)
-
-
 def normalize_with_rejects(
     raw: DataFrame,
     good_path: str,
@@ -63,31 +58,35 @@ def normalize_with_rejects(
     seen_path: str | None = None,
     horizon: Duration = "1 hour",
     counts_path: str | None = None,
+    remember: int = 10_000_000,
 ) -> DataStreamWriter:
     """Write good and rejected events of each micro-batch as one unit.
 
     With ``seen_path`` good events whose id was accepted before are suppressed
-    (see ``unseen``); accepted ids are kept there by day of arrival, so a batch
-    reads only the days within ``horizon`` of its own. ``counts_path`` gets a row
+    (see ``unseen``). The last ``remember`` accepted ids are kept there, first in
+    first out (see ``LogState``; one generation more at most), so neither the state
+    nor what a batch reads grows with the stream. ``counts_path`` gets a row
     per batch: received, rejected, kept and suppressed events, exactly.
 
     All folders are named by batch id and replaced on retry; the batch is
     committed only after they are complete.
     """
 
+    state = LogState(seen_path, SEEN, capacity=remember) if seen_path is not None else None
+
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         flagged = with_reject_reason(batch).persist()
         try:
             good = flagged.filter(F.col("reject_reason").isNull()).drop(
                 "reject_reason", "_corrupt_record"
             )
-            if seen_path is not None:
-                before = _seen_before(batch, seen_path, batch_id, horizon)
-                good = unseen(first_seen(good), before, horizon)
+            if state is not None:
+                few = good.count() <= SMALL_BATCH
+                good = unseen(first_seen(good), state.read(spark, batch_id - 1), horizon, few)
             write_batch(enrich(good, contracts), good_path, batch_id)
             bad = flagged.filter(F.col("reject_reason").isNotNull())
             write_batch(bad, reject_path, batch_id)
-            spark = batch.sparkSession
             kept = spark.read.schema(good.select("id", "observed_at").schema).parquet(
                 f"{good_path}/batch_id={batch_id}"
             )
@@ -98,14 +97,9 @@ def normalize_with_rejects(
                 ).crossJoin(kept.agg(F.count(F.lit(1)).alias("kept")))
                 left = F.col("received") - F.col("rejected") - F.col("kept")
                 write_batch(totals.withColumn("suppressed", left), counts_path, batch_id)
-            if seen_path is not None:
-                (
-                    kept.withColumns({"day": F.to_date("observed_at"), "batch_id": F.lit(batch_id)})
-                    .write.mode("overwrite")
-                    .option("partitionOverwriteMode", "dynamic")
-                    .partitionBy("day", "batch_id")
-                    .parquet(seen_path)
-                )
+            if state is not None:
+                state.append(seen_keys(kept), batch_id)
+                state.compact(spark, batch_id)
         finally:
             flagged.unpersist()
 
