@@ -140,17 +140,24 @@ class Summary:
             self.lost += taken
 
 
+def key_width(words: int) -> int:
+    """Bits of a key among so many words. Phrases that share one are counted as one phrase,
+    too high if anything, and in this width hardly any do."""
+    return min(62, max(32, words.bit_length() + 6))
+
+
 class Plan:
-    """How many partitions there are, and how many counters each has."""
+    """How wide keys are, how many partitions there are, and how many counters each has."""
 
-    def __init__(self, mass: int, threshold: int, slack: int = 1):
+    def __init__(self, mass: int, threshold: int, width: int, slack: int = 1):
         # A quarter more than mass / threshold, since partitions are not quite equal.
         need = slack * 5 * mass // (4 * threshold) + 64 * PARTITIONS
+        self.width = width
         self.bits = max(PARTITIONS.bit_length() - 1, (need // COUNTERS).bit_length())
         self.capacity = need // (1 << self.bits) + 64
 
     def part(self, keys: np.ndarray) -> np.ndarray:
-        return (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+        return (keys >> np.uint64(self.width - self.bits)).astype(np.int64)
 
     def summaries(self, keys: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, Summary]]:
         """Of counters in order of their keys, one summary for each partition."""
@@ -162,13 +169,26 @@ class Plan:
             yield int(parts[a]), summary
 
 
+def shortened(values: np.ndarray, width: int) -> np.ndarray:
+    """Keys of hash values: their first bits."""
+    return values >> np.uint64(64 - width)
+
+
+def spread(keys: np.ndarray) -> np.ndarray:
+    """Keys over all 64 bits, each to another value."""
+    return (keys ^ (keys >> np.uint64(29))) * _STEP
+
+
 class Filter:
-    """Which keys may be in a set: certain for those that are, nearly so for others."""
+    """Which hash values may have their key in a set: certain for those that have,
+    nearly so for others. The set holds keys as ``spread`` gives them."""
 
-    def __init__(self, bits: np.ndarray):
+    def __init__(self, bits: np.ndarray, width: int):
         self.bits = bits
+        self.width = width
 
-    def __call__(self, keys: np.ndarray) -> np.ndarray:
+    def __call__(self, values: np.ndarray) -> np.ndarray:
+        keys = spread(shortened(values, self.width))
         mask = np.uint64(FILTER_BITS - 1)
         step = (keys >> np.uint64(27)) | np.uint64(1)
         found = np.ones(len(keys), np.bool_)
@@ -239,30 +259,44 @@ def _totals(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("n"))
 
 
-SUMMARY = "part long, lost long, keys binary, counts binary"
+SUMMARY = "part long, lost long, n long, first long, keys binary, counts binary"
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers in the narrowest of 1, 2, 4 and 8 bytes that holds them all."""
+    size = next(s for s in (1, 2, 4, 8) if int(numbers.max(initial=0)) < 1 << 8 * s)
+    return numbers.astype(f"<u{size}").tobytes()
+
+
+def _unpacked(data: pa.BinaryScalar, n: int) -> np.ndarray:
+    buffer = data.as_buffer()
+    return np.frombuffer(buffer, f"<u{buffer.size // max(n, 1) or 1}").astype(np.uint64)
 
 
 def _summary_rows(found: Iterator[tuple[int, Summary]]) -> Iterator[pa.RecordBatch]:
-    columns: list[list] = [[], [], [], []]
+    """Summaries in rows of bounded size; keys as their differences, which are small."""
+    columns: list[list] = [[] for _ in range(6)]
     for part, summary in found:
         lost = summary.lost
-        for at in range(0, max(1, len(summary.keys)), ROW_COUNTERS):
-            some = slice(at, at + ROW_COUNTERS)
-            values = (part, lost, summary.keys[some].tobytes(), summary.counts[some].tobytes())
+        for at in range(0, max(1, len(summary.keys)), ROW_COUNTERS):  # what was lost is told anyway
+            keys, counts = summary.keys[at : at + ROW_COUNTERS], summary.counts[at : at + ROW_COUNTERS]
+            steps = np.diff(keys, prepend=keys[:1])
+            first = int(keys[0]) if len(keys) else 0
+            values = (part, lost, len(keys), first, _packed(steps), _packed(counts))
             for column, value in zip(columns, values):
                 column.append(value)
             lost = 0  # told once
         if len(columns[0]) >= 1000:
             yield _summary_batch(columns)
-            columns = [[], [], [], []]
+            columns = [[] for _ in range(6)]
     if columns[0]:
         yield _summary_batch(columns)
 
 
 def _summary_batch(columns: list[list]) -> pa.RecordBatch:
-    types = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+    types = [*[pa.int64()] * 4, pa.binary(), pa.binary()]
     arrays = [pa.array(c, t) for c, t in zip(columns, types)]
-    return pa.RecordBatch.from_arrays(arrays, names=["part", "lost", "keys", "counts"])
+    return pa.RecordBatch.from_arrays(arrays, names=["part", "lost", "n", "first", "keys", "counts"])
 
 
 def _frequent(rows: DataFrame, first: int, last: int, plan: Plan, threshold: int, pairs) -> tuple[DataFrame, int]:
@@ -273,7 +307,7 @@ def _frequent(rows: DataFrame, first: int, last: int, plan: Plan, threshold: int
     """
 
     def summarise(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Filter(pairs.value) if pairs is not None else None
+        known = Filter(pairs.value, plan.width) if pairs is not None else None
         keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         fresh: list[np.ndarray] = []
         waiting = 0
@@ -294,7 +328,7 @@ def _frequent(rows: DataFrame, first: int, last: int, plan: Plan, threshold: int
                     usable = usable[: len(value)] & pair[n - 2 : n - 2 + len(value)]
                     starts = starts[usable[starts]]
                 if n >= first and len(starts):
-                    fresh.append(value[starts, 0])
+                    fresh.append(shortened(value[starts, 0], plan.width))
                     waiting += len(starts)
             if waiting >= BUFFERED:
                 take_in()
@@ -318,7 +352,7 @@ def _frequent(rows: DataFrame, first: int, last: int, plan: Plan, threshold: int
 
         def survivors() -> pa.RecordBatch:
             # Occurrences are at most the counter and what it lost.
-            keys = summary.keys[summary.counts + summary.lost >= threshold]
+            keys = spread(summary.keys[summary.counts + summary.lost >= threshold])
             told = np.concatenate(([0], keys.view(np.int64)))  # the first row tells of the partition
             none = np.arange(len(told)) == 0
             return pa.RecordBatch.from_arrays(
@@ -328,15 +362,15 @@ def _frequent(rows: DataFrame, first: int, last: int, plan: Plan, threshold: int
 
         size = 0
         for batch in parts:
-            columns = (batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3))
-            for part, lost, keys, counts in zip(*columns):
+            numbers = [batch.column(k).to_pylist() for k in range(4)]
+            for part, lost, n, first, steps, counts in zip(*numbers, batch.column(4), batch.column(5)):
                 if part != current:
                     if current is not None:
                         merged()
                         yield survivors()
                     current, summary, size = part, Summary(plan.capacity), 0
-                # Copies, since a batch's memory goes when it has been read.
-                held.append((np.frombuffer(keys.as_buffer(), np.uint64).copy(), np.frombuffer(counts.as_buffer(), np.int64).copy(), lost))
+                keys = np.cumsum(_unpacked(steps, n)) + np.uint64(first)
+                held.append((keys, _unpacked(counts, n).astype(np.int64), lost))
                 size += len(held[-1][0])
                 if size > BUFFERED:
                     merged()
@@ -351,21 +385,24 @@ def _frequent(rows: DataFrame, first: int, last: int, plan: Plan, threshold: int
     return found.filter(F.col("key").isNotNull()).select("key"), int(most)
 
 
-def frequent_keys(rows: DataFrame, first: int, last: int, mass: int, threshold: int, pairs=None) -> DataFrame:
+def frequent_keys(
+    rows: DataFrame, first: int, last: int, words: int, threshold: int, pairs=None
+) -> DataFrame:
     """``_frequent`` with as many counters as it takes for none to lose the threshold."""
+    mass, width = (last - first + 1) * words, key_width(words)
     slack = 1
     while True:
-        keys, lost = _frequent(rows, first, last, Plan(mass, threshold, slack), threshold, pairs)
+        keys, lost = _frequent(rows, first, last, Plan(mass, threshold, width, slack), threshold, pairs)
         if lost < threshold:
             return keys
         slack *= 2
 
 
-def _exact_counts(rows: DataFrame, longest: int, survivors) -> DataFrame:
+def _exact_counts(rows: DataFrame, longest: int, survivors, width: int) -> DataFrame:
     """(lang, phrase, words, f): occurrences of what passes the filter, by the words."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Filter(survivors.value)
+        known = Filter(survivors.value, width)
         for languages, words in _slices(parts):
             names = np.array(languages, object)
             for n, starts, value in phrase_hashes(words, languages, longest, both=True):
@@ -456,23 +493,19 @@ def collocations(
     language = F.coalesce(F.col(language_column).cast("string"), F.lit("und"))
     rows = docs.select(language.alias("lang"), text_or_empty(text_column).alias("text"))
     totals, n_totals = materialize(_totals(rows), "words")
-    mass = int(totals.agg(F.sum("n")).first()[0] or 0)
+    words = int(totals.agg(F.sum("n")).first()[0] or 0)
     share = spark.sparkContext.broadcast
-    keys = frequent_keys(rows, 1, 2, 2 * mass, threshold)
+    keys = frequent_keys(rows, 1, 2, words, threshold)
     if longest > 2:
         pairs = share(collected_filter(keys))
-        keys = keys.unionByName(frequent_keys(rows, 3, longest, (longest - 2) * mass, threshold, pairs))
+        keys = keys.unionByName(frequent_keys(rows, 3, longest, words, threshold, pairs))
     survivors = share(collected_filter(keys))
-    exact = _exact_counts(rows, longest, survivors).filter(F.col("f") >= threshold)
+    exact = _exact_counts(rows, longest, survivors, key_width(words)).filter(F.col("f") >= threshold)
     counts, n_counts = materialize(exact, "phrase-counts")
 
     found = scored(counts, totals, n_counts, n_totals)
-    words, size = F.split("phrase", " "), F.col("words")
-    inner = F.explode(
-        F.array(
-            F.array_join(F.slice(words, F.lit(1), size - 1), " "), F.array_join(F.slice(words, F.lit(2), size - 1), " ")
-        )
-    )
+    said, size = F.split("phrase", " "), F.col("words") - 1
+    inner = F.explode(F.array(*[F.array_join(F.slice(said, F.lit(k), size), " ") for k in (1, 2)]))
     # What lies in any longer candidate as frequent lies in one that is a word longer.
     within = counts.filter("words > 2").select(F.col("lang").alias("_lang"), inner.alias("_part"), F.col("f").alias("_f"))
     same = (F.col("lang") == F.col("_lang")) & (F.col("phrase") == F.col("_part")) & (F.col("_f") >= F.col("a"))

@@ -67,7 +67,7 @@ def result(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-@pytest.mark.parametrize("limits", [{}, {"HELD": 50, "BUFFERED": 20, "SLICE_BYTES": 300, "ROW_COUNTERS": 7}])
+@pytest.mark.parametrize("limits", [{}, {"HELD": 50, "BUFFERED": 20}])
 def test_equals_brute_force(spark, monkeypatch, limits):
     for name, value in limits.items():
         monkeypatch.setattr(module, name, value)
@@ -89,6 +89,19 @@ def test_words_and_pieces():
     assert together == [True, False, True, False, False, False, False, True, False, True]
 
 
+def test_slices_hold_every_piece(monkeypatch):
+    """Also of a text that is longer than a slice."""
+    monkeypatch.setattr(module, "SLICE_BYTES", 50)
+    texts = [t or "" for _, t in corpus()] + ["one, two three. four " * 40, "word" * 100, "", ", ; " * 60]
+    batch = pa.RecordBatch.from_arrays([pa.array([str(i) for i in range(len(texts))]), pa.array(texts)], names=["lang", "text"])
+    found = {}
+    for n, (names, words) in enumerate(module._slices(iter([batch.slice(0, 7), batch.slice(7)]))):
+        for row, piece, code in zip(words.row.tolist(), words.piece.tolist(), words.codes.tolist()):
+            found.setdefault(names[row], {}).setdefault((n, piece), []).append(words.dictionary[code].as_py().decode())
+    for i, text in enumerate(texts):
+        assert list(found.get(str(i), {}).values()) == [p for p in pieces_of(text) if p]
+
+
 def test_no_summary_misses_a_frequent_key():
     """However occurrences are dealt and merged, a counter falls short by ``lost`` at most."""
     rng = np.random.default_rng(1)
@@ -111,7 +124,7 @@ def test_no_summary_misses_a_frequent_key():
 
 def test_capacity_exceeds_mass_by_threshold():
     for mass in (0, 10**3, 10**7, 10**10, 10**14):
-        plan = Plan(mass, 100)
+        plan = Plan(mass, 100, module.key_width(mass))
         assert plan.capacity << plan.bits > mass // 100
         assert plan.capacity <= module.COUNTERS * 2 + 128
 
@@ -121,8 +134,8 @@ def test_too_few_counters_are_noticed(spark, monkeypatch):
     tried = []
 
     class Small(Plan):
-        def __init__(self, mass, threshold, slack=1):
-            super().__init__(mass, threshold, slack)
+        def __init__(self, mass, threshold, width, slack=1):
+            super().__init__(mass, threshold, width, slack)
             self.bits, self.capacity = 6, slack
             tried.append(slack)
 
@@ -132,16 +145,38 @@ def test_too_few_counters_are_noticed(spark, monkeypatch):
     assert max(tried) > 1
 
 
-def test_filter_knows_its_keys(spark):
-    keys = np.random.default_rng(2).integers(-(2**63), 2**63 - 1, 3000)
-    keys[:4] = [0, -1, 2**63 - 1, -(2**63)]
-    df = spark.createDataFrame([(int(k),) for k in keys], "key long")
-    known = Filter(collected_filter(df))
-    assert known(keys.view(np.uint64)).all()
-    others = np.random.default_rng(3).integers(-(2**63), 2**63 - 1, 20_000).view(np.uint64)
+@pytest.mark.parametrize("width", [32, 45, 62])
+def test_filter_knows_its_keys(spark, width):
+    values = np.random.default_rng(2).integers(0, 2**64 - 1, 3000, np.uint64)
+    values[:3] = [0, 1, 2**64 - 1]
+    keys = module.spread(module.shortened(values, width))
+    assert len(np.unique(module.spread(np.arange(10_000, dtype=np.uint64)))) == 10_000
+    df = spark.createDataFrame([(int(k),) for k in keys.view(np.int64)], "key long")
+    known = Filter(collected_filter(df), width)
+    assert known(values).all()
+    others = np.random.default_rng(3).integers(0, 2**64 - 1, 20_000, np.uint64)
     assert known(others).mean() < 0.01
 
 
+def test_rows_of_a_summary_hold_it(spark):
+    rng = np.random.default_rng(4)
+    for top in (200, 2**20, 2**62):
+        keys = np.unique(rng.integers(0, top, 5000).astype(np.uint64))
+        summary = Summary(10**6)
+        summary.add(keys, rng.integers(1, top, len(keys)), 7)
+        got = pa.Table.from_batches(list(module._summary_rows(iter([(3, summary)]))))
+        assert got["part"].to_pylist() == [3] * len(got) and sum(got["lost"].to_pylist()) == 7
+        rows = list(zip(got["n"].to_pylist(), got["first"].to_pylist(), got["keys"], got["counts"]))
+        back = [np.cumsum(module._unpacked(k, n)) + np.uint64(first) for n, first, k, _ in rows]
+        assert np.array_equal(np.concatenate(back), summary.keys)
+        counts = np.concatenate([module._unpacked(c, n) for n, _, _, c in rows])
+        assert np.array_equal(counts.astype(np.int64), summary.counts)
+    empty = Summary(2)
+    empty.add(np.arange(5, dtype=np.uint64), np.ones(5, np.int64))
+    (row,) = pa.Table.from_batches(list(module._summary_rows(iter([(1, empty)])))).to_pylist()
+    assert (row["n"], row["lost"], row["keys"], row["counts"]) == (0, 1, b"", b"")
+
+
 def test_hot_language_and_repeats(spark):
     rows = [("en", "again and again the same words")] * 500 + [("de", "so oder so")] * 3
     found = result(collocations(frame(spark, rows), 100))
