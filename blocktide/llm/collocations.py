@@ -35,6 +35,8 @@ PARTITIONS = 64
 #: Counters and occurrences that a task holds before it passes its summaries on.
 HELD = 3_000_000
 BUFFERED = 2_000_000
+#: Distinct phrases that a task counts before it passes them on.
+HELD_PHRASES = 500_000
 #: Counters in a row of a summary, so that batches of rows stay small.
 ROW_COUNTERS = 1024
 #: Bytes of text that are cut into words at a time; a longer text is parted between pieces.
@@ -401,33 +403,53 @@ def frequent_keys(
 def _exact_counts(rows: DataFrame, longest: int, survivors, width: int) -> DataFrame:
     """(lang, phrase, words, f): occurrences of what passes the filter, by the words."""
 
+    def counted(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each key stands first, in order of the keys, and the sum of its counts."""
+        order = np.lexsort((keys[:, 1], keys[:, 0]))
+        ordered = keys[order]
+        first = np.flatnonzero(np.concatenate(([True], (ordered[1:] != ordered[:-1]).any(axis=1))))
+        return order[first], np.add.reduceat(counts[order], first)
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Filter(survivors.value, width)
+        keys: list[np.ndarray] = []
+        batches: list[pa.RecordBatch] = []
+        waiting = 0
+
+        def together() -> None:
+            nonlocal keys, batches, waiting
+            table = pa.Table.from_batches(batches).combine_chunks()
+            said = np.concatenate(keys)
+            at, counts = counted(said, table["f"].to_numpy())
+            batches = table.take(pa.array(at)).set_column(3, "f", pa.array(counts)).combine_chunks().to_batches()
+            keys, waiting = [said[at]], 0
+
         for languages, words in _slices(parts):
             names = np.array(languages, object)
             for n, starts, value in phrase_hashes(words, languages, longest, both=True):
                 starts = starts[known(value[starts, 0])]
                 if not len(starts):
                     continue
-                some = value[starts]
-                order = np.lexsort((some[:, 1], some[:, 0]))
-                ordered = some[order]
-                first = np.flatnonzero(np.concatenate(([True], (ordered[1:] != ordered[:-1]).any(axis=1))))
-                counts = np.diff(np.concatenate((first, [len(order)])))
-                at = starts[order[first]]
+                some, counts = counted(value[starts], np.ones(len(starts), np.int64))
+                at = starts[some]
                 said = words.dictionary.take(pa.array(words.codes[at]))
                 for k in range(1, n):
                     following = words.dictionary.take(pa.array(words.codes[at + k]))
                     said = pc.binary_join_element_wise(said, following, pa.scalar(b" "))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(names[words.row[at]], pa.string()),
-                        said.cast(pa.string()),
-                        pa.array(np.full(len(at), n, np.int32)),
-                        pa.array(counts.astype(np.int64)),
-                    ],
-                    names=["lang", "phrase", "words", "f"],
-                )
+                columns = [names[words.row[at]], said.cast(pa.string()), np.full(len(at), n, np.int32), counts]
+                types = (pa.string(), pa.string(), pa.int32(), pa.int64())
+                arrays = [pa.array(c, t) for c, t in zip(columns, types)]
+                batches.append(pa.RecordBatch.from_arrays(arrays, names=["lang", "phrase", "words", "f"]))
+                keys.append(value[at])
+                waiting += len(at)
+            if waiting >= HELD_PHRASES:
+                together()
+                if sum(len(k) for k in keys) >= HELD_PHRASES:
+                    yield from batches
+                    keys, batches = [], []
+        if batches:
+            together()
+            yield from batches
 
     found = rows.mapInArrow(run, "lang string, phrase string, words int, f long")
     return found.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
