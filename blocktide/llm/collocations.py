@@ -34,13 +34,13 @@ COUNTERS = 1 << 20
 PARTITIONS = 64
 #: Counters and occurrences that a task holds before it passes its summaries on.
 HELD = 3_000_000
-BUFFERED = 2_000_000
+BUFFERED = 1_000_000
 #: Distinct phrases that a task counts before it passes them on.
-HELD_PHRASES = 500_000
+HELD_PHRASES = 250_000
 #: Counters in a row of a summary, so that batches of rows stay small.
 ROW_COUNTERS = 1024
 #: Bytes of text that are cut into words at a time; a longer text is parted between pieces.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 #: Bits of a filter, a power of two, and how many each survivor sets.
 FILTER_BITS = 1 << 27
 FILTER_HASHES = 4
@@ -248,6 +248,7 @@ def _slices(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], Words]
                 for some in _parted(np.frombuffer(texts[at].as_buffer(), np.uint8)):
                     yield names, Words(pa.array([some.tobytes()], pa.binary()))
             at = to
+        pa.default_memory_pool().release_unused()
 
 
 def _totals(rows: DataFrame) -> DataFrame:
