@@ -175,8 +175,8 @@ def close_points(points: DataFrame, size_us: int, small: bool) -> DataFrame:
     return running_min_from_end(closed, "min_close", size_us, small).drop("reach")
 
 
-def verdicts(points: DataFrame) -> DataFrame:
-    """``(chain, we, min_close, closed, n)``; ``min_close`` only for contested windows.
+def verdicts(points: DataFrame, *extra: str) -> DataFrame:
+    """``(chain, we, min_close, closed, n, *extra)``; ``min_close`` only for contested windows.
 
     A window is contested when its last arrival is past a close, that is when
     it has at least one late event.
@@ -187,6 +187,7 @@ def verdicts(points: DataFrame) -> DataFrame:
         F.when(F.col("min_close") < F.col("last"), F.col("min_close")).alias("min_close"),
         F.col("close").isNotNull().alias("closed"),
         "n",
+        *extra,
     )
 
 

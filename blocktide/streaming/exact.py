@@ -3,18 +3,21 @@
 Each batch runs the set-based close rule of ``operators.lateness`` over its
 own events plus a carried state:
 
-* ``chains``: watermark and last closed end per chain,
-* ``windows``: windows that are still open,
-* ``partials``: sums per window and sender of accepted events, for the windows
-  that were open before the batch and those it touched,
-* ``late``: late and accepted events per chain, of each batch on its own.
-
-State lives in the shared folder under one sub-folder per batch. Batch N reads
-what earlier batches wrote and replaces only its own folders, so a retried
-batch gives the same result, and losing executors costs nothing but a task
-rerun. The events of a batch are read twice (ledger, partials); all other work
-is on one row per window, or on the partials of open windows, which every batch
-carries forward once: state and files follow the open windows, not the batches.
+* ``chains``: watermark and last closed end per chain, written anew by each batch,
+* ``windows``: windows that were opened,
+* ``partials``: sums per window and sender of accepted events,
+* ``late``: late and accepted events per chain.
+
+The last three are logs (``LogState``): a batch appends what it adds, and reads
+them by what is still open, so what it writes follows its own events and not the
+windows that are open. Rows of closed windows leave when a log is merged, which costs each
+row a bounded number of times; the state follows the open windows, not the batches.
+
+State lives in the shared folder. Batch N reads what earlier batches wrote and replaces only
+what it wrote itself, so a retried batch gives the same result, and losing executors
+costs nothing but a task rerun. The events of a batch are read three times (ledger,
+late counts, partials); all other work is on one row per window, or on the partials
+of the windows that close.
 """
 
 from __future__ import annotations
@@ -58,6 +61,7 @@ from blocktide.operators.window_metrics import (
 from blocktide.session import delete_path, path_exists
 from blocktide.sinks.aggregates_table import upsert_aggregates
 from blocktide.sinks.records import write_batch
+from blocktide.streaming.logstate import LogState
 
 CHAINS = T.StructType(
     [
@@ -84,6 +88,22 @@ PARTIALS = T.StructType(
         T.StructField("wei_beyond", T.DoubleType()),
     ]
 )
+LATE = T.StructType(
+    [
+        T.StructField("chain", T.StringType()),
+        T.StructField("late", T.LongType()),
+        T.StructField("accepted", T.LongType()),
+    ]
+)
+KEYS = ("chain", "we", "from_address")
+
+
+def _summed(partials: DataFrame) -> DataFrame:
+    return partials.groupBy(*KEYS).agg(*merge_sums())
+
+
+def _counted(late: DataFrame) -> DataFrame:
+    return late.groupBy("chain").agg(F.sum("late").alias("late"), F.sum("accepted").alias("accepted"))
 
 
 class ExactWindows:
@@ -112,6 +132,10 @@ class ExactWindows:
         self.lateness_us = lateness_micros(lateness)
         self.arrival = tuple(arrival)
         self.small_rows = small_rows
+        # Sorted by window, so that row groups of other windows are skipped.
+        self.partials = LogState(f"{state_path}/partials", PARTIALS, merge=_summed, order=("we",))
+        self.windows = LogState(f"{state_path}/windows", WINDOWS)
+        self.late = LogState(f"{state_path}/late", LATE, merge=_counted)
         self._session: SparkSession | None = None
 
     def start(self, events: DataFrame, checkpoint: str, **trigger) -> DataStreamWriter:
@@ -136,6 +160,14 @@ class ExactWindows:
             return spark.createDataFrame([], schema)
         return spark.read.schema(schema).parquet(self._folder(kind, batch_id))
 
+    def _open(self, spark: SparkSession, batch_id: int):
+        """Keeps the rows (chain, we, ...) of windows that are open after ``batch_id``:
+        those behind the last closed end, since all windows up to it have closed."""
+        closed = self._read(spark, "chains", batch_id, CHAINS).filter("closed_up_to IS NOT NULL")
+        passed = closed.select(F.col("chain").alias("_chain"), "closed_up_to")
+        gone = (F.col("chain") == F.col("_chain")) & (F.col("we") <= F.col("closed_up_to"))
+        return lambda rows: rows.join(F.broadcast(passed), gone, "left_anti")
+
     # -- one micro-batch -----------------------------------------------------
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
@@ -146,11 +178,15 @@ class ExactWindows:
         finally:
             events.unpersist()
         self._emit(spark, batch_id)
+        still_open = self._open(spark, batch_id)
+        self.partials.compact(spark, batch_id, still_open)
+        self.windows.compact(spark, batch_id, still_open)
+        self.late.compact(spark, batch_id)
         self._forget(spark, batch_id)
 
     def _advance(self, events: DataFrame, spark: SparkSession, batch_id: int) -> None:
         chains = self._read(spark, "chains", batch_id - 1, CHAINS)
-        windows = self._read(spark, "windows", batch_id - 1, WINDOWS)
+        windows = self._open(spark, batch_id - 1)(self.windows.read(spark, batch_id - 1))
 
         # Everything carried over (phase 0) precedes the events of this batch.
         types = dict(events.select(*self.arrival).dtypes)
@@ -171,10 +207,12 @@ class ExactWindows:
             {
                 "min_close": F.when(gone, before).otherwise(F.col("min_close")),
                 "close": F.when(~gone, F.col("close")),
+                "fresh": F.col("first.phase") == 1,
             }
         )
-        windows_now = verdicts(points)
-        self._write(windows_now, "verdicts", batch_id)
+        windows_now = verdicts(points, "fresh")
+        # Of windows that stay open without an event of this batch there is nothing to say.
+        self._write(windows_now.filter("closed OR n > 0"), "verdicts", batch_id)
         judged = self._read(spark, "verdicts", batch_id, windows_now.schema)
 
         contested = self._read(events.sparkSession, "verdicts", batch_id, windows_now.schema)
@@ -185,19 +223,12 @@ class ExactWindows:
         else:
             flagged = flag_late(events, contested, seq)
         accepted = flagged.filter(~F.col("is_late"))
-        self._write(late_counts(flagged), "late", batch_id)
-        keys = ("chain", "we", "from_address")
-        fresh = _as(measures(accepted).groupBy(*keys).agg(*event_sums()), PARTIALS)
-        carried = self._read(events.sparkSession, "partials", batch_id - 1, PARTIALS).join(
-            self._read(events.sparkSession, "windows", batch_id - 1, WINDOWS), ["chain", "we"], "left_semi"
-        )
-        merged = fresh.unionByName(carried).groupBy(*keys).agg(*merge_sums())
-        self._write(_as(merged, PARTIALS), "partials", batch_id)
+        self.late.append(late_counts(flagged), batch_id)
+        self.partials.append(measures(accepted).groupBy(*KEYS).agg(*event_sums()), batch_id)
 
         # A window held back by its cut has the carried position as its close.
         cut_off = F.coalesce(F.col("min_close.phase") == 0, F.lit(False))
-        still_open = judged.filter(~F.col("closed") & ~cut_off)
-        self._write(_as(still_open, WINDOWS), "windows", batch_id)
+        self.windows.append(judged.filter(~F.col("closed") & ~cut_off & F.col("fresh")), batch_id)
         none = F.lit(None).cast("bigint")
         seen = ledger.select("chain", F.col("max_t").alias("watermark"), none.alias("closed_up_to"))
         closed = judged.filter("closed").select(
@@ -237,9 +268,10 @@ class ExactWindows:
     def _rows(self, spark: SparkSession, windows: DataFrame, batch_id: int) -> DataFrame:
         """Aggregate rows of the given windows from the partials of ``batch_id``."""
         keys = windows.select("chain", "we")
-        partials = self._read(spark, "partials", batch_id, PARTIALS)
+        first, last = keys.agg(F.min("we"), F.max("we")).first()
+        partials = self.partials.read(spark, batch_id).filter(F.col("we").between(first, last))
         wide = (
-            partials.join(keys, ["chain", "we"], "left_semi")
+            _summed(partials.join(keys, ["chain", "we"], "left_semi"))
             .groupBy("chain", "we")
             .agg(*merge_sums(), F.count("from_address").alias("n_addresses"))
         )
@@ -260,15 +292,14 @@ class ExactWindows:
         gone = batch_id - 2
         if gone < 0:
             return
-        for kind in ("ledger", "verdicts", "emitted", "chains", "windows", "partials"):
+        for kind in ("ledger", "verdicts", "emitted", "chains"):
             folder = self._folder(kind, gone)
             if path_exists(spark, folder):
                 delete_path(spark, folder)
 
     def late_counts(self, spark: SparkSession) -> DataFrame:
         """Late and accepted events per chain so far, each batch counted once."""
-        counts = spark.read.parquet(f"{self.state_path}/late")
-        return counts.groupBy("chain").agg(F.sum("late").alias("late"), F.sum("accepted").alias("accepted"))
+        return _counted(self.late.read(spark, self.late.latest(spark)))
 
     # -- end of stream -------------------------------------------------------
 
@@ -278,7 +309,8 @@ class ExactWindows:
         For a stream that has ended. The state is left as it is; storing the
         rows and then resuming the stream would replace them window by window.
         """
-        return self._rows(spark, self._read(spark, "windows", last_batch, WINDOWS), last_batch)
+        still_open = self._open(spark, last_batch)(self.windows.read(spark, last_batch))
+        return self._rows(spark, still_open, last_batch)
 
 
 def _as(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -67,6 +67,11 @@ class LogState:
         """The state after a batch: empty before the first one, an error if one is missing later."""
         return self._load(spark, self._manifest(spark, batch_id))
 
+    def latest(self, spark: SparkSession) -> int:
+        """The last batch that has a state, -1 without any."""
+        names = child_names(spark, self.path, "manifest-*.json")
+        return max((int(name[len("manifest-") : -len(".json")]) for name in names), default=-1)
+
     def rows(self, spark: SparkSession, batch_id: int) -> int:
         return sum(g["rows"] for g in self._manifest(spark, batch_id))
 

@@ -96,13 +96,19 @@ def test_exact_stream_takes_empty_batches(spark, tmp_path):
     assert totals(job.flush(spark, 2)) == {("eth", 60): 1}
 
 
+def bytes_of(path):
+    return {p: p.stat().st_size for p in path.rglob("part-*") if p.is_file()}
+
+
 def test_exact_stream_drops_old_state(spark, tmp_path):
     events = feed(spark, 6, chains=3)
     job = ExactWindows(str(tmp_path / "state"), str(tmp_path / "table"), size=60, lateness=0)
     for n, part in enumerate(split(events, [5, 10, 15, 20, 25])):
         job.process(part, n)
-    assert sorted(p.name for p in (tmp_path / "state" / "windows").iterdir()) == ["batch=4", "batch=5"]
-    assert sorted(p.name for p in (tmp_path / "state" / "partials").iterdir()) == ["batch=4", "batch=5"]
+    assert sorted(p.name for p in (tmp_path / "state" / "chains").iterdir()) == ["batch=4", "batch=5"]
+    for log in ("windows", "partials", "late"):
+        manifests = sorted(p.name for p in (tmp_path / "state" / log).glob("manifest-*"))
+        assert manifests == ["manifest-4.json", "manifest-5.json"]
 
 
 def test_a_silent_chain_does_not_grow_the_state(spark, tmp_path):
@@ -111,13 +117,32 @@ def test_a_silent_chain_does_not_grow_the_state(spark, tmp_path):
     job = ExactWindows(str(tmp_path / "state"), str(tmp_path / "table"), size=60, lateness=0)
     for n, part in enumerate(split(events, [50 * k for k in range(1, 10)])):
         job.process(part, n)
-        state = spark.read.parquet(str(tmp_path / "state" / "partials" / f"batch={n}"))
+        state = job.partials.read(spark, n)
         assert state.filter("chain = 'silent'").count() == 1
-        assert state.count() <= 4
-        assert len(list((tmp_path / "state" / "partials").iterdir())) <= 2
+        assert state.count() <= 12
+        assert len([p for p in (tmp_path / "state" / "partials").iterdir() if p.is_dir()]) <= 12
     assert totals(job.flush(spark, 9))[("silent", 0)] == 1
 
 
+def test_a_batch_writes_what_it_adds(spark, tmp_path):
+    """Not what is open: of a hundred open windows each batch touches one."""
+    chains, batches = 100, 9
+    open_ones = [(f"c{c}", c, 60 * c) for c in range(chains)]
+    later = [(f"c{k}", 1000 + 10 * k, 60 * k + 1) for k in range(batches)]
+    events = frame(spark, open_ones + later)
+    job = ExactWindows(str(tmp_path / "state"), str(tmp_path / "table"), size=60, lateness="1 day")
+    added, before = [], {}
+    for n, part in enumerate(split(events, [999, *[1005 + 10 * k for k in range(batches - 1)]])):
+        job.process(part, n)
+        now = bytes_of(tmp_path / "state")
+        added.append(sum(spark.read.parquet(str(p)).count() for p in now if p not in before) - chains)  # a row a chain
+        before = now
+    # Each log is merged as a whole once, when as much was added as had been left.
+    assert sum(a <= 6 for a in added[1:]) >= batches - 3
+    assert sum(added[1:]) <= 3 * chains + 6 * batches
+    assert sum(totals(job.flush(spark, batches)).values()) == chains + batches
+
+
 def test_late_events_are_counted_once(spark, tmp_path):
     events = feed(spark, 9, chains=6)
     job = ExactWindows(str(tmp_path / "state"), str(tmp_path / "table"), size=60, lateness=10)
