@@ -9,6 +9,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+FOLDED = "chain_folded"
+
+
+def write_filterable(events: DataFrame, path: str) -> None:
+    """Append normalized events to a table laid out for ``filter_events``.
+
+    A folder for each chain, without case, so that others are never listed. Within
+    one, rows are dealt by ranges of the sender and sorted by it, so row groups are skipped by
+    their range, and both addresses have Bloom filters, which tell of nearly all others
+    that they cannot hold an address.
+    """
+    folded = events.withColumn(FOLDED, F.lower("chain"))
+    rows = folded.repartitionByRange(FOLDED, "from_address", F.xxhash64("id"))
+    writer = rows.sortWithinPartitions(FOLDED, "from_address").write.mode("append").partitionBy(FOLDED)
+    for column in ("from_address", "to_address"):
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    writer.parquet(path)
+
+
 def _same_text(column: str, text: str) -> Column:
     return F.lower(F.col(column)) == F.lower(F.lit(text))
 
@@ -24,9 +43,12 @@ def filter_events(
 
     Chain and address compare without case; the address may be either end.
     ``normalized`` says that stored addresses are lower-case, as ``enrich`` leaves
-    them: then the bare columns are compared, which reaches the Parquet scan.
+    them: then the bare columns are compared, which reaches the Parquet scan, and
+    so is a column ``chain_folded``, if there is one (``write_filterable``).
     """
-    if chain:
+    if chain and normalized and FOLDED in events.columns:
+        events = events.filter(F.col(FOLDED) == chain.lower())
+    elif chain:
         events = events.filter(_same_text("chain", chain))
     types = list(types)
     if types:

@@ -314,11 +314,20 @@ def oracle_sql() -> dict[str, str]:
             select="SELECT type, coalesce(label, '') AS contract_label,"
             " coalesce(kind, '') AS tx_kind, count(*) AS events FROM norm GROUP BY ALL"
         ),
+        "contract_activity_shuffled": _with(
+            select="SELECT type, coalesce(label, '') AS contract_label,"
+            " coalesce(kind, '') AS tx_kind, count(*) AS events FROM norm GROUP BY ALL"
+        ),
         "filtered_events": _with(
             select="SELECT id, chain, type, from_address, to_address FROM norm"
             f" WHERE lower(chain) = lower('{f['chain']}') AND type IN ({types})"
             f" AND lower('{f['address']}') IN (from_address, to_address)"
         ),
+        "filtered_stored_events": _with(
+            select="SELECT id, chain, type, from_address, to_address FROM norm"
+            f" WHERE lower(chain) = lower('{f['chain']}') AND type IN ({types})"
+            f" AND lower('{f['address']}') IN (from_address, to_address)"
+        ),
         "partition_key_counts": _with(
             select="SELECT CASE WHEN from_address <> '' THEN from_address"
             " WHEN block_hash <> '' THEN block_hash ELSE chain END AS key,"

@@ -24,7 +24,7 @@ from blocktide.functions.labels import labels_from_json, labels_json, labels_key
 from blocktide.operators import lag, latency, stats
 from blocktide.operators.dedup import dropped_per_interval, first_seen
 from blocktide.operators.enrich import enrich
-from blocktide.operators.filters import filter_events, partition_key
+from blocktide.operators.filters import filter_events, partition_key, write_filterable
 from blocktide.operators.lateness import Replay
 from blocktide.operators.validate import valid_events, with_reject_reason
 from blocktide.operators.window_metrics import events_by_type, window_metrics
@@ -135,10 +135,20 @@ def normalized_events(spark, sf_dir):
 @query
 def contract_activity(spark, sf_dir):
     """Label and kind with the contract table given as a joined dimension."""
+    return _contract_activity(spark, sf_dir)
+
+
+@query
+def contract_activity_shuffled(spark, sf_dir):
+    """The same by the path of contract tables too large to broadcast."""
+    return _contract_activity(spark, sf_dir, broadcast_rows=0)
+
+
+def _contract_activity(spark: SparkSession, sf_dir: str, **how) -> DataFrame:
     contracts = spark.createDataFrame(
         list(S.KNOWN_CONTRACTS.items()), "address string, label string"
     )
-    rows = enrich(valid_events(load_feed(spark, sf_dir)), contracts)
+    rows = enrich(valid_events(load_feed(spark, sf_dir)), contracts, **how)
     keys = {k: F.try_element_at("attributes", F.lit(k)) for k in ("contract_label", "tx_kind")}
     return (
         rows.select("type", *[F.coalesce(c, F.lit("")).alias(k) for k, c in keys.items()])
@@ -154,6 +164,16 @@ def filtered_events(spark, sf_dir):
     )
 
 
+@query
+def filtered_stored_events(spark, sf_dir):
+    """The same from a stored table of normalized events, laid out for this filter."""
+    table = new_work_dir(spark, "events")
+    write_filterable(normalized(spark, sf_dir).drop("event_id"), table)
+    return filter_events(spark.read.parquet(table), **FILTER, normalized=True).select(
+        "id", "chain", "type", "from_address", "to_address"
+    )
+
+
 @query
 def partition_key_counts(spark, sf_dir):
     return (
