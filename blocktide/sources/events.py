@@ -12,6 +12,11 @@ from pyspark.sql import types as T
 from blocktide.operators.filters import filter_events
 from blocktide.schemas import CHAIN_EVENT
 
+#: Partition column of landed events.
+ARRIVAL_DAY = "arrival_day"
+#: Files that a landing writes for one day, at most.
+FILES_PER_DAY = 8
+
 # Loaders by name, for callers that pick a source from configuration.
 _LOADERS: dict[str, Callable[..., DataFrame]] = {}
 
@@ -44,6 +49,23 @@ def stream_events(
     return reader.load(path)
 
 
+def land_by_day(events: DataFrame, path: str) -> None:
+    """Append events to a landing folder with a sub-folder for each day of arrival.
+
+    Events without an arrival stand in one of their own, which no tail reads.
+    """
+    dated = events.withColumn(ARRIVAL_DAY, F.to_date("observed_at"))
+    # Each task writes the days it holds; a busy day is spread over several files.
+    spread = dated.repartition(ARRIVAL_DAY, F.pmod(F.xxhash64("id"), F.lit(FILES_PER_DAY)))
+    spread.write.mode("append").partitionBy(ARRIVAL_DAY).parquet(path)
+
+
+def stream_by_day(spark: SparkSession, path: str, schema: T.StructType = CHAIN_EVENT) -> DataFrame:
+    """The folder of ``land_by_day`` as a stream, with the day as its last column."""
+    dated = T.StructType([*schema.fields, T.StructField(ARRIVAL_DAY, T.DateType())])
+    return stream_events(spark, path, schema=dated)
+
+
 def decode_events(records: DataFrame, column: str = "value", mode: str = "PERMISSIVE") -> DataFrame:
     """Events from JSON text, one object per record.
 
@@ -85,9 +107,12 @@ def tail_events(
 ) -> DataFrame:
     """Live tail: events that arrive from ``start`` on and match the filter.
 
-    Start one query per tail; each gets every matching event.
+    Start one query per tail; each gets every matching event. Of a folder with
+    a sub-folder for each day of arrival (``land_by_day``) no file of an earlier day is opened.
     """
     live = stream.filter(F.col("observed_at") >= F.lit(start))
+    if ARRIVAL_DAY in stream.columns:
+        live = live.filter(F.col(ARRIVAL_DAY) >= F.to_date(F.lit(start)))
     return filter_events(live, chain, types, address, normalized)
 
 

@@ -1,5 +1,6 @@
 """Streams: exact windows over any batch split, restarts, native windows, normalize, tail."""
 
+import datetime as dt
 import random
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from blocktide import schemas as S
 from blocktide.operators.lateness import Replay
 from blocktide.sinks.aggregates_table import read_table
-from blocktide.sources.events import stream_events, tail_events
+from blocktide.sources.events import land_by_day, stream_by_day, stream_events, tail_events
 from blocktide.streaming.exact import ExactWindows
 from blocktide.streaming.native import native_metrics
 from blocktide.operators.stats import late_counts
@@ -284,3 +285,31 @@ def test_two_tails_each_see_every_new_match(spark, tmp_path):
         )
         assert query.awaitTermination(120)
         assert [r.id for r in spark.read.parquet(str(tmp_path / f"out{n}")).collect()] == ["e3"]
+
+
+def test_a_tail_opens_no_file_of_earlier_days(spark, tmp_path):
+    """Old days hold a broken file: only a reader that opens it can fail on it."""
+    raw = raw_events(spark).withColumn("day", F.explode(F.array(*[F.lit(k) for k in range(5)])))
+    events = raw.withColumn("observed_at", F.timestamp_seconds(F.unix_seconds("observed_at") + F.col("day") * 86_400)).drop("day")
+    path = str(tmp_path / "in")
+    land_by_day(events, path)
+    for old in ("1970-01-01", "1970-01-02"):
+        for file in (tmp_path / "in" / f"arrival_day={old}").glob("*.parquet"):
+            file.write_bytes(b"not a table")
+        for file in (tmp_path / "in" / f"arrival_day={old}").glob(".*.crc"):
+            file.unlink()
+    start = dt.datetime(1970, 1, 3, 0, 0, 12, tzinfo=dt.timezone.utc)
+
+    def run(n):
+        tail = tail_events(stream_by_day(spark, path, events.schema), start, chain="ETH")
+        query = append_stream(tail, str(tmp_path / f"out{n}"), str(tmp_path / f"cp{n}")).trigger(availableNow=True).start()
+        assert query.awaitTermination(120)
+        return query.lastProgress.numInputRows
+
+    for n in range(2):
+        assert run(n) == 15  # the rows of three days
+    land_by_day(events.filter(F.col("observed_at") > F.lit(start)), path)
+    for n in range(2):
+        run(n)
+        seen = spark.read.parquet(str(tmp_path / f"out{n}")).count()
+        assert seen == 2 * events.filter((F.col("observed_at") >= F.lit(start)) & (F.col("chain") == "eth")).count() - 1
