@@ -25,12 +25,19 @@ UNDETERMINED = "und"
 #: Characters are mapped to this many classes, so a trigram is an index below CLASSES**3.
 CLASSES = 64
 GRAMS = CLASSES + CLASSES**2 + CLASSES**3
+CODE_POINTS = 0x110000
+#: Bounds of what is learned from, whatever the corpus: rows in all, and characters of a row.
+#: With many labels each has fewer rows. Texts are predicted as a whole.
+SAMPLE_ROWS = 16_384
+SAMPLE_CHARS = 20_000
+#: Texts whose n-grams are laid out at a time.
+BLOCK_TEXTS = 256
 
 
 @dataclass
 class LanguageModel:
     languages: list[str]
-    classes: np.ndarray  # code point (below 65536) to class
+    classes: np.ndarray  # code point to class
     vocabulary: np.ndarray  # n-gram indices that some landmark has
     landmarks: np.ndarray  # vocabulary x landmarks, columns scaled by 1/sqrt(size)
     coefficients: np.ndarray  # landmarks x languages
@@ -48,9 +55,9 @@ def char_classes(texts: list[str]) -> np.ndarray:
             counts[ch] = counts.get(ch, 0) + 1
     letters = sorted((c for c in counts if c.isalpha()), key=lambda c: (-counts[c], c))
     shared = 8
-    own = {ord(c): 1 + i for i, c in enumerate(letters[: CLASSES - 1 - shared]) if ord(c) < 65536}
-    table = np.zeros(65536, np.uint32)
-    for code in range(65536):
+    own = {ord(c): 1 + i for i, c in enumerate(letters[: CLASSES - 1 - shared])}
+    table = np.zeros(CODE_POINTS, np.uint8)
+    for code in range(CODE_POINTS):
         ch = chr(code)
         if code in own:
             table[code] = own[code]
@@ -64,7 +71,7 @@ def char_classes(texts: list[str]) -> np.ndarray:
 def gram_indices(text: str, classes: np.ndarray) -> np.ndarray:
     """Indices of the n-grams of ``text``, with repeats; runs of other characters are one space."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    c = classes[np.minimum(codes, 65535)]
+    c = classes[codes].astype(np.uint32)
     if len(c) > 1:
         c = c[np.concatenate(([True], (c[1:] != 0) | (c[:-1] != 0)))]
     two = c[:-1] * CLASSES + c[1:]
@@ -99,14 +106,17 @@ def fit_language_model(
     turn = np.zeros(len(texts), int)
     for k in range(len(names)):
         turn[labels == k] = np.arange(np.count_nonzero(labels == k))
-    chosen = np.lexsort((labels, turn))[:landmarks]
+    chosen = np.lexsort((labels, turn))[: max(landmarks, len(names))]
     used = np.zeros(GRAMS, np.bool_)
     for i in chosen:
         used[gram_indices(texts[i], classes)] = True
     vocabulary = np.flatnonzero(used)
-    rows, sizes = presence(texts, classes, vocabulary)
-    marks = (rows[chosen] / np.sqrt(sizes[chosen])[:, None]).T.copy()
-    kernel = (rows @ marks / np.sqrt(sizes)[:, None]).astype(np.float64)
+    rows, sizes = presence([texts[i] for i in chosen], classes, vocabulary)
+    marks = (rows / np.sqrt(sizes)[:, None]).T.copy()
+    kernel = np.empty((len(texts), len(chosen)))
+    for at in range(0, len(texts), BLOCK_TEXTS):
+        rows, sizes = presence(texts[at : at + BLOCK_TEXTS], classes, vocabulary)
+        kernel[at : at + BLOCK_TEXTS] = rows @ marks / np.sqrt(sizes)[:, None]
     inner = kernel[chosen]
     inner = (inner + inner.T) / 2
     values, vectors = np.linalg.eigh(inner)
@@ -149,12 +159,15 @@ def labelled_sample(
         train & F.col(lang).isNotNull() & F.col(text_column).rlike(r"\p{L}")
     ).select(
         F.xxhash64(id_column, text_column).alias("h"),
-        F.col(text_column).alias("t"),
+        F.left(F.col(text_column), F.lit(SAMPLE_CHARS)).alias("t"),
         F.col(lang).alias("l"),
     )
     totals = {r.l: r["count"] for r in rows.groupBy("l").count().collect()}
     if not totals:
         return []
+    if len(totals) > SAMPLE_ROWS:
+        raise ValueError(f"{len(totals)} labels; at most {SAMPLE_ROWS} can be learned")
+    per_language = min(per_language, SAMPLE_ROWS // len(totals))
     shares = F.create_map(
         *[F.lit(x) for name, n in totals.items() for x in (name, share_for(per_language, n))]
     )
@@ -182,8 +195,8 @@ def identify_language(
 ) -> DataFrame:
     """Columns ``keep`` of every row with ``lang_pred`` and ``score``.
 
-    Fitted on at most ``per_language`` rows of each label among those for which
-    ``train`` holds; rows with a null text, null label or no letter teach
+    Fitted on at most ``per_language`` rows of each label (SAMPLE_ROWS in all, the
+    first SAMPLE_CHARS characters of each) among those for which ``train`` holds; rows with a null text, null label or no letter teach
     nothing. Prediction sees the whole text only. A text that is null or has no
     letter is ``und`` with score 0, and so is every text if nothing could be
     learned; with ``letters_to`` a boolean column of that name tells which texts
