@@ -133,3 +133,24 @@ def test_sample_takes_each_text_once(spark, monkeypatch):
     assert max(map(len, collected)) == len(sample)
     some = sample_texts(docs, 40, 20_000, "text")
     assert len(some) == len(set(some)) == 40
+
+
+@pytest.mark.parametrize(
+    "said",
+    [
+        "x" * 90 + " (at) mail (dot) example (dot) com",
+        "jane (at) " + "m" * 80 + " (dot) com",
+        "jane (at) " + " (dot) ".join("abcdefghijk") + " (dot) org",
+    ],
+)
+def test_disguised_addresses_of_any_length_are_proposed_whole(said):
+    text = f"please write to {said} today"
+    spans = [(c[0], c[2]) for c in pii.candidates(text, []) if c[1] == 0]
+    assert (16, 16 + len(said)) in spans
+
+
+def test_long_disguises_take_linear_time():
+    start = time.time()
+    for text in ("a" * 1_000_000, "a@b " * 200_000, "x (at) y (dot) z " * 60_000, "a@" + "b." * 300_000, "a.b-c%" * 200_000 + " (at)"):
+        pii.candidates(text, [])
+    assert time.time() - start < 20
