@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,17 +70,6 @@ def child_names(spark: SparkSession, path: str, pattern: str) -> list[str]:
     return [s.getPath().getName() for s in fs.globStatus(hadoop_path) or []]
 
 
-def move_folder(spark: SparkSession, source: str, target: str) -> None:
-    """Put folder ``source`` in the place of ``target``."""
-    paths = spark._jvm.org.apache.hadoop.fs
-    old, new = paths.Path(source), paths.Path(target)
-    fs = new.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(new, True)
-    fs.mkdirs(new.getParent())
-    if not fs.rename(old, new):
-        raise OSError(f"could not move {source} to {target}")
-
-
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small file, complete or not there: written beside its place, then renamed."""
     jvm = spark._jvm
@@ -102,3 +92,23 @@ def read_text(spark: SparkSession, path: str) -> str:
         return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that must not be there yet; False if somebody else wrote it."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(target):
+        return False
+    try:
+        out = fs.create(target, False)
+    except Py4JJavaError as error:
+        if "AlreadyExists" in str(error.java_exception.getClass().getName()):
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True

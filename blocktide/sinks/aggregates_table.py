@@ -1,13 +1,16 @@
 """The stored aggregates: Parquet partitioned by window day, upserted by key.
 
-One writer at a time. Nothing is ever read and overwritten in place: the
-merged days are staged in full next to the table and then moved into place, and
-a retry of the same version moves what is still staged.
+A write puts the days it merged into a folder of its own and then publishes a
+manifest, which says for every day in which folder it stands. Manifests are
+numbered and written once, so a reader has one of them as a whole, old or new, and of
+two writers that started from the same one the second is refused. Files of the last
+KEPT manifests stay for readers that still use them.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -17,11 +20,17 @@ from pyspark.sql import types as T
 from blocktide import schemas as S
 from blocktide.functions.labels import labels_key
 from blocktide.operators.filters import filter_aggregates
-from blocktide.session import child_names, delete_path, move_folder, path_exists
+from blocktide.session import child_names, create_text, delete_path, path_exists, read_text
 
 READ_ORDER = ("window_start", "metric", "chain", "labels_key")
 #: Days that an upsert may touch and still name in a partition filter.
 MOST_DAYS = 10_000
+#: Folders of writes are named like those of a partition, so that readers find the day's column.
+VERSION = "version"
+#: Manifests whose files stay.
+KEPT = 10
+#: Names of writes that a manifest remembers, so that a retry does not repeat one.
+REMEMBERED = 100
 STORED = T.StructType([*S.AGGREGATE.fields, T.StructField("window_date", T.DateType())])
 
 
@@ -45,8 +54,50 @@ def _newest_per_key(rows: DataFrame) -> DataFrame:
     )
 
 
+class ConcurrentWrite(Exception):
+    """Another writer published a version in the meantime; nothing was changed."""
+
+
+def _manifest_path(path: str, number: int) -> str:
+    return f"{path}/_versions/{number:012d}.json"
+
+
+def _manifest(spark: SparkSession, path: str, number: int) -> dict | None:
+    """A manifest, or None while it is being written or if it is gone."""
+    name = _manifest_path(path, number)
+    if not path_exists(spark, name):
+        return None
+    try:
+        return json.loads(read_text(spark, name))
+    except json.JSONDecodeError:
+        return None
+
+
+def current_version(spark: SparkSession, path: str) -> tuple[int, dict]:
+    """Number and content (folder by day, last writes) of the newest complete manifest.
+
+    A table without any, say one laid out by another tool, is version 0: its days as they stand.
+    """
+    numbers = sorted(int(n[: -len(".json")]) for n in child_names(spark, f"{path}/_versions", "*.json"))
+    for number in reversed(numbers):
+        found = _manifest(spark, path, number)
+        if found is not None:
+            return number, found
+    days = child_names(spark, path, "window_date=*")
+    return 0, {"days": {d.split("=", 1)[1]: d for d in days}, "writes": []}
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(STORED).parquet(path)
+    """The table as it was published last; later writes do not change what is read."""
+    number, manifest = current_version(spark, path)
+    reader = spark.read.schema(STORED)
+    if not number:
+        return reader.parquet(path)
+    reader = reader.option("basePath", path)
+    folders = manifest["days"].values()
+    table = reader.parquet(*[f"{path}/{f}" for f in folders if f.startswith(VERSION)]).drop(VERSION)
+    plain = [f"{path}/{f}" for f in folders if not f.startswith(VERSION)]
+    return table.unionByName(reader.parquet(*plain)) if plain else table
 
 
 def upsert_aggregates(
@@ -58,41 +109,69 @@ def upsert_aggregates(
 ) -> None:
     """Insert ``rows`` into the table at ``path``, replacing rows of equal key.
 
-    Only the days present in ``rows`` are read and rewritten. ``version``
-    names the write for retries (a stream passes its batch id), ``run`` the
-    stream, so that a stage that another one left behind is never taken for
-    its own. ``stored`` says that ``rows`` come from files and hold each key
-    once, so they need not be staged first. No rows, no change.
+    Only the days present in ``rows`` are read and written; all of them are
+    published at once. ``version`` names the write for retries (a stream passes its
+    batch id), ``run`` the stream: a write that was published is not repeated, and
+    one that was not is done anew. ``stored`` says that ``rows`` come from files
+    and hold each key once, so they need not be staged first. No rows, no change.
 
-    The merged days are written once and moved into place, one after the other:
-    a reader may meet some days new and others old, or miss one for a moment.
+    Raises ``ConcurrentWrite`` if another writer published first.
     """
     spark = rows.sparkSession
-    name = f"{run}-{version}" if run else version
-    stage = f"{path}/_upsert/{name if version is not None else uuid.uuid4().hex}"
-    merged = f"{stage}/merged"
-    if not path_exists(spark, f"{merged}/_SUCCESS"):
-        if stored:
-            new = _in_table_layout(rows)
-        else:
-            _newest_per_key(_in_table_layout(rows)).write.mode("overwrite").parquet(f"{stage}/rows")
-            new = spark.read.schema(STORED).parquet(f"{stage}/rows")
-        result = new
-        if _has_days(spark, path):
-            old = in_days(read_table(spark, path), new)
-            result = old.join(new, list(S.AGGREGATE_KEY), "left_anti").unionByName(new)
-        # Rebalancing writes few files per day and still splits a heavy day.
-        (
-            result.hint("rebalance", "window_date")
-            .write.mode("overwrite")
-            .partitionBy("window_date")
-            .parquet(merged)
-        )
-    for day in child_names(spark, merged, "window_date=*"):
-        move_folder(spark, f"{merged}/{day}", f"{path}/{day}")
+    name = uuid.uuid4().hex if version is None else f"{run}-{version}" if run else str(version)
+    number, manifest = current_version(spark, path)
+    if name in manifest["writes"]:
+        return
+    stage, merged = f"{path}/_upsert/{name}", f"{VERSION}=v{number + 1}-{name}"
+    if stored:
+        new = _in_table_layout(rows)
+    else:
+        _newest_per_key(_in_table_layout(rows)).write.mode("overwrite").parquet(f"{stage}/rows")
+        new = spark.read.schema(STORED).parquet(f"{stage}/rows")
+    result = new
+    if manifest["days"]:
+        old = in_days(read_table(spark, path), new)
+        result = old.join(new, list(S.AGGREGATE_KEY), "left_anti").unionByName(new)
+    # Rebalancing writes few files per day and still splits a heavy day.
+    (
+        result.hint("rebalance", "window_date")
+        .write.mode("overwrite")
+        .partitionBy("window_date")
+        .parquet(f"{path}/{merged}")
+    )
+    days = {d.split("=", 1)[1]: f"{merged}/{d}" for d in child_names(spark, f"{path}/{merged}", "window_date=*")}
+    if days:
+        _publish(spark, path, number, manifest, days, name)
+        _forget(spark, path, number + 1)
+    else:
+        delete_path(spark, f"{path}/{merged}")
     delete_path(spark, stage)
 
 
+def _publish(
+    spark: SparkSession, path: str, number: int, manifest: dict, days: dict[str, str], name: str
+) -> None:
+    """Make ``days`` part of the table, as the version after ``number``."""
+    content = {
+        "days": dict(sorted({**manifest["days"], **days}.items())),
+        "writes": [*manifest["writes"], name][-REMEMBERED:],
+    }
+    if not create_text(spark, _manifest_path(path, number + 1), json.dumps(content)):
+        raise ConcurrentWrite(f"version {number + 1} of {path} is there already")
+
+
+def _forget(spark: SparkSession, path: str, number: int) -> None:
+    """Delete the files that only manifests older than the last KEPT ones list."""
+    old = _manifest(spark, path, number - KEPT)
+    if old is None:
+        return
+    later = [_manifest(spark, path, n) for n in range(number - KEPT + 1, number + 1)]
+    needed = {folder for m in later if m for folder in m["days"].values()}
+    for folder in set(old["days"].values()) - needed:
+        delete_path(spark, f"{path}/{folder}")
+    delete_path(spark, _manifest_path(path, number - KEPT))
+
+
 def in_days(table: DataFrame, rows: DataFrame) -> DataFrame:
     """``table`` cut to the days of ``rows``: a partition filter while those are few."""
     days = rows.select("window_date").distinct()
@@ -102,10 +181,6 @@ def in_days(table: DataFrame, rows: DataFrame) -> DataFrame:
     return table.filter(F.col("window_date").isin(found))
 
 
-def _has_days(spark: SparkSession, path: str) -> bool:
-    return bool(child_names(spark, path, "window_date=*"))
-
-
 def in_read_order(aggregates: DataFrame, limit: int | None = S.MAX_QUERY_ROWS) -> DataFrame:
     """Oldest window first, at most ``limit`` rows (None: all); ties broken by the rest of the key."""
     rows = aggregates.orderBy(*READ_ORDER)

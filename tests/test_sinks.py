@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from blocktide import schemas as S
 from blocktide.sinks.aggregates_table import (
     READ_ORDER,
+    ConcurrentWrite,
+    _publish,
+    current_version,
     in_days,
     query_aggregates,
     read_table,
@@ -60,31 +63,69 @@ def test_upsert_overwrites_equal_keys_and_keeps_the_rest(spark, tmp_path):
 def test_upsert_rewrites_only_touched_days(spark, tmp_path):
     path = str(tmp_path / "t")
     upsert_aggregates(rows(spark, row("eth", "m", BASE, 1), row("eth", "m", BASE - MINUTE, 1)), path)
-    untouched = {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "window_date=2025-12-31").iterdir()}
+    before = current_version(spark, path)[1]["days"]
     upsert_aggregates(rows(spark, row("eth", "m", BASE, 2)), path)
-    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "window_date=2025-12-31").iterdir()}
-    assert after == untouched
+    after = current_version(spark, path)[1]["days"]
+    assert after["2025-12-31"] == before["2025-12-31"] and after["2026-01-01"] != before["2026-01-01"]
 
 
-def test_retry_publishes_a_complete_stage_again(spark, tmp_path):
+def test_retries_publish_once(spark, tmp_path):
     path = str(tmp_path / "t")
     upsert_aggregates(rows(spark, row("eth", "m", BASE, 1)), path, version=1)
-    # A crash after staging: the merged copy is complete, the day is half published.
-    merged = read_table(spark, path).withColumn("value", F.lit(9.0))
-    merged.write.partitionBy("window_date").parquet(f"{path}/_upsert/2/merged")
+    # A crash before publishing: what was merged is there, but no manifest lists it.
+    read_table(spark, path).withColumn("value", F.lit(7.0)).write.partitionBy("window_date").parquet(f"{path}/version=v2-2")
+    assert stored(spark, path) == [("eth", "m", BASE, "", 1.0)]
     upsert_aggregates(rows(spark, row("eth", "m", BASE, 9)), path, version=2)
     assert stored(spark, path) == [("eth", "m", BASE, "", 9.0)]
+    number = current_version(spark, path)[0]
+    upsert_aggregates(rows(spark, row("eth", "m", BASE, 5)), path, version=2)  # published before
+    assert current_version(spark, path)[0] == number and stored(spark, path) == [("eth", "m", BASE, "", 9.0)]
+    upsert_aggregates(rows(spark, row("eth", "m", BASE, 3)), path, version=2, run="other")
+    assert stored(spark, path) == [("eth", "m", BASE, "", 3.0)]
+
+
+def test_a_reader_sees_one_version(spark, tmp_path):
+    """Old or new, whenever it runs: two days never come from different versions."""
+    path, day = str(tmp_path / "t"), dt.timedelta(days=1)
+    readers = []
+    for n in range(6):
+        upsert_aggregates(rows(spark, *[row("eth", "m", BASE + d * day, n) for d in range(3)]), path)
+        readers.append(read_table(spark, path))
+    # A write that has put its files there but has not published them.
+    readers[-1].withColumn("value", F.lit(99.0)).write.partitionBy("window_date").parquet(f"{path}/version=v7-unfinished")
+    (tmp_path / "t" / "_versions" / "000000000007.json").write_text('{"days": {"2026-01')
+    readers.append(read_table(spark, path))
+    for n, table in enumerate(readers):
+        assert {r.value for r in table.collect()} == {float(min(n, 5))} and table.count() == 3
+
+
+def test_the_second_writer_is_refused(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert_aggregates(rows(spark, row("eth", "m", BASE, 1)), path)
+    number, manifest = current_version(spark, path)
+    upsert_aggregates(rows(spark, row("eth", "m", BASE, 2)), path)
+    with pytest.raises(ConcurrentWrite):
+        _publish(spark, path, number, manifest, {"2026-01-01": "version=v2-late/window_date=2026-01-01"}, "late")
+    assert stored(spark, path) == [("eth", "m", BASE, "", 2.0)]
 
 
-def test_a_stage_of_another_run_is_ignored(spark, tmp_path):
+def test_files_of_old_versions_go(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("blocktide.sinks.aggregates_table.KEPT", 3)
     path = str(tmp_path / "t")
-    stale = rows(spark, row("eth", "m", BASE, 1))
-    upsert_aggregates(stale, path, version=3, run="old")
-    read_table(spark, path).withColumn("value", F.lit(7.0)).write.partitionBy("window_date").parquet(
-        f"{path}/_upsert/old-3/merged"
-    )
-    upsert_aggregates(rows(spark, row("eth", "m", BASE, 2)), path, version=3, run="new")
-    assert stored(spark, path) == [("eth", "m", BASE, "", 2.0)]
+    upsert_aggregates(rows(spark, row("eth", "m", BASE - MINUTE, 8)), path)
+    for n in range(6):
+        upsert_aggregates(rows(spark, row("eth", "m", BASE, n)), path)
+    assert len(list((tmp_path / "t" / "_versions").glob("*.json"))) == 3
+    assert len(list((tmp_path / "t").glob("version=*/window_date=2026-01-01"))) == 3
+    assert [r[-1] for r in stored(spark, path)] == [8.0, 5.0]
+
+
+def test_a_plain_table_can_be_taken_over(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert_aggregates(rows(spark, row("eth", "m", BASE, 1), row("eth", "m", BASE - MINUTE, 1)), str(tmp_path / "other"))
+    read_table(spark, str(tmp_path / "other")).write.partitionBy("window_date").parquet(path)
+    upsert_aggregates(rows(spark, row("eth", "m", BASE, 2)), path)
+    assert [r[-1] for r in stored(spark, path)] == [1.0, 2.0]
 
 
 def test_upsert_reads_only_the_days_it_touches(spark, tmp_path):
@@ -96,7 +137,7 @@ def test_upsert_reads_only_the_days_it_touches(spark, tmp_path):
     plan = cut._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(window_date" in plan and "Join" not in plan
     assert cut.count() == 1
-    broken = next((tmp_path / "t").glob("window_date=2026-01-20/*.parquet"))
+    broken = next((tmp_path / "t").glob("version=*/window_date=2026-01-20/*.parquet"))
     broken.write_bytes(b"not a table")
     upsert_aggregates(rows(spark, row("eth", "m", BASE + day, 5)), path)
     assert read_table(spark, path).filter(F.col("window_date") == F.to_date(F.lit("2026-01-02"))).first().value == 5
