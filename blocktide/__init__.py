@@ -25,6 +25,7 @@ from blocktide.sources.events import (
 )
 from blocktide.streaming.exact import ExactWindows
 from blocktide.streaming.native import native_metrics
+from blocktide.streaming.decode import decode_transactions, log_heads, matched_bodies
 from blocktide.streaming.normalize import normalize_with_rejects, normalized_stream
 
 __all__ = [
@@ -32,6 +33,7 @@ __all__ = [
     "Replay",
     "decode_blocks",
     "decode_events",
+    "decode_transactions",
     "drop_redelivered",
     "dropped_per_interval",
     "enrich",
@@ -40,6 +42,8 @@ __all__ = [
     "first_seen",
     "kafka_events",
     "native_metrics",
+    "log_heads",
+    "matched_bodies",
     "normalize_with_rejects",
     "normalized_stream",
     "partition_key",
