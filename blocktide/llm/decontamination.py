@@ -1,26 +1,32 @@
 """Benchmark decontamination by a prefix-filtered set join.
 
 An item's windows of consecutive words are compared with the documents exactly.
-The shingles of a window are ordered by how rare they are in the documents. As
-the whole window has to be contained, its prefix is one shingle, the rarest:
-only where that occurs can the window occur. The place of the shingle and the
-lengths bound where the window starts; then every shingle of it is looked up.
+A first pass counts the items' shingles in the documents; the shingles of a window
+are ordered by how rare they are. As the whole window has to be contained, its
+prefix is one shingle, the rarest: only where that occurs can the window occur. The
+second pass joins prefixes only. The place of the shingle and the lengths bound
+where the window starts, and there all of its words are compared.
+
+Shingles are 64-bit hashes: two that share one cost a comparison more.
 """
 
 from __future__ import annotations
 
 import string
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blocktide.llm.common import row_key, small_side, text_or_empty
+from blocktide.llm.common import BROADCAST_ROWS, row_key, small_side, text_or_empty
 from blocktide.session import materialize
 
 #: What separates words: ASCII other than digits and letters.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Words in a shingle; windows of fewer words have one shingle.
 SHINGLE = 3
+#: A shingle with this many occurrences is never a key of a shuffle.
+HOT = 100_000
 
 
 def ascii_lower(text: Column) -> Column:
@@ -30,104 +36,120 @@ def ascii_lower(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(ascii_lower(text), BETWEEN), lambda w: w != "")
+    return F.array_remove(F.split(ascii_lower(text), BETWEEN), "")
 
 
-def shingles(column: str, size: int) -> Column:
-    """Runs of ``size`` words of array ``column``, joined, in order of place."""
-    count = F.size(column) - (size - 1)
+def shingles(rows: DataFrame, size: int, *keep: str) -> DataFrame:
+    """(*keep, pos, shingle) for each run of ``size`` words of the array ``w``."""
+    count = F.greatest(F.size("w") - (size - 1), F.lit(0))
+    runs = F.arrays_zip(*[F.slice("w", k + 1, count) for k in range(size)])
+    placed = rows.select(*keep, F.posexplode(runs).alias("pos", "run"))
+    said = [F.col("run").getField(str(k)) for k in range(size)]
+    return placed.select(*keep, "pos", F.xxhash64(F.lit(size), *said).alias("shingle"))
 
-    def run(word: Column, i: Column) -> Column:
-        return F.concat_ws(" ", word, *[F.get(F.col(column), i + k) for k in range(1, size)])
 
-    runs = F.transform(F.col(column), run)
-    return F.when(count > 0, F.slice(runs, 1, count)).otherwise(F.array().cast("array<string>"))
+def all_shingles(rows: DataFrame, sizes: list[int], *keep: str) -> DataFrame:
+    return reduce(DataFrame.unionAll, [shingles(rows, s, *keep) for s in sizes])
 
 
 def item_windows(benchmark: DataFrame, window: int) -> DataFrame:
-    """(item, said, shingles, n_said): the distinct windows of each item."""
+    """(item, said, n_said): the distinct windows of each item."""
     items = benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
         words(text_or_empty("text")).alias("w"),
     ).filter(F.size("w") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.size("w") - window + 1, F.lit(1)))
     cut = items.select("item", F.explode(F.transform(starts, lambda s: F.slice("w", s, window))).alias("w"))
-    sized = F.when(F.size("w") >= SHINGLE, shingles("w", SHINGLE)).otherwise(
-        F.array(F.array_join("w", " "))
-    )
-    return cut.select(
-        "item", F.array_join("w", " ").alias("said"), sized.alias("shingles"),
-        F.size("w").alias("n_said"),
-    ).distinct()
+    return cut.select("item", F.array_join("w", " ").alias("said"), F.size("w").alias("n_said")).distinct()
+
+
+def rarest_shingles(
+    rows: DataFrame, said: DataFrame, sizes: list[int], few: int
+) -> tuple[DataFrame, int]:
+    """(said, n_said, size, shingle, offset, n): the prefix of each window, and their number.
+
+    Windows with a shingle that no document holds are left out. Counts cover all
+    documents and are added up in the tasks before they are shuffled.
+    """
+    cut = said.withColumn("w", F.split("said", " "))
+    size = F.least("n_said", F.lit(SHINGLE))
+    spread = reduce(
+        DataFrame.unionAll,
+        [
+            shingles(cut.filter(size == s), s, "said", "n_said").withColumn("size", F.lit(s))
+            for s in sizes
+        ],
+    )
+    wanted, n_wanted = materialize(spread.select("shingle").distinct(), "shingles")
+    here = all_shingles(rows.select("w"), sizes)
+    if n_wanted <= few:  # else counts of all shingles meet the wanted ones, one row each
+        here = here.join(F.broadcast(wanted), "shingle", "left_semi")
+    counts = here.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    counts, _ = materialize(counts.join(wanted, "shingle", "left_semi"), "counts")
+    chosen = spread.join(counts, "shingle", "left").groupBy("said", "n_said", "size").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "shingle", F.col("pos").alias("offset"))).alias("p")
+    )
+    return materialize(
+        chosen.filter(F.col("p.n") > 0).select("said", "n_said", "size", "p.shingle", "p.offset", "p.n"),
+        "prefixes",
+    )
+
+
+def occurs(start: Column) -> Column:
+    """Whether window ``said`` stands in the words ``w`` from ``start``, bounds first."""
+    inside = (start >= 0) & (start + F.col("n_said") <= F.size("w"))
+    # A slice must not begin before the array, even where the bounds say no.
+    there = F.slice("w", F.greatest(start, F.lit(0)) + 1, F.col("n_said"))
+    return inside & (F.array_join(there, " ") == F.col("said"))
 
 
 def find_windows(
-    docs: DataFrame, benchmark: DataFrame, window: int, id_column: str, text_column: str
+    docs: DataFrame,
+    benchmark: DataFrame,
+    window: int,
+    id_column: str,
+    text_column: str,
+    few: int = BROADCAST_ROWS,
+    hot: int = HOT,
 ) -> tuple[DataFrame, DataFrame]:
-    """Where windows occur, (key_id, key_text, start, n_said, said), and the windows."""
+    """Where windows occur, (key_id, key_text, start, n_said, said), and the windows.
+
+    Up to ``few`` prefixes are broadcast to the documents and their windows
+    compared in the row. Of more, those that occur ``hot`` times or more are broadcast
+    in blocks; the others, none of them a hot key, meet the documents in a shuffle.
+    """
     if not 0 < window <= 60:
         raise ValueError("window must be between 1 and 60 words")
-    windows, n_windows = materialize(item_windows(benchmark, window), "windows")
-    said = windows.select("said", "shingles", "n_said").distinct()
-    wanted, n_wanted = materialize(
-        said.select(
-            F.explode("shingles").alias("shingle"),
-            F.least("n_said", F.lit(SHINGLE)).alias("size"),
-        ).distinct(),
-        "shingles",
-    )
-    sizes = sorted(r[0] for r in wanted.select("size").distinct().collect())  # at most SHINGLE
+    windows, _ = materialize(item_windows(benchmark, window), "windows")
+    said = windows.select("said", "n_said").distinct()
+    lengths = said.select(F.least("n_said", F.lit(SHINGLE)).alias("size")).distinct()
+    sizes = sorted(r["size"] for r in lengths.collect())  # at most SHINGLE
     rows = docs.select(*row_key(id_column, text_column), words(text_or_empty(text_column)).alias("w"))
-    found = [
-        rows.select("key_id", "key_text", F.size("w").alias("n_words"), F.posexplode(shingles("w", s)).alias("pos", "shingle"))
-        for s in sizes
-    ]
-    if not found:  # no item has a word
+    columns = ["key_id", "key_text", "start", "n_said", "said"]
+    if not sizes:  # no item has a word
         none = rows.select("key_id", "key_text", F.lit(0).alias("start"), F.lit(0).alias("n_said"), F.lit("").alias("said"))
         return none.filter(F.lit(False)), windows
-    every = found[0]
-    for more in found[1:]:
-        every = every.unionByName(more)
-    places, _ = materialize(
-        every.join(small_side(wanted.select("shingle"), n_wanted), "shingle"), "places"
-    )
-    counts = places.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
-    spread = said.select("said", "n_said", F.posexplode("shingles").alias("offset", "shingle"))
-    rarest = spread.join(counts, "shingle", "left").groupBy("said", "n_said").agg(
-        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "shingle", "offset")).alias("p"),
-    )
-    prefix = rarest.filter(F.col("p.n") > 0).select(
-        "said", "n_said", F.col("p.shingle").alias("shingle"), F.col("p.offset").alias("offset")
-    )
+    prefixes, n_prefixes = rarest_shingles(rows, said, sizes, few)
     start = F.col("pos") - F.col("offset")
-    candidates = places.join(small_side(prefix, n_windows), "shingle").select(
-        "key_id", "key_text", "said", "n_said", start.alias("start"), "n_words"
-    )
-    candidates = candidates.filter(
-        (F.col("start") >= 0) & (F.col("start") + F.col("n_said") <= F.col("n_words"))
-    )
-    expected = candidates.join(small_side(said.select("said", "shingles"), n_windows), "said").select(
-        "key_id", "key_text", "said", "n_said", "start",
-        F.size("shingles").alias("n_shingles"),
-        F.posexplode("shingles").alias("k", "shingle"),
-    )
-    there = places.select(
-        F.col("key_id").alias("_id"), F.col("key_text").alias("_text"), "pos",
-        F.col("shingle").alias("_shingle"),
-    )
-    met = expected.join(
-        there,
-        F.col("key_id").eqNullSafe(F.col("_id"))
-        & (F.col("key_text") == F.col("_text"))
-        & (F.col("start") + F.col("k") == F.col("pos"))
-        & (F.col("shingle") == F.col("_shingle")),
+
+    def met(some: DataFrame) -> DataFrame:
+        placed = all_shingles(rows, sizes, "key_id", "key_text", "w").join(F.broadcast(some), "shingle")
+        return placed.filter(occurs(start)).withColumn("start", start).select(*columns)
+
+    if n_prefixes <= few:
+        return met(prefixes), windows
+    frequent = prefixes.filter(F.col("n") >= hot)
+    blocks = -(-frequent.count() // few)
+    found = [met(frequent.filter(F.pmod(F.xxhash64("said"), F.lit(blocks)) == b)) for b in range(blocks)]
+    placed = all_shingles(rows, sizes, "key_id", "key_text").join(
+        prefixes.filter(F.col("n") < hot).hint("shuffle_hash"), "shingle"
     )
-    # One bit for each shingle of the window: repeated rows set it again.
-    whole = F.expr("bit_or(shiftleft(1L, k)) = shiftleft(1L, n_shingles) - 1")
-    hits = met.groupBy("key_id", "key_text", "start", "n_said", "said", "n_shingles").agg(
-        whole.alias("whole")
+    starts = placed.select("key_id", "key_text", start.alias("start"), "n_said", "said").distinct()
+    keyed = rows.select(F.col("key_id").alias("_id"), F.col("key_text").alias("_text"), "w").join(
+        starts, F.col("_id").eqNullSafe(F.col("key_id")) & (F.col("_text") == F.col("key_text"))
     )
-    return hits.filter("whole").select("key_id", "key_text", "start", "n_said", "said"), windows
+    found.append(keyed.filter(occurs(F.col("start"))).select(*columns))
+    return reduce(DataFrame.unionAll, found), windows
 
 
 def contamination(

@@ -1,7 +1,10 @@
 import hashlib
+import random
+
+import pytest
 
 from blocktide.llm import sql
-from blocktide.llm.decontamination import contamination, drop_contaminated
+from blocktide.llm.decontamination import contamination, drop_contaminated, find_windows
 from blocktide.llm.queries import QUERIES
 from tests.compare import compare, duck
 from tests.llm.cases import LONG, ODD_ROWS, SMALL, by_id, documents, no_documents, odd_documents
@@ -53,3 +56,38 @@ def test_odd_rows(spark):
     assert contamination(docs, items.limit(0)).filter("contaminated").count() == 0
     assert contamination(no_documents(spark), items).count() == 0
     assert drop_contaminated(docs, items).count() == len(ODD_ROWS) - 4
+
+
+@pytest.mark.parametrize(("few", "hot"), [(10**6, 1), (2, 3), (2, 10**6), (1, 1)])
+def test_every_way_of_joining_finds_the_same(spark, few, hot):
+    rng = random.Random(7)
+
+    def text(n):
+        return " ".join(rng.choice("abcde") for _ in range(n))
+
+    said = [text(rng.randrange(40)) for _ in range(60)]
+    asked = [text(rng.choice([1, 2, 3, 4, 5, 9])) for _ in range(12)] + ["a a a a", "z z z z", "a z"]
+    docs = documents(spark, [*said, *said[:5], "a " * 200])
+    items = spark.createDataFrame(list(enumerate(asked)), ITEMS)
+    found, _ = find_windows(docs, items, 4, "doc_id", "text", few, hot)
+    got = {(r.key_id, r.start, r.said) for r in found.collect()}
+    want = set()
+    for r in docs.collect():
+        w = r.text.split()
+        for item in asked:
+            i = item.split()
+            for cut in {tuple(i[k : k + 4]) for k in range(max(len(i) - 3, 1))}:
+                want |= {
+                    (r.doc_id, k, " ".join(cut))
+                    for k in range(len(w) - len(cut) + 1)
+                    if tuple(w[k : k + len(cut)]) == cut
+                }
+    assert got == want and len(want) > 100
+
+
+def test_a_text_of_one_word_and_plans_without_python(spark):
+    docs = documents(spark, ["x" * 1_000_000, "y " * 500_000 + "one two", ""])
+    items = spark.createDataFrame([(1, "x" * 1_000_000), (2, "y one two")], ITEMS)
+    found = contamination(docs, items)
+    assert [(r.n_words, r.n_hit) for r in sorted(found.collect())] == [(1, 1), (500_002, 3), (0, 0)]
+    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
