@@ -48,8 +48,12 @@ def shingles(rows: DataFrame, size: int, *keep: str) -> DataFrame:
     return placed.select(*keep, "pos", F.xxhash64(F.lit(size), *said).alias("shingle"))
 
 
-def all_shingles(rows: DataFrame, sizes: list[int], *keep: str) -> DataFrame:
-    return reduce(DataFrame.unionAll, [shingles(rows, s, *keep) for s in sizes])
+def all_shingles(rows: DataFrame, sizes: list[int], met: DataFrame | None = None) -> DataFrame:
+    """Just the shingles, of all ``sizes``; with ``met`` those that are in it."""
+    found = [shingles(rows, s).select("shingle") for s in sizes]
+    if met is not None:
+        found = [f.join(met, "shingle", "left_semi") for f in found]
+    return reduce(DataFrame.unionAll, found)
 
 
 def item_windows(benchmark: DataFrame, window: int) -> DataFrame:
@@ -81,9 +85,9 @@ def rarest_shingles(
         ],
     )
     wanted, n_wanted = materialize(spread.select("shingle").distinct(), "shingles")
-    here = all_shingles(rows.select("w"), sizes)
-    if n_wanted <= few:  # else counts of all shingles meet the wanted ones, one row each
-        here = here.join(F.broadcast(wanted), "shingle", "left_semi")
+    # Of many wanted ones, the counts of all shingles meet them, one row each.
+    only = F.broadcast(wanted) if n_wanted <= few else None
+    here = all_shingles(rows.select("w"), sizes, met=only)
     counts = here.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
     counts, _ = materialize(counts.join(wanted, "shingle", "left_semi"), "counts")
     chosen = spread.join(counts, "shingle", "left").groupBy("said", "n_said", "size").agg(
@@ -133,17 +137,25 @@ def find_windows(
     start = F.col("pos") - F.col("offset")
 
     def met(some: DataFrame) -> DataFrame:
-        placed = all_shingles(rows, sizes, "key_id", "key_text", "w").join(F.broadcast(some), "shingle")
-        return placed.filter(occurs(start)).withColumn("start", start).select(*columns)
+        # Words stay in the row's own stage: only windows that occur leave it.
+        found = [
+            shingles(rows, s, "key_id", "key_text", "w")
+            .join(F.broadcast(some.filter(F.col("size") == s)), "shingle")
+            .filter(occurs(start))
+            .select("key_id", "key_text", start.alias("start"), "n_said", "said")
+            for s in sizes
+        ]
+        return reduce(DataFrame.unionAll, found)
 
     if n_prefixes <= few:
         return met(prefixes), windows
     frequent = prefixes.filter(F.col("n") >= hot)
     blocks = -(-frequent.count() // few)
     found = [met(frequent.filter(F.pmod(F.xxhash64("said"), F.lit(blocks)) == b)) for b in range(blocks)]
-    placed = all_shingles(rows, sizes, "key_id", "key_text").join(
-        prefixes.filter(F.col("n") < hot).hint("shuffle_hash"), "shingle"
-    )
+    others = prefixes.filter(F.col("n") < hot).drop("size").hint("shuffle_hash")
+    placed = reduce(
+        DataFrame.unionAll, [shingles(rows, s, "key_id", "key_text") for s in sizes]
+    ).join(others, "shingle")
     starts = placed.select("key_id", "key_text", start.alias("start"), "n_said", "said").distinct()
     keyed = rows.select(F.col("key_id").alias("_id"), F.col("key_text").alias("_text"), "w").join(
         starts, F.col("_id").eqNullSafe(F.col("key_id")) & (F.col("_text") == F.col("key_text"))
