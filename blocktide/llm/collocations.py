@@ -7,7 +7,8 @@ every counter; the sum of what was taken (``lost``) bounds by how much any count
 falls short. Summaries merge by adding counters and what they lost. While
 less than the threshold was lost, no phrase that reaches it can be missing, and
 a counter that stays below the threshold with ``lost`` added is ruled out. A
-second pass counts what survives exactly, by the words themselves.
+second pass counts what survives exactly, by the words themselves: each task what it
+reads, in blocks of a hash partition, and then each partition over all tasks.
 
 Words and pairs come first. Longer phrases are summarised only where every pair
 in them survived, which no frequent phrase can fail. Survivors reach the tasks as a
@@ -37,8 +38,10 @@ HELD = 3_000_000
 BUFFERED = 1_000_000
 #: Distinct phrases that a task counts before it passes them on.
 HELD_PHRASES = 250_000
-#: Counters in a row of a summary, so that batches of rows stay small.
+#: Counters or phrases in a row, so that batches of rows stay small.
 ROW_COUNTERS = 1024
+#: Survivors whose exact counts meet in one hash partition, about.
+PART_PHRASES = 100_000
 #: Bytes of text that are cut into words at a time; a longer text is parted between pieces.
 SLICE_BYTES = 2_000_000
 #: Bits of a filter, a power of two, and how many each survivor sets.
@@ -401,8 +404,45 @@ def frequent_keys(
         slack *= 2
 
 
-def _exact_counts(rows: DataFrame, longest: int, survivors, width: int) -> DataFrame:
-    """(lang, phrase, words, f): occurrences of what passes the filter, by the words."""
+#: Rows of exact counts: phrases of a language in a hash partition, one to a line (no word
+#: holds a line end), and how often each was counted.
+BLOCKS = "part long, lang string, n long, phrases binary, counts binary"
+
+
+def _block_rows(table: pa.Table, parts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Counted phrases in rows of bounded size, each of one partition and language."""
+    names = table["lang"].combine_chunks().dictionary_encode()
+    languages = names.dictionary.to_pylist()
+    group = parts * len(languages) + names.indices.to_numpy()
+    order = np.argsort(group, kind="stable")
+    group = group[order]
+    said = table["phrase"].take(pa.array(order)).combine_chunks()
+    f = table["f"].to_numpy()[order]
+    first = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+    columns: list[list] = [[] for _ in range(5)]
+    types = (pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary())
+
+    def batch() -> pa.RecordBatch:
+        arrays = [pa.array(c, t) for c, t in zip(columns, types)]
+        return pa.RecordBatch.from_arrays(arrays, names=["part", "lang", "n", "phrases", "counts"])
+
+    for a, e in zip(first.tolist(), [*first[1:].tolist(), len(group)]):
+        part, language = divmod(int(group[a]), len(languages))
+        for at in range(a, e, ROW_COUNTERS):
+            some = said.slice(at, min(ROW_COUNTERS, e - at)).to_pylist()
+            packed = _packed(f[at : at + len(some)])
+            values = (part, languages[language], len(some), "\n".join(some).encode(), packed)
+            for column, value in zip(columns, values):
+                column.append(value)
+        if len(columns[0]) >= 100:
+            yield batch()
+            columns = [[] for _ in range(5)]
+    if columns[0]:
+        yield batch()
+
+
+def _phrase_blocks(rows: DataFrame, longest: int, survivors, width: int, bits: int) -> DataFrame:
+    """What passes the filter, counted by each task; dealt to 2 ** ``bits`` hash partitions."""
 
     def counted(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where each key stands first, in order of the keys, and the sum of its counts."""
@@ -422,9 +462,13 @@ def _exact_counts(rows: DataFrame, longest: int, survivors, width: int) -> DataF
             table = pa.Table.from_batches(batches).combine_chunks()
             said = np.concatenate(keys)
             at, counts = counted(said, table["f"].to_numpy())
-            batches = table.take(pa.array(at)).set_column(3, "f", pa.array(counts)).combine_chunks().to_batches()
+            batches = table.take(pa.array(at)).set_column(2, "f", pa.array(counts)).combine_chunks().to_batches()
             keys, waiting = [said[at]], 0
 
+        def blocks() -> Iterator[pa.RecordBatch]:
+            part = (keys[0][:, 0] >> np.uint64(64 - bits)).astype(np.int64)
+            yield from _block_rows(pa.Table.from_batches(batches), part)
+
         for languages, words in _slices(parts):
             names = np.array(languages, object)
             for n, starts, value in phrase_hashes(words, languages, longest, both=True):
@@ -437,23 +481,67 @@ def _exact_counts(rows: DataFrame, longest: int, survivors, width: int) -> DataF
                 for k in range(1, n):
                     following = words.dictionary.take(pa.array(words.codes[at + k]))
                     said = pc.binary_join_element_wise(said, following, pa.scalar(b" "))
-                columns = [names[words.row[at]], said.cast(pa.string()), np.full(len(at), n, np.int32), counts]
-                types = (pa.string(), pa.string(), pa.int32(), pa.int64())
-                arrays = [pa.array(c, t) for c, t in zip(columns, types)]
-                batches.append(pa.RecordBatch.from_arrays(arrays, names=["lang", "phrase", "words", "f"]))
+                columns = [names[words.row[at]], said.cast(pa.string()), counts]
+                arrays = [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64()))]
+                batches.append(pa.RecordBatch.from_arrays(arrays, names=["lang", "phrase", "f"]))
                 keys.append(value[at])
                 waiting += len(at)
             if waiting >= HELD_PHRASES:
                 together()
-                if sum(len(k) for k in keys) >= HELD_PHRASES:
-                    yield from batches
+                if len(keys[0]) >= HELD_PHRASES:
+                    yield from blocks()
                     keys, batches = [], []
         if batches:
             together()
-            yield from batches
+            yield from blocks()
+
+    return rows.mapInArrow(run, BLOCKS)
+
+
+def _exact_counts(
+    rows: DataFrame, longest: int, survivors, width: int, threshold: int, n_survivors: int
+) -> DataFrame:
+    """(lang, phrase, words, f) of what passes the filter and occurs ``threshold`` times, by the words.
+
+    Tasks pass their phrases on in blocks, and the blocks of a partition are added up, so a
+    phrase is a row of its own only once all of it is counted.
+    """
+    bits = max(PARTITIONS.bit_length() - 1, (n_survivors // PART_PHRASES).bit_length())
+
+    def merge(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current: tuple[int, str] | None = None
+        held: list[pa.Table] = []
+        waiting = 0
+
+        def together() -> pa.Table:
+            return pa.concat_tables(held).group_by("phrase").aggregate([("f", "sum")]).rename_columns(["phrase", "f"])
+
+        def frequent() -> Iterator[pa.RecordBatch]:
+            table = together()
+            table = table.filter(pc.greater_equal(table["f"], threshold))
+            table = table.append_column("lang", pa.array([current[1]] * len(table), pa.string()))
+            size = pc.add(pc.count_substring(table["phrase"], " "), 1).cast(pa.int32())
+            table = table.append_column("words", size).select(["lang", "phrase", "words", "f"])
+            yield from table.to_batches(max_chunksize=20_000)
+
+        for batch in parts:
+            numbers = [batch.column(k).to_pylist() for k in range(3)]
+            for part, language, n, phrases, counts in zip(*numbers, batch.column(3), batch.column(4)):
+                if (part, language) != current:
+                    if current is not None:
+                        yield from frequent()
+                    current, held, waiting = (part, language), [], 0
+                said = pa.array(phrases.as_py().decode().split("\n"), pa.string())
+                held.append(pa.table({"phrase": said, "f": _unpacked(counts, n).astype(np.int64)}))
+                waiting += n
+                if waiting >= BUFFERED:
+                    held, waiting = [together()], 0
+        if current is not None:
+            yield from frequent()
 
-    found = rows.mapInArrow(run, "lang string, phrase string, words int, f long")
-    return found.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
+    blocks = _phrase_blocks(rows, longest, survivors, width, bits)
+    dealt = blocks.repartition("part").sortWithinPartitions("part", "lang")
+    return dealt.mapInArrow(merge, "lang string, phrase string, words int, f long")
 
 
 def _cut(k: Column, words: Column) -> tuple[Column, Column]:
@@ -523,7 +611,7 @@ def collocations(
         pairs = share(collected_filter(keys))
         keys = keys.unionByName(frequent_keys(rows, 3, longest, words, threshold, pairs))
     survivors = share(collected_filter(keys))
-    exact = _exact_counts(rows, longest, survivors, key_width(words)).filter(F.col("f") >= threshold)
+    exact = _exact_counts(rows, longest, survivors, key_width(words), threshold, keys.count())
     counts, n_counts = materialize(exact, "phrase-counts")
 
     found = scored(counts, totals, n_counts, n_totals)

@@ -215,3 +215,20 @@ def test_pairs_only_prune(spark):
     pairs = spark.sparkContext.broadcast(collected_filter(frequent_keys(docs, 1, 2, 10**5, 8)))
     free = {r.key for r in frequent_keys(docs, 3, 5, 10**5, 8).collect()}
     assert {r.key for r in frequent_keys(docs, 3, 5, 10**5, 8, pairs).collect()} == free
+
+
+def test_tasks_hand_on_blocks_and_not_a_row_for_each_phrase(spark):
+    """Rows between tasks do not grow as tasks times frequent phrases."""
+    phrases, tasks = 600, 12
+    text = " . ".join(f"left{i} right{i}" for i in range(phrases))
+    rows = frame(spark, [("en", text)] * tasks + [("de", "left1 right1")]).select("lang", "text").repartition(tasks)
+    keys = frequent_keys(rows, 1, 2, 2 * phrases * tasks, 5)
+    survivors = spark.sparkContext.broadcast(collected_filter(keys))
+    width = module.key_width(2 * phrases * tasks)
+    blocks = module._phrase_blocks(rows, 2, survivors, width, 6)
+    assert blocks.count() <= 2 * 64 * tasks  # a row each would be 1800 a task
+    assert blocks.agg(F.sum("n")).first()[0] >= 3 * phrases
+    found = module._exact_counts(rows, 2, survivors, width, 5, keys.count()).collect()
+    assert len(found) == 3 * phrases
+    assert {(r["lang"], r["f"]) for r in found} == {("en", tasks)}
+    assert all(r["words"] == len(r["phrase"].split(" ")) for r in found)
