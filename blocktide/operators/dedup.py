@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from blocktide.functions.timebucket import Duration, micros, time_bucket
 
 DEFAULT_ARRIVAL = ("observed_at",)
+#: Bits of the filter of ids that come again, a power of two: 16 MB in all.
+AGAIN_BITS = 1 << 27
+AGAIN = "bucket long, map binary"
 
 
 def first_seen(events: DataFrame, arrival: Sequence[str] = DEFAULT_ARRIVAL) -> DataFrame:
@@ -93,3 +96,49 @@ def unseen(
     near = F.coalesce(apart <= micros(horizon), F.lit(True))
     same = (keyed["_key"] == known["_key"]) & near
     return keyed.join(known, same, "left_anti").drop("_key")
+
+
+def _place(key: Column) -> Column:
+    return F.xxhash64(key).bitwiseAND(F.lit(AGAIN_BITS - 1)) + 1
+
+
+def ids_again(events: DataFrame, seen: DataFrame) -> DataFrame:
+    """A filter, as bitmaps ``(bucket, map)``, of the ids that ``events`` hold more than once
+    or that are among ``seen``. It misses none; of the others it lets a few through.
+
+    Only a hash and two counts per id are shuffled; the filter has AGAIN_BITS at most.
+    """
+    new = events.select(F.xxhash64(F.unhex(F.md5("id"))).alias("h"), F.lit(1).alias("n"), F.lit(0).alias("old"))
+    old = seen.select(F.xxhash64("key").alias("h"), F.lit(0).alias("n"), F.lit(1).alias("old"))
+    again = (
+        new.unionByName(old)
+        .groupBy("h")
+        .agg(F.sum("n").alias("n"), F.max("old").alias("old"))
+        .filter("n > 1 OR n = 1 AND old = 1")
+    )
+    place = F.col("h").bitwiseAND(F.lit(AGAIN_BITS - 1)) + 1
+    return again.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("map")
+    )
+
+
+def _marked(rows: DataFrame, key: Column, again: DataFrame) -> DataFrame:
+    """``rows`` with ``_again``: whether the filter knows their key."""
+    placed = rows.withColumn("_place", _place(key))
+    found = placed.join(F.broadcast(again), F.bitmap_bucket_number("_place") == F.col("bucket"), "left")
+    bit = F.bitmap_bit_position("_place")
+    byte = F.conv(F.hex(F.substring("map", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    is_set = F.getbit(byte, (bit % 8).cast("int")) == 1
+    return found.withColumn("_again", F.coalesce(is_set, F.lit(False))).drop("_place", "bucket", "map")
+
+
+def first_unseen(events: DataFrame, seen: DataFrame, again: DataFrame, horizon: Duration) -> DataFrame:
+    """``unseen(first_seen(events), seen, horizon)``; only events whose id comes again, by
+    ``again`` (the stored filter of ``ids_again``), are shuffled, the others pass as they are."""
+    columns = events.columns
+    marked = _marked(events, F.unhex(F.md5("id")), again)
+    known = _marked(seen, F.col("key"), again).filter("_again").drop("_again")
+    repeats = marked.filter("_again").select(*columns)
+    return marked.filter(~F.col("_again")).select(*columns).unionByName(
+        unseen(first_seen(repeats), known, horizon)
+    )

@@ -731,6 +731,14 @@ def stream_normalized(spark, sf_dir):
     )
 
 
+def _by_quarter(raw: DataFrame) -> DataFrame:
+    """``raw`` with ``q``, the quarter of its days of arrival."""
+    quarter = F.ntile(4).over(Window.orderBy("day"))
+    days = raw.select(F.to_date("observed_at").alias("day")).distinct().withColumn("q", quarter)
+    # A row a day: broadcast whatever the feed's size suggests, so that no landing shuffles the feed.
+    return raw.join(F.broadcast(days), F.to_date("observed_at") == F.col("day")).drop("day")
+
+
 def _landed_out_of_order(spark: SparkSession, sf_dir: str, path: str) -> Iterator[DataFrame]:
     """The redelivered raw feed landing in four quarters, the oldest arrivals last.
 
@@ -738,9 +746,7 @@ def _landed_out_of_order(spark: SparkSession, sf_dir: str, path: str) -> Iterato
     before the next one, so a quarter may have any number of files.
     """
     raw = redelivered_feed(load_feed(spark, sf_dir)).drop("event_id")
-    quarter = F.ntile(4).over(Window.orderBy("day"))
-    days = raw.select(F.to_date("observed_at").alias("day")).distinct().withColumn("q", quarter)
-    split = raw.join(days, F.to_date("observed_at") == F.col("day")).drop("day")
+    split = _by_quarter(raw)
     for q in (2, 3, 4, 1):
         split.filter(F.col("q") == q).drop("q").write.mode("append").parquet(path)
         yield stream_events(spark, path, schema=raw.schema)

@@ -8,7 +8,15 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from blocktide.functions.timebucket import Duration
-from blocktide.operators.dedup import drop_redelivered, first_seen, seen_keys, unseen
+from blocktide.operators.dedup import (
+    AGAIN,
+    drop_redelivered,
+    first_seen,
+    first_unseen,
+    ids_again,
+    seen_keys,
+    unseen,
+)
 from blocktide.operators.enrich import enrich
 from blocktide.operators.validate import valid_events, with_reject_reason
 from blocktide.sinks.records import write_batch
@@ -18,7 +26,8 @@ from blocktide.streaming.logstate import LogState
 SEEN = T.StructType(
     [T.StructField("key", T.BinaryType()), T.StructField("observed_at", T.TimestampType())]
 )
-#: Batches up to this many good events broadcast their keys to the remembered ones.
+#: Batches up to this many good events broadcast their keys to the remembered ones; of larger
+#: ones only events whose id comes again are shuffled.
 SMALL_BATCH = 200_000
 
 
@@ -82,8 +91,14 @@ def normalize_with_rejects(
                 "reject_reason", "_corrupt_record"
             )
             if state is not None:
-                few = good.count() <= SMALL_BATCH
-                good = unseen(first_seen(good), state.read(spark, batch_id - 1), horizon, few)
+                seen = state.read(spark, batch_id - 1)
+                if good.count() <= SMALL_BATCH:
+                    good = unseen(first_seen(good), seen, horizon, small=True)
+                else:
+                    filter_path = f"{seen_path}/again"  # of this batch only
+                    ids_again(good, seen).write.mode("overwrite").parquet(filter_path)
+                    again = spark.read.schema(AGAIN).parquet(filter_path)
+                    good = first_unseen(good, seen, again, horizon)
             write_batch(enrich(good, contracts), good_path, batch_id)
             bad = flagged.filter(F.col("reject_reason").isNotNull())
             write_batch(bad, reject_path, batch_id)

@@ -8,7 +8,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from blocktide import schemas as S
-from blocktide.operators.dedup import seen_keys, unseen
+from blocktide.operators.dedup import (
+    AGAIN,
+    _marked,
+    first_seen,
+    first_unseen,
+    ids_again,
+    seen_keys,
+    unseen,
+)
+from blocktide.plans import queries as Q
 from blocktide.sinks.records import append_stream
 from blocktide.streaming.logstate import LogState
 from blocktide.streaming.normalize import normalize_with_rejects, normalized_stream
@@ -171,3 +180,41 @@ def test_native_state_expires(spark, tmp_path):
         time.sleep(1.5)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 250
     assert max(sizes) <= 150
+
+
+def test_only_ids_that_come_again_are_shuffled(spark, tmp_path):
+    """The filter keeps them all and few others; the rest passes, and the result is the same."""
+    rng = random.Random(3)
+    ids = [f"e{i}" for i in range(3000)]
+    rows = [(i, rng.randint(0, 9000)) for i in ids]
+    rows += [(f"e{i}", rng.randint(0, 9000)) for i in range(0, 200, 2)] + [(None, 5), (None, 6), ("e7", None)]
+    old = [(f"e{i}", rng.choice([None, rng.randint(0, 9000)])) for i in range(1, 300, 3)] + [("gone", 1), (None, 2)]
+    batch, before = (
+        spark.createDataFrame(some, "id string, s long").select("id", F.timestamp_seconds("s").alias("observed_at"))
+        for some in (rows, old)
+    )
+    seen = seen_keys(before)
+    path = str(tmp_path / "again")
+    ids_again(batch, seen).write.parquet(path)
+    again = spark.read.schema(AGAIN).parquet(path)
+    found = first_unseen(batch, seen, again, "1 hour")
+    expected = unseen(first_seen(batch), seen, "1 hour")
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+    marked = _marked(batch, F.unhex(F.md5("id")), again).filter("_again")
+    held = {r["id"] for r in marked.collect()}
+    must = {f"e{i}" for i in range(0, 200, 2)} | {f"e{i}" for i in range(1, 300, 3)} | {None, "e7"}
+    assert must <= held and len(held) <= len(must) + 20
+
+
+def test_landing_does_not_shuffle_the_feed(spark):
+    """However large the tables seem, only the days are dealt out."""
+    feed = spark.range(400).selectExpr("id", "timestamp_seconds(1704067200 + id * 3600) AS observed_at")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        split = Q._by_quarter(feed)
+        plan = split._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        assert {r["q"] for r in split.select("q").distinct().collect()} == {1, 2, 3, 4} and split.count() == 400
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
