@@ -28,7 +28,7 @@ from blocktide.operators.filters import filter_events, partition_key, write_filt
 from blocktide.operators.lateness import Replay
 from blocktide.operators.validate import valid_events, with_reject_reason
 from blocktide.operators.window_metrics import events_by_type, window_metrics
-from blocktide.session import new_work_dir
+from blocktide.session import materialize, new_work_dir
 from blocktide.sinks.aggregates_table import (
     READ_ORDER,
     query_aggregates,
@@ -668,8 +668,11 @@ EXACT_COLUMNS = (
 
 
 def _exact_stream(spark: SparkSession, sf_dir: str, slices: int) -> tuple[ExactWindows, str]:
-    """The exact stream over the feed in so many arrival slices, restarted for each."""
-    events = normalized(spark, sf_dir).select(*EXACT_COLUMNS)
+    """The exact stream over the feed in so many arrival slices, restarted for each.
+
+    The feed is normalized once and stored; the slices are cut from what was stored.
+    """
+    events, _ = materialize(normalized(spark, sf_dir).select(*EXACT_COLUMNS), "feed")
     work = new_work_dir(spark, "stream-exact")
     job = ExactWindows(f"{work}/state", f"{work}/table", f"{work}/log", WINDOW, LATENESS)
     at = F.unix_micros("observed_at")

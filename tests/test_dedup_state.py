@@ -218,3 +218,22 @@ def test_landing_does_not_shuffle_the_feed(spark):
         assert {r["q"] for r in split.select("q").distinct().collect()} == {1, 2, 3, 4} and split.count() == 400
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_exact_slices_are_cut_from_a_feed_made_once(spark, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+    rows = spark.range(60).selectExpr(
+        "concat('e', id) AS id", "'eth' AS chain", f"'{S.TYPE_LOG}' AS type", "'' AS from_address",
+        "'' AS value_wei", "0L AS gas_used", "timestamp_seconds(1704067200 + id * 600) AS observed_at",
+        "timestamp_seconds(1704067200 + id * 600) AS block_time",
+    )
+
+    def counted(parts):
+        for part in parts:
+            made.add(part.num_rows)
+            yield part
+
+    monkeypatch.setattr(Q, "normalized", lambda *_: rows.mapInArrow(counted, rows.schema))
+    job, _ = Q._exact_stream(spark, "", 2)
+    assert made.value == 60  # once, and not for the edges and each slice
+    assert [tuple(r) for r in job.late_counts(spark).collect()] == [("eth", 0, 60)]
