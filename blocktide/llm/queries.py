@@ -86,6 +86,8 @@ def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
         # A string of bytes may end inside a character; what is left of one becomes U+FFFD.
         F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
+        # A passage of 50 words may have fewer than 400 bytes: it is told of, not removed.
+        "n_repeated_words",
     )
 
 

@@ -111,3 +111,62 @@ def test_odd_rows(spark):
     assert remove_repeats(no_documents(spark)).count() == 0
     with pytest.raises(ValueError):
         remove_repeats(two, length=399)
+
+
+def repeated_words(texts, words):
+    """Words of each text in passages of ``words`` words that another row has, too."""
+    data = [(t or "").encode().split() for t in texts]
+    rows = {}
+    for i, d in enumerate(data):
+        for k in range(len(d) - words + 1):
+            rows.setdefault(tuple(d[k : k + words]), set()).add(i)
+    out = []
+    for d in data:
+        again = set()
+        for k in range(len(d) - words + 1):
+            if len(rows[tuple(d[k : k + words])]) > 1:
+                again.update(range(k, k + words))
+        out.append(len(again))
+    return out
+
+
+def passages():
+    rng = random.Random(11)
+
+    def prose(n):
+        return ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 9))) for _ in range(n)]
+
+    short, line, inner = prose(51), prose(12), " ".join(prose(60))
+    assert len(" ".join(short)) < 400
+    texts = [" ".join(prose(rng.randint(40, 200))) for _ in range(20)]
+    texts += [" ".join(prose(60) + short[: 49 + k % 3] + prose(60)) for k in range(9)]
+    texts += ["\n\t ".join(prose(10) + short + prose(3)), " ".join(short), " ".join(short[:50]), " ".join(short[1:])]
+    texts += [" ".join(line * 30), " ".join(prose(5) + line * 40), " ".join(prose(5) + ["x"] * 900), "x " * 700]
+    texts += [inner + " and " + inner, texts[0], texts[0], " ".join(short[:20]), " ".join(short[:20]), None, "", " "]
+    return texts
+
+
+@pytest.mark.parametrize("shard", [1_000_000, 3000, 100])
+def test_passages_shorter_than_a_string_are_told_of(spark, monkeypatch, shard):
+    monkeypatch.setattr(substrings, "SHARD_BYTES", shard)
+    texts = passages()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in remove_repeats(docs).collect()}
+    assert [rows[i].n_repeated_words for i in range(len(texts))] == repeated_words(texts, 50)
+    assert [rows[i].n_repeated_words for i in range(20, 29)] == [0, 50, 51] * 3
+    assert [(rows[i].n_removed, rows[i].n_spans) for i in range(len(texts))] == [r[:2] for r in brute(texts, 400)]
+
+
+def test_passages_across_chunks(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "CHUNK", 70)
+    texts = passages()
+    texts += [" ".join([*texts[0].split()[-30:], "y" * 90, *texts[1].split()[:30], x]) for x in ("k", "y" * 75)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in remove_repeats(docs).collect()}
+    assert [rows[i].n_repeated_words for i in range(len(texts))] == repeated_words(texts, 50)
+
+
+def test_query_tells_of_passages(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").collect()
+    rows = {r.doc_id: r.n_repeated_words for r in QUERIES["op7_substrings"](spark, SMALL).collect()}
+    assert [rows[d.doc_id] for d in docs] == repeated_words([d.text for d in docs], 50)
